@@ -66,7 +66,8 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
 
     ``keys`` maps left key -> context key.  Null keys never match.  ``broadcast``
     True/None broadcast the context when it passes the size check (True warns
-    when it does not); False always plans a shuffle join.  The caller owns the
+    when it does not); False adds no hint and plans the salted shuffle join
+    (Spark's own size threshold may still choose a broadcast).  The caller owns the
     row-count guarantee (see ``assert_unique_context_key``).
     """
     mapping = _key_map(keys)
@@ -98,7 +99,10 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
         salt = F.when(any_null, F.pmod(F.xxhash64(*[_c(c) for c in left.columns]),
                                        F.lit(null_key_salt_buckets)) + 1).otherwise(F.lit(0))
         salted = left.withColumn("__null_salt", salt)
-        ctx = ctx.withColumn("__ctx_salt", F.lit(0).cast("long"))
+        # A literal 0 would be folded into a non-equi join filter and drop out of
+        # the shuffle keys; a column-dependent value stays a join key.
+        ctx_null = reduce(lambda a, b: a | b, [F.col(t).isNull() for t in tmp.values()])
+        ctx = ctx.withColumn("__ctx_salt", F.when(ctx_null, F.lit(-1)).otherwise(F.lit(0)).cast("long"))
         cond.append(F.col("__null_salt") == F.col("__ctx_salt"))
         joined = salted.join(ctx, reduce(lambda a, b: a & b, cond), "left")
     return joined.select(*[_c(c) for c in left.columns], *[_c(o) for o in out_names])
