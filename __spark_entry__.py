@@ -442,7 +442,7 @@ def _orders_layout(spark, d, layout):
     layouts = {"unpartitioned": [], "order_month": ["order_year", "order_month"]}
     from quality_lake.sources import write_table
     write_table(o, path, "parquet", "errorifexists", partition_by=layouts[layout],
-                max_records_per_file=5000, repartition=4)
+                max_records_per_file=5000, repartition=4, cluster_by=["o_orderdate"])
     return read_table(spark, path)
 
 

@@ -1,9 +1,10 @@
 """Physical layouts of the cleaned trips and the queries compared across them.
 
-A layout is a list of partition columns.  ``write_layout`` hash-spreads rows on
-the partition columns before a Hive-style partitioned write, so each task
-writes a bounded number of directories; the month layout lets a query that
-filters on ``pickup_year``/``pickup_month`` prune whole directories.
+A layout is a list of partition columns.  ``write_layout`` range-partitions rows
+on the partition columns and the pickup time before a Hive-style partitioned
+write, so each task writes a bounded number of directories and a busy month is
+split over many tasks; the month layout lets a query that filters on
+``pickup_year``/``pickup_month`` prune whole directories.
 """
 
 from __future__ import annotations
@@ -36,9 +37,12 @@ def add_partition_columns(df: DataFrame, ts: str = "tpep_pickup_datetime",
 
 def write_layout(df: DataFrame, path: str, layout: str, write_partitions: int = 8,
                  max_records_per_file: int = 100_000, fmt: str = DEFAULT_FORMAT,
-                 mode: str = "errorifexists") -> None:
+                 mode: str = "errorifexists", cluster_by=("tpep_pickup_datetime",)) -> None:
+    """Write one layout; rows are range-partitioned by (partition columns,
+    pickup time) so files are time-clustered and busy months use many tasks."""
     write_table(df, path, fmt, mode, partition_by=LAYOUTS[layout],
-                max_records_per_file=max_records_per_file, repartition=write_partitions)
+                max_records_per_file=max_records_per_file, repartition=write_partitions,
+                cluster_by=[c for c in cluster_by if c in df.columns])
 
 
 def zone_boroughs(zones: DataFrame, key: str = "location_id", out_key: str = "pulocation_id") -> DataFrame:

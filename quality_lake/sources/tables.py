@@ -39,16 +39,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str = "overwrite",
                 partition_by=(), max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE,
-                repartition: int | None = None) -> None:
+                repartition: int | None = None, cluster_by=()) -> None:
     """Write a directory table.
 
-    ``repartition`` (if given) hash-spreads rows into that many tasks, on the
-    partition columns when there are any so each task writes few directories.
+    ``repartition`` (if given) sets the number of write tasks.  With
+    ``cluster_by`` columns the rows are range-partitioned on the partition
+    columns followed by those columns: every task then writes one or two
+    partition directories, and a partition value holding a large share of the
+    rows is still split over many tasks (a hash on the partition columns alone
+    would send it to one).  Without ``cluster_by`` rows are spread round-robin.
     Overwrite also replaces the schema (``overwriteSchema`` for Delta).
     """
-    partition_by = list(partition_by or ())
+    partition_by, cluster_by = list(partition_by or ()), list(cluster_by or ())
     if repartition:
-        df = df.repartition(repartition, *partition_by) if partition_by else df.repartition(repartition)
+        if cluster_by:
+            df = df.repartitionByRange(repartition, *partition_by, *cluster_by)
+        else:
+            df = df.repartition(repartition)
     writer = df.write.format(fmt).mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
