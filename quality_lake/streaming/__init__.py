@@ -1,0 +1,5 @@
+"""Structured Streaming: the batch cleaning plan applied per micro-batch."""
+
+from .ingest import clean_stream, source_stream
+
+__all__ = ["clean_stream", "source_stream"]
