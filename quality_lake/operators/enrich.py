@@ -61,14 +61,16 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
                  broadcast: bool | None = None, *,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                 null_key_salt_buckets: int = NULL_KEY_SALT_BUCKETS) -> DataFrame:
+                 null_key_salt_buckets: int = NULL_KEY_SALT_BUCKETS,
+                 size_ok: bool | None = None) -> DataFrame:
     """Left outer equi-join adding ``{prefix}_{column}`` for each context column.
 
     ``keys`` maps left key -> context key.  Null keys never match.  ``broadcast``
     True/None broadcast the context when it passes the size check (True warns
     when it does not); False adds no hint and plans the salted shuffle join
     (Spark's own size threshold may still choose a broadcast).  The caller owns the
-    row-count guarantee (see ``assert_unique_context_key``).
+    row-count guarantee (see ``assert_unique_context_key``).  ``size_ok`` passes
+    the result of a size check the caller already ran (see ``enrich``).
     """
     mapping = _key_map(keys)
     missing = [k for k in mapping if k not in left.columns]
@@ -87,7 +89,8 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
 
     use_broadcast = False
     if broadcast is not False:
-        use_broadcast = broadcast_fits(ctx, max_broadcast_rows, max_broadcast_bytes)
+        use_broadcast = (size_ok if size_ok is not None
+                         else broadcast_fits(ctx, max_broadcast_rows, max_broadcast_bytes))
         if broadcast and not use_broadcast:
             warnings.warn(f"context {prefix!r} is larger than the broadcast limit; "
                           f"using a shuffle join", stacklevel=2)
@@ -131,16 +134,50 @@ class JoinSpec:
                    broadcast=d.get("broadcast", True))
 
 
-def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, **join_options) -> DataFrame:
+def context_profile(df: DataFrame, keys) -> tuple[int, int]:
+    """One job: (rows, largest number of rows sharing one non-null key)."""
+    keys = list(keys)
+    present = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
+    r = (df.groupBy(*[_c(k) for k in keys])
+         .agg(F.count(F.lit(1)).alias("__n"), F.first(present).alias("__present"))
+         .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+              F.coalesce(F.max(F.when(F.col("__present"), F.col("__n"))), F.lit(0)).alias("max_per_key"))
+         .first())
+    return int(r["rows"]), int(r["max_per_key"])
+
+
+def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_keys: bool = True,
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, **join_options) -> DataFrame:
     """Apply ``joins`` in order (a later join may key on an earlier join's
-    prefixed output), then keep the fact columns plus each join's outputs."""
+    prefixed output), then keep the fact columns plus each join's outputs.
+
+    Each distinct (context, keys) pair is profiled once, in one aggregation job
+    that both proves its non-null keys unique (so the fact row count cannot
+    change; ``check_keys``) and measures it for the broadcast decision - also
+    when the same context serves several roles.
+    """
     joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
-    out = facts
     for j in joins:
         if j.dataset not in contexts:
             raise ContractError(f"No context table named {j.dataset!r}")
-        out = join_context(out, contexts[j.dataset], j.keys, list(j.columns), j.prefix,
-                           j.broadcast, **join_options)
+    fits: dict[tuple, bool] = {}
+    for j in joins:
+        ckeys = tuple(j.keys.values())
+        if (j.dataset, ckeys) in fits:
+            continue
+        ctx = contexts[j.dataset]
+        rows, per_key = context_profile(ctx, ckeys)
+        if check_keys and per_key > 1:
+            from .keys import assert_unique_context_key
+            assert_unique_context_key(ctx, list(ckeys), j.dataset)  # raises with examples
+        used = sorted({c for k in joins if k.dataset == j.dataset for c in (*k.keys.values(), *k.columns)})
+        width = estimated_row_bytes(ctx.select(*[_c(c) for c in used]).schema)
+        fits[(j.dataset, ckeys)] = rows <= max_broadcast_rows and rows * width <= max_broadcast_bytes
+    out = facts
+    for j in joins:
+        out = join_context(out, contexts[j.dataset], j.keys, list(j.columns), j.prefix, j.broadcast,
+                           size_ok=fits[(j.dataset, tuple(j.keys.values()))], **join_options)
     return out.select(*[_c(c) for c in facts.columns], *[_c(o) for j in joins for o in j.outputs])
 
 

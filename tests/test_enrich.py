@@ -110,3 +110,15 @@ def test_restrict_to_and_hourly_summary(spark):
     s = hourly_summary(kept, ["state_code", "county_code"], "timestamp_gmt", "America/New_York", "m", ["p"])
     rows = [tuple(r) for r in s.collect()]
     assert rows == [("36", "081", dt.datetime(2024, 11, 3, 1), 2.0, "PM2.5")]
+
+
+def test_enrich_rejects_duplicate_context_keys(frames):
+    facts, zones = frames
+    joins = [JoinSpec("zones", {"zone": "location_id"}, ("zone",), "pickup")]
+    with pytest.raises(ContractError, match="duplicate keys"):
+        enrich(facts, {"zones": zones.unionByName(zones)}, joins)
+    # the same context in two roles is profiled once and joined twice
+    two = joins + [JoinSpec("zones", {"other": "location_id"}, ("borough",), "other")]
+    out = enrich(facts, {"zones": zones}, two)
+    assert out.columns[-2:] == ["pickup_zone", "other_borough"]
+    assert plan_text(out).count("BroadcastHashJoin") == 2
