@@ -44,6 +44,7 @@ from .report import (
     diff_results,
     label_column,
     profile,
+    sorted_result,
 )
 
 __all__ = [
@@ -53,6 +54,6 @@ __all__ = [
     "compare_results", "conform", "conform_rejects", "count_by", "diff_results", "drop_unwanted",
     "enrich", "explain_rejects", "flag_negative", "get_transform", "hourly_summary",
     "join_context", "key_stats", "key_violations", "label_column", "map_lookup", "match_rates",
-    "profile", "register_transform", "rename_columns", "restrict_to", "timestamp_from_parts",
+    "profile", "register_transform", "rename_columns", "restrict_to", "sorted_result", "timestamp_from_parts",
     "timestamps_from_pairs",
 ]

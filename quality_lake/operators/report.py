@@ -60,6 +60,11 @@ def profile(df: DataFrame, start: str, end: str, fare: str) -> DataFrame:
     )
 
 
+def sorted_result(df: DataFrame) -> DataFrame:
+    """Order a (small) result by the text form of its first column."""
+    return df.orderBy(_c(df.columns[0]).cast("string"))
+
+
 def compare_results(left: DataFrame, right: DataFrame, keys, rel_tol: float = 1e-9,
                     abs_tol: float = 1e-7) -> DataFrame:
     """Full outer, null-safe join of two results on ``keys``.

@@ -1,6 +1,6 @@
 """Composed jobs: clean/ingest a source, integrate trips, compare layouts."""
 
-from .clean import IngestResult, clean, clean_frame, ingest
+from .clean import STAGES, IngestResult, clean, clean_frame, ingest, stage_rows
 from .integrate import (
     LOCAL_TIMEZONE,
     TAXI_JOINS,
@@ -23,7 +23,7 @@ from .layouts import (
 )
 
 __all__ = [
-    "IngestResult", "LAYOUTS", "LOCAL_TIMEZONE", "QUERIES", "TAXI_JOINS", "WEATHER_COLUMNS",
+    "IngestResult", "LAYOUTS", "STAGES", "stage_rows", "LOCAL_TIMEZONE", "QUERIES", "TAXI_JOINS", "WEATHER_COLUMNS",
     "ZONE_COLUMNS", "add_partition_columns", "build_integrated", "clean", "clean_frame", "ingest",
     "integrate", "layout_profile", "prepare_air_quality", "prepare_pickup_hour", "query_frame",
     "reconcile_layouts", "write_layout", "zone_boroughs",

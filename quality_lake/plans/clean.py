@@ -42,22 +42,48 @@ from ..sources.tables import (
 )
 
 
-def clean_frame(raw: DataFrame, contract: Contract, *, dedup: bool = True) -> DataFrame:
-    """All cleaning steps up to (not including) key validation, as one plan."""
-    df = conform(raw, contract)
+# Stage names, in execution order, for the opt-in stage counts.
+STAGES = ("input", "conformed", "null_policy", "transforms", "rules", "deduplicated")
+
+
+def clean_frame(raw: DataFrame, contract: Contract, *, dedup: bool = True,
+                stage_counts: dict | None = None) -> DataFrame:
+    """All cleaning steps up to (not including) key validation, as one plan.
+
+    ``stage_counts``: pass a dict to receive one ``Observation`` per stage (see
+    ``STAGES``); all are filled by the first action on the returned frame, so
+    counting costs no extra pass.  Off by default: an observation blocks filter
+    pushdown below it, and counts taken before the dedup shuffle can repeat if
+    a stage is re-executed after an executor loss - they are diagnostics.
+    """
+    def mark(df: DataFrame, stage: str) -> DataFrame:
+        if stage_counts is None:
+            return df
+        obs = Observation(f"quality_lake_{stage}")
+        stage_counts[stage] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    df = mark(raw, "input")
+    df = mark(conform(df, contract), "conformed")
     df = rename_columns(df, contract)
-    df = apply_null_policy(df, contract)
-    df = apply_transforms(df, contract.transforms)
+    df = mark(apply_null_policy(df, contract), "null_policy")
+    df = mark(apply_transforms(df, contract.transforms), "transforms")
     df = drop_unwanted(df, contract)
-    df = apply_rules(df, contract.rules)
+    df = mark(apply_rules(df, contract.rules), "rules")
     if dedup:
         df = df.dropDuplicates()
+    df = mark(df, "deduplicated")
     if contract.generated_key is not None:
         gk = contract.generated_key
         df = add_generated_key(df, gk.name, gk.columns)
     return df
 
 
+def stage_rows(stage_counts: dict) -> dict[str, int]:
+    """Row counts per stage after the action ran (input first)."""
+    return {name: stage_counts[name].get["rows"] for name in STAGES if name in stage_counts}
+
+
 def clean(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """Read ``path`` (file or name glob) and clean it; lazy."""
     return clean_frame(read_source(spark, path, contract), contract)
@@ -69,6 +95,7 @@ class IngestResult:
     key_stats: dict
     table_path: str
     staged_path: str
+    stage_rows: dict | None = None
 
 
 def _input_rows(raw: DataFrame) -> int:
@@ -81,7 +108,7 @@ def _input_rows(raw: DataFrame) -> int:
 def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
            fmt: str = DEFAULT_FORMAT, runs_path: str | None = None,
            max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-           validate_key: bool = True) -> IngestResult:
+           validate_key: bool = True, stage_counts: bool = False) -> IngestResult:
     """Clean ``path``, audit the primary key, overwrite ``target``, append a run record.
 
     A key violation raises before ``target`` is touched.
@@ -90,7 +117,8 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
     t0 = time.perf_counter()
     raw = read_source(spark, path, contract)
     input_rows = _input_rows(raw)
-    cleaned = clean_frame(raw, contract)
+    stages = {} if stage_counts else None
+    cleaned = clean_frame(raw, contract, stage_counts=stages)
     out_obs = Observation("quality_lake_output")
     cleaned = cleaned.observe(out_obs, F.count(F.lit(1)).alias("rows"))
 
@@ -107,4 +135,5 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
                         input_rows, processed, contract.schema_version)
     if runs_path:
         append_run_record(spark, record, runs_path)
-    return IngestResult(record, stats, target, staged_path)
+    return IngestResult(record, stats, target, staged_path,
+                        stage_rows(stages) if stages is not None else None)

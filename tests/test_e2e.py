@@ -154,3 +154,13 @@ def test_source_errors(spark, tmp_dir):
     with open(f"{tmp_dir}/reordered.csv", "w") as h:
         h.write('Zone,service_zone,Borough,LocationID\nA,B,Queens,1\n')
     assert clean(spark, f"{tmp_dir}/reordered.csv", zones).first().county_code == "081"
+
+
+def test_stage_counts_opt_in(spark, tmp_dir):
+    res = ingest(spark, write_weather(f"{tmp_dir}/w.csv"), bundled_contract("weather"),
+                 f"{tmp_dir}/weather", stage_counts=True)
+    assert res.stage_rows == {"input": 10, "conformed": 9, "null_policy": 9, "transforms": 8,
+                              "rules": 7, "deduplicated": 6}
+    assert res.record["processed_records"] == 6
+    assert ingest(spark, f"{tmp_dir}/w.csv", bundled_contract("weather"),
+                  f"{tmp_dir}/weather2").stage_rows is None
