@@ -63,9 +63,11 @@ def cast_value(c: Column, source_type: T.DataType, target: T.DataType) -> Column
     if source_type == target:
         return c
     if isinstance(source_type, T.StringType) and isinstance(target, _INTEGRAL):
+        # Plain text converts directly; only text with a '.' that failed takes
+        # the (regex) fraction path, so typical values never touch a regex.
         text = F.regexp_replace(c, _BARE_FRACTION, "$10.$2")
         text = F.regexp_replace(text, _TRAILING_FRACTION, "")
-        return text.try_cast(target)
+        return F.coalesce(c.try_cast(target), F.when(F.instr(c, ".") > 0, text.try_cast(target)))
     return c.try_cast(target)
 
 

@@ -45,15 +45,20 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str =
     ``repartition`` (if given) sets the number of write tasks.  With
     ``cluster_by`` columns the rows are range-partitioned on the partition
     columns followed by those columns: every task then writes one or two
-    partition directories, and a partition value holding a large share of the
-    rows is still split over many tasks (a hash on the partition columns alone
-    would send it to one).  Without ``cluster_by`` rows are spread round-robin.
+    partition directories, and a partition value - or a single cluster value -
+    holding a large share of the rows is still split over many tasks (a hash on
+    the partition columns alone would send it to one).  Without ``cluster_by``
+    rows are spread round-robin.
     Overwrite also replaces the schema (``overwriteSchema`` for Delta).
     """
     partition_by, cluster_by = list(partition_by or ()), list(cluster_by or ())
     if repartition:
         if cluster_by:
-            df = df.repartitionByRange(repartition, *partition_by, *cluster_by)
+            # Deterministic tie-breakers: a row hash, then the input partition,
+            # so even rows sharing one exact cluster value (or exact copies) can
+            # be cut into several ranges - a tie group is at most one input split.
+            ties = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.spark_partition_id()]
+            df = df.repartitionByRange(repartition, *partition_by, *cluster_by, *ties)
         else:
             df = df.repartition(repartition)
     writer = df.write.format(fmt).mode(mode)

@@ -38,6 +38,18 @@ def test_hot_partition_value_is_split_over_tasks(spark, tmp_dir):
     assert stats.data_bytes > 0
 
 
+def test_identical_cluster_values_are_split(spark, tmp_dir):
+    # one exact timestamp for every row, in 4 input partitions
+    df = (spark.range(0, 4000, 1, 4)
+          .withColumn("ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
+          .withColumn("y", F.lit(2024)))
+    path = f"{tmp_dir}/same"
+    write_table(df, path, partition_by=["y"], repartition=4, cluster_by=["ts"], max_records_per_file=None)
+    sizes = [os.path.getsize(f"{path}/y=2024/{f}") for f in _files(f"{path}/y=2024")]
+    assert len(sizes) >= 3
+    assert read_table(spark, path).count() == 4000
+
+
 def test_round_robin_without_cluster_columns(spark, tmp_dir):
     df = spark.range(1000).withColumn("p", F.lit(1))
     path = f"{tmp_dir}/rr"
