@@ -385,8 +385,9 @@ def q_match_rates(spark, d):
 
 
 def q_semi_reduce(spark, d):
-    negative = _t(spark, d, "customer").filter(F.col("c_acctbal") < 0)
-    return restrict_to(_t(spark, d, "supplier"), negative, {"s_nationkey": "c_nationkey"})
+    indebted = _t(spark, d, "customer").filter(
+        (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < -500))
+    return restrict_to(_t(spark, d, "supplier"), indebted, {"s_nationkey": "c_nationkey"})
 
 
 def q_county_hour_summary(spark, d):
@@ -754,7 +755,8 @@ SELECT count(*) AS rows, count(u.c_name) AS user_matches, count(p.c_name) AS pee
 {_EVENT_CHAIN}""",
     "semi_reduce": """
 SELECT * FROM supplier s
-WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal < 0 AND c.c_nationkey = s.s_nationkey)""",
+WHERE EXISTS (SELECT 1 FROM customer c
+              WHERE c.c_mktsegment = 'BUILDING' AND c.c_acctbal < -500 AND c.c_nationkey = s.s_nationkey)""",
     "county_hour_summary": """
 SELECT event_type, date_trunc('hour', (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') AS hour,
        round(avg(value), 6) AS measurement, min(props) AS props

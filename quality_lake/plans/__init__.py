@@ -11,6 +11,7 @@ from .integrate import (
     prepare_air_quality,
     prepare_pickup_hour,
 )
+from .warehouse import DATASETS, build_warehouse
 from .layouts import (
     LAYOUTS,
     QUERIES,
@@ -23,7 +24,7 @@ from .layouts import (
 )
 
 __all__ = [
-    "IngestResult", "LAYOUTS", "STAGES", "stage_rows", "LOCAL_TIMEZONE", "QUERIES", "TAXI_JOINS", "WEATHER_COLUMNS",
+    "DATASETS", "IngestResult", "LAYOUTS", "build_warehouse", "STAGES", "stage_rows", "LOCAL_TIMEZONE", "QUERIES", "TAXI_JOINS", "WEATHER_COLUMNS",
     "ZONE_COLUMNS", "add_partition_columns", "build_integrated", "clean", "clean_frame", "ingest",
     "integrate", "layout_profile", "prepare_air_quality", "prepare_pickup_hour", "query_frame",
     "reconcile_layouts", "write_layout", "zone_boroughs",

@@ -164,3 +164,18 @@ def test_stage_counts_opt_in(spark, tmp_dir):
     assert res.record["processed_records"] == 6
     assert ingest(spark, f"{tmp_dir}/w.csv", bundled_contract("weather"),
                   f"{tmp_dir}/weather2").stage_rows is None
+
+
+def test_build_warehouse_runs_everything(spark, tmp_dir):
+    from quality_lake.plans import build_warehouse
+    src = {"zones": write_zones(f"{tmp_dir}/z.csv"), "weather": write_weather(f"{tmp_dir}/w.csv"),
+           "air_quality": write_air_quality(f"{tmp_dir}/a.csv"), "taxi": write_trips(spark, f"{tmp_dir}/t")}
+    out = build_warehouse(spark, src, f"{tmp_dir}/wh")
+    assert list(out["runs"]) == ["taxi", "air_quality", "weather", "zones"]
+    assert out["integration"]["rows"] == 8
+    assert len(spark.read.parquet(f"{tmp_dir}/wh/integrated/integrated_taxi_trips").columns) == 39
+    # a failing source stops the run before integration
+    bad = dict(src, weather=write_weather(f"{tmp_dir}/w2.csv", conflict=True))
+    with pytest.raises(ContractError):
+        build_warehouse(spark, bad, f"{tmp_dir}/wh2")
+    assert not os.path.exists(f"{tmp_dir}/wh2/integrated")
