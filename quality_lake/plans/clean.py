@@ -108,14 +108,20 @@ def _input_rows(raw: DataFrame) -> int:
 def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
            fmt: str = DEFAULT_FORMAT, runs_path: str | None = None,
            max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-           validate_key: bool = True, stage_counts: bool = False) -> IngestResult:
+           validate_key: bool = True, stage_counts: bool = False,
+           size_shuffle_partitions: bool = False) -> IngestResult:
     """Clean ``path``, audit the primary key, overwrite ``target``, append a run record.
 
-    A key violation raises before ``target`` is touched.
+    A key violation raises before ``target`` is touched.  With
+    ``size_shuffle_partitions`` the session's initial shuffle partition count is
+    set from the source's size first (see ``plans.sizing``).
     """
     started_at = datetime.now(timezone.utc)
     t0 = time.perf_counter()
     raw = read_source(spark, path, contract)
+    if size_shuffle_partitions:
+        from .sizing import size_shuffle
+        size_shuffle(spark, raw)
     input_rows = _input_rows(raw)
     stages = {} if stage_counts else None
     cleaned = clean_frame(raw, contract, stage_counts=stages)

@@ -67,3 +67,20 @@ def test_run_records_append_and_stage(spark, tmp_dir):
     staged = stage(spark.range(5), "unit")
     assert staged.count() == 5
     assert staged.inputFiles()[0].startswith(scratch_root(spark).replace("file:", "file://")[:12])
+
+
+def test_shuffle_sizing(spark, tmp_dir):
+    from quality_lake.plans.sizing import shuffle_partitions_for, size_shuffle
+    assert shuffle_partitions_for(100 * 2**40, 8000) == 1_228_800  # 100 TiB -> ~256 MiB partitions
+    assert shuffle_partitions_for(10, 8) == 8
+    spark.range(1000).write.parquet(f"{tmp_dir}/s")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    try:
+        n = size_shuffle(spark, spark.read.parquet(f"{tmp_dir}/s"))
+        assert n == spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        else:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
