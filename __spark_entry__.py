@@ -52,9 +52,8 @@ from quality_lake.plans import (  # noqa: E402
     clean_frame,
     ingest,
     query_frame,
-    write_layout,
 )
-from quality_lake.sources import file_stats, read_table, scratch_path, stage  # noqa: E402
+from quality_lake.sources import file_stats, read_table, scratch_path, stage, write_table  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -441,7 +440,6 @@ def _orders_layout(spark, d, layout):
     o = add_partition_columns(_t(spark, d, "orders"), "o_orderdate", "order")
     path = scratch_path(spark, f"orders-{layout}")
     layouts = {"unpartitioned": [], "order_month": ["order_year", "order_month"]}
-    from quality_lake.sources import write_table
     write_table(o, path, "parquet", "errorifexists", partition_by=layouts[layout],
                 max_records_per_file=5000, repartition=4, cluster_by=["o_orderdate"])
     return read_table(spark, path)

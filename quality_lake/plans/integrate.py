@@ -3,9 +3,10 @@
 Every context side is small by construction (zones: a few hundred rows;
 weather: one row per hour; air quality: counties x hours after aggregation), so
 the chain of four left joins is broadcast and the fact table is never shuffled.
-Each context is checked for unique join keys *before* anything runs, which is
-what guarantees that the fact row count cannot change; the write then
-cross-checks the count and the match rates through an ``Observation``.
+Each context is profiled once before the join runs (``enrich``): that proves its
+non-null join keys unique, which guarantees that the fact row count cannot
+change, and sizes it for the broadcast.  The write then cross-checks the count
+and collects the match rates through an ``Observation`` on its result stage.
 """
 
 from __future__ import annotations

@@ -23,12 +23,20 @@ DEFAULT_MAX_RECORDS_PER_FILE = 100_000
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session (set one only if unset)."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="quality-lake-ckpt-"))
-        root = sc.getCheckpointDir()
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            root = tempfile.mkdtemp(prefix="quality-lake-ckpt-")  # local sessions (tests) only
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir()
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
