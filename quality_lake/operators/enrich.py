@@ -62,7 +62,7 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                  null_key_salt_buckets: int = NULL_KEY_SALT_BUCKETS,
-                 size_ok: bool | None = None) -> DataFrame:
+                 size_ok: bool | None = None, marker: bool = False) -> DataFrame:
     """Left outer equi-join adding ``{prefix}_{column}`` for each context column.
 
     ``keys`` maps left key -> context key.  Null keys never match.  ``broadcast``
@@ -71,6 +71,8 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
     (Spark's own size threshold may still choose a broadcast).  The caller owns the
     row-count guarantee (see ``assert_unique_context_key``).  ``size_ok`` passes
     the result of a size check the caller already ran (see ``enrich``).
+    ``marker`` adds ``{prefix}_matched``: true exactly when a context row
+    matched, also when the matched row's own columns are null.
     """
     mapping = _key_map(keys)
     missing = [k for k in mapping if k not in left.columns]
@@ -78,13 +80,15 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
     if missing:
         raise ContractError(f"Join on {prefix}: missing columns {missing}")
     out_names = [f"{prefix}_{c}" for c in columns]
-    clash = sorted(set(out_names) & set(left.columns))
+    marker_name = f"{prefix}_matched"
+    clash = sorted((set(out_names) | ({marker_name} if marker else set())) & set(left.columns))
     if clash:
         raise ContractError(f"Join on {prefix} would overwrite columns {clash}")
 
     tmp = {lk: f"__{prefix}_key{i}" for i, lk in enumerate(mapping)}
     ctx = right.select(*[_c(rk).alias(tmp[lk]) for lk, rk in mapping.items()],
-                       *[_c(c).alias(o) for c, o in zip(columns, out_names)])
+                       *[_c(c).alias(o) for c, o in zip(columns, out_names)],
+                       *([F.lit(True).alias(marker_name)] if marker else []))
     cond = [_c(lk) == F.col(tmp[lk]) for lk in mapping]
 
     use_broadcast = False
@@ -108,7 +112,8 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
         ctx = ctx.withColumn("__ctx_salt", F.when(ctx_null, F.lit(-1)).otherwise(F.lit(0)).cast("long"))
         cond.append(F.col("__null_salt") == F.col("__ctx_salt"))
         joined = salted.join(ctx, reduce(lambda a, b: a & b, cond), "left")
-    return joined.select(*[_c(c) for c in left.columns], *[_c(o) for o in out_names])
+    extra = [F.coalesce(_c(marker_name), F.lit(False)).alias(marker_name)] if marker else []
+    return joined.select(*[_c(c) for c in left.columns], *[_c(o) for o in out_names], *extra)
 
 
 @dataclass(frozen=True)

@@ -81,3 +81,14 @@ def test_rename_null_policy_and_drop(spark):
     out = drop_unwanted(apply_null_policy(rename_columns(conform(df, c), c), c), c)
     assert out.columns == ["key_id", "full_name", "score"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, "n/a", 0), (2, "b", 5)]
+
+
+def test_repeated_csv_header_is_named(spark, tmp_dir):
+    from quality_lake.sources import read_source
+    path = f"{tmp_dir}/dup.csv"
+    with open(path, "w") as h:
+        h.write("a,b,b\n1,2,3\n")
+    c = Contract.from_dict({"table_name": "t", "format": "csv",
+                            "columns": [{"name": n, "type": "int"} for n in ("a", "b")]})
+    with pytest.raises(ContractError, match="repeated header"):
+        conform(read_source(spark, path, c), c)

@@ -122,3 +122,13 @@ def test_enrich_rejects_duplicate_context_keys(frames):
     out = enrich(facts, {"zones": zones}, two)
     assert out.columns[-2:] == ["pickup_zone", "other_borough"]
     assert plan_text(out).count("BroadcastHashJoin") == 2
+
+
+def test_match_marker_separates_null_columns_from_no_match(spark, frames):
+    facts, zones = frames
+    zones = zones.withColumn("zone", F.when(F.col("location_id") == 1, None).otherwise(F.col("zone")))
+    out = join_context(facts, zones, {"zone": "location_id"}, ["zone"], "p", marker=True)
+    got = {(r.zone, r.p_zone is None, r.p_matched) for r in out.collect()}
+    assert (1, True, True) in got        # matched, but the match column is null
+    assert (4, True, False) in got       # no context row
+    assert (None, True, False) in got    # null key never matches

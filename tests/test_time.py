@@ -50,3 +50,12 @@ def test_timestamp_from_parts(session_modes):
     # no year/month/day columns: every row is invalid
     only_hour = spark.createDataFrame([(1, 2.0)], "hour int, temp double")
     assert timestamp_from_parts(only_hour).count() == 0
+
+
+def test_duration_ignores_session_zone(session_modes):
+    from quality_lake.functions import duration_seconds
+    spark = session_modes
+    df = spark.createDataFrame([(D(2024, 3, 10, 1, 30), D(2024, 3, 10, 3, 30)),
+                                (D(2024, 11, 3, 0, 30), D(2024, 11, 3, 2, 30))], "s timestamp_ntz, e timestamp_ntz")
+    got = [r.d for r in df.select(duration_seconds(F.col("s"), F.col("e")).alias("d")).collect()]
+    assert got == [7200, 7200]
