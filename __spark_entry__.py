@@ -482,7 +482,9 @@ def _orders_faults(spark, d):
 
 
 def q_ingest_orders(spark, d):
-    cleaned = clean_frame(_orders_faults(spark, d), ORDERS_CONTRACT)
+    # write-audit: the cleaned rows are staged once in the shared checkpoint
+    # folder, the key audit reads only the key column, the result reads the stage
+    cleaned = stage(clean_frame(_orders_faults(spark, d), ORDERS_CONTRACT), "clean-orders")
     assert_primary_key(cleaned, list(ORDERS_CONTRACT.primary_key), ORDERS_CONTRACT.table_name)
     return cleaned
 

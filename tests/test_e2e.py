@@ -179,3 +179,12 @@ def test_build_warehouse_runs_everything(spark, tmp_dir):
     with pytest.raises(ContractError):
         build_warehouse(spark, bad, f"{tmp_dir}/wh2")
     assert not os.path.exists(f"{tmp_dir}/wh2/integrated")
+
+
+def test_cleaning_plan_has_one_shuffle(spark, built):
+    import re as _re
+    from quality_lake.plans import clean
+    glob = os.path.join(built["root"], "trips", "yellow_tripdata_2024-*.parquet")
+    plan = plan_text(clean(spark, glob, bundled_contract("taxi_trips")))
+    assert len(_re.findall(r"Exchange hashpartitioning", plan)) == 1  # the exact-row dedup
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
