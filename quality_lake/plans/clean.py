@@ -20,6 +20,7 @@ plain ``count()`` of the scan.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -36,6 +37,7 @@ from ..sources.tables import (
     DEFAULT_FORMAT,
     DEFAULT_MAX_RECORDS_PER_FILE,
     append_run_record,
+    release,
     run_record,
     scratch_path,
     write_table,
@@ -59,7 +61,7 @@ def clean_frame(raw: DataFrame, contract: Contract, *, dedup: bool = True,
     def mark(df: DataFrame, stage: str) -> DataFrame:
         if stage_counts is None:
             return df
-        obs = Observation(f"quality_lake_{stage}")
+        obs = Observation(f"quality_lake_{stage}_{uuid.uuid4().hex[:12]}")
         stage_counts[stage] = obs
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
@@ -109,12 +111,14 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
            fmt: str = DEFAULT_FORMAT, runs_path: str | None = None,
            max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
            validate_key: bool = True, stage_counts: bool = False,
-           size_shuffle_partitions: bool = False) -> IngestResult:
+           size_shuffle_partitions: bool = False, keep_staged: bool = False) -> IngestResult:
     """Clean ``path``, audit the primary key, overwrite ``target``, append a run record.
 
     A key violation raises before ``target`` is touched.  With
     ``size_shuffle_partitions`` the session's initial shuffle partition count is
-    set from the source's size first (see ``plans.sizing``).
+    set from the source's size first (see ``plans.sizing``).  The staged copy is
+    released after a successful publish unless ``keep_staged``; after a key
+    violation it stays for inspection.
     """
     started_at = datetime.now(timezone.utc)
     t0 = time.perf_counter()
@@ -125,7 +129,7 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
     input_rows = _input_rows(raw)
     stages = {} if stage_counts else None
     cleaned = clean_frame(raw, contract, stage_counts=stages)
-    out_obs = Observation("quality_lake_output")
+    out_obs = Observation(f"quality_lake_output_{uuid.uuid4().hex[:12]}")
     cleaned = cleaned.observe(out_obs, F.count(F.lit(1)).alias("rows"))
 
     staged_path = scratch_path(spark, f"staged-{contract.table_name}")
@@ -135,6 +139,8 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
     if validate_key and contract.primary_key:
         stats = assert_primary_key(staged, list(contract.primary_key), contract.table_name)
     write_table(staged, target, fmt, "overwrite", max_records_per_file=max_records_per_file)
+    if not keep_staged:
+        release(spark, staged_path)
 
     processed = out_obs.get["rows"]
     record = run_record(contract.table_name, path, started_at, time.perf_counter() - t0,

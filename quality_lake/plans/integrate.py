@@ -11,6 +11,8 @@ and collects the match rates through an ``Observation`` on its result stage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def integrate(tables: dict[str, DataFrame], target: str, joins=TAXI_JOINS, *,
     joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
     fact_rows = tables["taxi"].count()
     integrated = build_integrated(tables, joins, tz)
-    metrics = Observation("quality_lake_integrated")
+    metrics = Observation(f"quality_lake_integrated_{uuid.uuid4().hex[:12]}")
     labelled = {j.prefix: f"{j.prefix}_{j.match_column}" for j in joins if j.match_column}
     integrated = integrated.observe(
         metrics, F.count(F.lit(1)).alias("rows"),

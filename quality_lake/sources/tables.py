@@ -93,6 +93,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Free a staged table's storage: overwrite it with an empty frame of the
+    same schema, which makes Spark's writer delete the old files on any file
+    system (no file-system API needed)."""
+    schema = spark.read.parquet(path).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 def file_stats(df: DataFrame) -> DataFrame:
     """Data files and bytes behind a file-based frame (one row)."""
     files = df.select(F.col("_metadata.file_path").alias("file_path"),

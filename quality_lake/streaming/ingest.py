@@ -16,6 +16,7 @@ within one micro-batch (one "run"), as they do within one batch ingestion run.
 from __future__ import annotations
 
 import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,6 +29,7 @@ from ..plans.clean import clean_frame
 from ..sources.tables import (
     DEFAULT_FORMAT,
     append_run_record,
+    release,
     run_record,
     scratch_path,
     scratch_root,
@@ -65,7 +67,7 @@ def _batch_writer(contract: Contract, target: str, fmt: str, runs_path: str | No
         # The file source is replayable, so the input count simply rescans the
         # batch's files; the output count is observed in the staged write.
         input_rows = batch.count()
-        out = Observation(f"stream_out_{batch_id}")
+        out = Observation(f"quality_lake_stream_{batch_id}_{uuid.uuid4().hex[:12]}")
         cleaned = clean_frame(batch, contract).observe(out, F.count(F.lit(1)).alias("rows"))
         write_table(cleaned, staged_path, "parquet", "errorifexists", max_records_per_file=None)
         staged = spark.read.parquet(staged_path)
@@ -76,6 +78,7 @@ def _batch_writer(contract: Contract, target: str, fmt: str, runs_path: str | No
         (staged.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
          .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COLUMN).save(target))
+        release(spark, staged_path)
         if runs_path:
             record = run_record(contract.table_name, f"{source}#batch={batch_id}", started,
                                 time.perf_counter() - t0, input_rows, out.get["rows"],

@@ -123,6 +123,14 @@ def test_key_violation_fails_before_write(spark, tmp_dir):
     assert not os.path.exists(target)
 
 
+def test_staged_copy_released_after_publish(spark, tmp_dir):
+    res = ingest(spark, write_weather(f"{tmp_dir}/w.csv"), bundled_contract("weather"), f"{tmp_dir}/t")
+    assert spark.read.parquet(res.staged_path).count() == 0
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 6
+    kept = ingest(spark, f"{tmp_dir}/w.csv", bundled_contract("weather"), f"{tmp_dir}/t2", keep_staged=True)
+    assert spark.read.parquet(kept.staged_path).count() == 6
+
+
 def test_null_key_parts_fail(spark, tmp_dir):
     with pytest.raises(ContractError):
         ingest(spark, write_air_quality(f"{tmp_dir}/a.csv", null_poc=True),
