@@ -52,6 +52,7 @@ from quality_lake.plans import (  # noqa: E402
     clean_frame,
     ingest,
     query_frame,
+    stage_rows,
 )
 from quality_lake.sources import file_stats, read_table, scratch_path, stage, write_table  # noqa: E402
 
@@ -489,6 +490,15 @@ def q_ingest_orders(spark, d):
     return cleaned
 
 
+def q_stage_counts(spark, d):
+    # one pass of the cleaning plan; every stage's count is an Observation
+    stages: dict = {}
+    clean_frame(_orders_faults(spark, d), ORDERS_CONTRACT, stage_counts=stages) \
+        .write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(k, int(v)) for k, v in stage_rows(stages).items()],
+                                 "stage string, rows long")
+
+
 def q_run_records(spark, d):
     runs = scratch_path(spark, "runs")
     ingest(spark, f"{d}/orders.parquet", Contract.from_dict({
@@ -541,6 +551,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_stats": q_file_stats,
     "result_diff": q_result_diff,
     "ingest_orders": q_ingest_orders,
+    "stage_counts": q_stage_counts,
     "run_records": q_run_records,
 }
 
@@ -809,6 +820,16 @@ WITH r AS (
   SELECT {_LABEL} AS nation, count(*) AS order_count
   FROM orders o LEFT JOIN ({_NATION_LABELS}) l USING (o_custkey) GROUP BY 1)
 SELECT nation, order_count AS left_order_count, order_count AS right_order_count, TRUE AS matches FROM r""",
+    "stage_counts": f"""
+WITH f AS ({_ORDERS_FAULTS}),
+r AS (SELECT * FROM f WHERE o_orderdate IS NOT NULL AND NOT COALESCE(isnan(o_totalprice) OR isinf(o_totalprice), FALSE))
+SELECT 'input' AS stage, count(*) AS rows FROM f
+UNION ALL SELECT 'conformed', count(*) FROM f
+UNION ALL SELECT 'null_policy', count(*) FROM f WHERE o_orderkey IS NOT NULL
+UNION ALL SELECT 'transforms', count(*) FROM f WHERE o_orderkey IS NOT NULL
+UNION ALL SELECT 'rules', count(*) FROM r
+UNION ALL SELECT 'deduplicated', count(*) FROM (
+  SELECT DISTINCT o_orderkey, o_custkey, COALESCE(o_orderstatus, 'U'), o_totalprice, o_orderdate FROM r) d""",
     "run_records": """
 SELECT 'orders_raw' AS table_name, count(*) AS input_records,
   count(*) FILTER (WHERE NOT COALESCE(o_totalprice < 50000 OR o_totalprice > 400000, FALSE)) AS processed_records,
