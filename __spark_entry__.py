@@ -59,8 +59,19 @@ from quality_lake.sources import file_stats, read_table, scratch_path, stage, wr
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
+_SCANS: dict[str, DataFrame] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table as a scan, defined once per session and path and then
+    reused the way a catalog table is: Parquet schema inference is a Spark job
+    of its own, which a query should not pay on every run.  Only the scan's
+    definition (schema, file listing) is kept; no data is cached."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = _SCANS.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[path] = spark.read.parquet(path)
+    return df
 
 
 def _k(col: str, m: int):

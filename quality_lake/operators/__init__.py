@@ -34,6 +34,7 @@ from .keys import (
     assert_unique_context_key,
     key_stats,
     key_violations,
+    observed_key_stats,
 )
 from .quality import apply_rules, explain_rejects
 from .report import (
@@ -54,6 +55,6 @@ __all__ = [
     "compare_results", "conform", "conform_rejects", "count_by", "diff_results", "drop_unwanted",
     "enrich", "explain_rejects", "flag_negative", "get_transform", "hourly_summary",
     "join_context", "key_stats", "key_violations", "label_column", "map_lookup", "match_rates",
-    "profile", "register_transform", "rename_columns", "restrict_to", "sorted_result", "timestamp_from_parts",
+    "observed_key_stats", "profile", "register_transform", "rename_columns", "restrict_to", "sorted_result", "timestamp_from_parts",
     "timestamps_from_pairs",
 ]

@@ -14,7 +14,7 @@ import warnings
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +41,25 @@ def estimated_row_bytes(schema: T.StructType) -> int:
     return 16 + sum(_FIXED_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in schema.fields)
 
 
+def row_count(df: DataFrame) -> int:
+    """Exact row count in one stage: an ``Observation`` on a ``noop`` write.
+
+    ``count()`` (with or without a ``limit``) adds a shuffle, which AQE runs as a
+    job of its own; the observed pass is a single result stage whose metric is
+    applied once per task even when tasks are retried.  Columns nobody reads are
+    pruned from the scan.
+    """
+    obs = Observation()
+    (df.select().observe(obs, F.count(F.lit(1)).alias("rows"))
+       .write.format("noop").mode("overwrite").save())
+    return int(obs.get["rows"])
+
+
 def broadcast_fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """Size check for a broadcast side: counts at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
+    """Size check for a broadcast side: its exact row count times an upper
+    estimate of the row width must stay within both limits."""
+    n = row_count(df)
     return n <= max_rows and n * estimated_row_bytes(df.schema) <= max_bytes
 
 
@@ -140,16 +155,42 @@ class JoinSpec:
                    broadcast=d.get("broadcast", True))
 
 
+def context_profiles(items) -> list[tuple[int, int]]:
+    """For each ``(frame, keys)``: (rows, largest number of rows sharing one
+    non-null key).
+
+    Each frame is counted per key (a partial, map-side aggregation, so a hot key
+    is collapsed before its shuffle); the per-key counts of all frames form one
+    union that is reduced by an ``Observation`` on a ``noop`` write.  So all
+    profiles are one job: the keyed aggregations run side by side, and no
+    second shuffle gathers their results.
+    """
+    items = list(items)
+    if not items:
+        return []
+    parts = []
+    for i, (df, keys) in enumerate(items):
+        keys = list(keys)
+        present = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
+        parts.append(df.groupBy(*[_c(k) for k in keys])
+                     .agg(F.count(F.lit(1)).alias("__n"), F.max(present).alias("__present"))
+                     .select(F.lit(i).alias("__item"), "__n", "__present"))
+    metrics = []
+    for i in range(len(items)):
+        mine = F.col("__item") == i
+        metrics += [F.coalesce(F.sum(F.when(mine, F.col("__n"))), F.lit(0)).alias(f"rows{i}"),
+                    F.coalesce(F.max(F.when(mine & F.col("__present"), F.col("__n"))), F.lit(0))
+                    .alias(f"max{i}")]
+    obs = Observation()
+    (reduce(DataFrame.unionByName, parts).observe(obs, *metrics)
+     .write.format("noop").mode("overwrite").save())
+    got = obs.get
+    return [(int(got[f"rows{i}"]), int(got[f"max{i}"])) for i in range(len(items))]
+
+
 def context_profile(df: DataFrame, keys) -> tuple[int, int]:
     """One job: (rows, largest number of rows sharing one non-null key)."""
-    keys = list(keys)
-    present = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
-    r = (df.groupBy(*[_c(k) for k in keys])
-         .agg(F.count(F.lit(1)).alias("__n"), F.first(present).alias("__present"))
-         .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-              F.coalesce(F.max(F.when(F.col("__present"), F.col("__n"))), F.lit(0)).alias("max_per_key"))
-         .first())
-    return int(r["rows"]), int(r["max_per_key"])
+    return context_profiles([(df, keys)])[0]
 
 
 def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_keys: bool = True,
@@ -158,8 +199,8 @@ def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_key
     """Apply ``joins`` in order (a later join may key on an earlier join's
     prefixed output), then keep the fact columns plus each join's outputs.
 
-    Each distinct (context, keys) pair is profiled once, in one aggregation job
-    that both proves its non-null keys unique (so the fact row count cannot
+    Each distinct (context, keys) pair is profiled once - all of them in one
+    job (``context_profiles``) - which both proves its non-null keys unique (so the fact row count cannot
     change; ``check_keys``) and measures it for the broadcast decision - also
     when the same context serves several roles.
     """
@@ -167,18 +208,16 @@ def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_key
     for j in joins:
         if j.dataset not in contexts:
             raise ContractError(f"No context table named {j.dataset!r}")
+    pairs = list(dict.fromkeys((j.dataset, tuple(j.keys.values())) for j in joins))
+    profiles = context_profiles([(contexts[ds], ckeys) for ds, ckeys in pairs])
     fits: dict[tuple, bool] = {}
-    for j in joins:
-        ckeys = tuple(j.keys.values())
-        if (j.dataset, ckeys) in fits:
-            continue
-        ctx = contexts[j.dataset]
-        rows, per_key = context_profile(ctx, ckeys)
+    for (ds, ckeys), (rows, per_key) in zip(pairs, profiles):
+        ctx = contexts[ds]
         if check_keys and per_key > 1:
-            assert_unique_context_key(ctx, list(ckeys), j.dataset)  # raises with examples
-        used = sorted({c for k in joins if k.dataset == j.dataset for c in (*k.keys.values(), *k.columns)})
+            assert_unique_context_key(ctx, list(ckeys), ds)  # raises with examples
+        used = sorted({c for k in joins if k.dataset == ds for c in (*k.keys.values(), *k.columns)})
         width = estimated_row_bytes(ctx.select(*[_c(c) for c in used]).schema)
-        fits[(j.dataset, ckeys)] = rows <= max_broadcast_rows and rows * width <= max_broadcast_bytes
+        fits[(ds, ckeys)] = rows <= max_broadcast_rows and rows * width <= max_broadcast_bytes
     out = facts
     for j in joins:
         out = join_context(out, contexts[j.dataset], j.keys, list(j.columns), j.prefix, j.broadcast,

@@ -37,6 +37,7 @@ from ..sources.tables import (
     DEFAULT_FORMAT,
     DEFAULT_MAX_RECORDS_PER_FILE,
     append_run_record,
+    read_staged,
     release,
     run_record,
     scratch_path,
@@ -134,7 +135,7 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
 
     staged_path = scratch_path(spark, f"staged-{contract.table_name}")
     write_table(cleaned, staged_path, "parquet", "errorifexists", max_records_per_file=max_records_per_file)
-    staged = spark.read.parquet(staged_path)
+    staged = read_staged(spark, staged_path, cleaned.schema)
     stats = {}
     if validate_key and contract.primary_key:
         stats = assert_primary_key(staged, list(contract.primary_key), contract.table_name)

@@ -90,7 +90,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     write_table(df, path, "parquet", "errorifexists", max_records_per_file=None)
-    return spark.read.parquet(path)
+    return read_staged(spark, path, df.schema)
+
+
+def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read back a table this job just wrote with ``schema``: passing the known
+    schema skips Parquet schema inference, which is a Spark job of its own."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession, path: str) -> None:

@@ -29,6 +29,7 @@ from ..plans.clean import clean_frame
 from ..sources.tables import (
     DEFAULT_FORMAT,
     append_run_record,
+    read_staged,
     release,
     run_record,
     scratch_path,
@@ -70,7 +71,7 @@ def _batch_writer(contract: Contract, target: str, fmt: str, runs_path: str | No
         out = Observation(f"quality_lake_stream_{batch_id}_{uuid.uuid4().hex[:12]}")
         cleaned = clean_frame(batch, contract).observe(out, F.count(F.lit(1)).alias("rows"))
         write_table(cleaned, staged_path, "parquet", "errorifexists", max_records_per_file=None)
-        staged = spark.read.parquet(staged_path)
+        staged = read_staged(spark, staged_path, cleaned.schema)
         if contract.primary_key:
             assert_primary_key(staged, list(contract.primary_key), contract.table_name)
         # Idempotent: a batch replayed after a failure overwrites only its own
