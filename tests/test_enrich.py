@@ -165,3 +165,19 @@ def test_shuffle_fallback_splits_a_hot_key(spark, tmp_dir):
             spark.conf.unset(k)
     nulls = facts.filter(F.col("zone").isNull()).count()
     assert (r.rows, r.matched, r.wrong) == (n, n - nulls, 0)
+
+
+def test_profiles_of_several_contexts_in_one_job(spark, frames):
+    from quality_lake.operators.enrich import context_profiles, row_count
+    facts, zones = frames
+    empty = zones.filter(F.lit(False))
+    nulls = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k int, v string")
+    got = context_profiles([(zones, ["location_id"]), (empty, ["location_id"]),
+                            (zones.unionByName(zones.limit(1)), ["location_id"]), (nulls, ["k"]),
+                            (facts, ["zone", "other"])])
+    # null keys never match, so two null-key rows do not count as a repeat
+    assert got[:4] == [(4, 1), (0, 0), (5, 2), (3, 1)]
+    per_key = facts.filter(F.col("zone").isNotNull()).groupBy("zone", "other").count()
+    assert got[4] == (200, per_key.agg(F.max("count")).first()[0])
+    assert context_profiles([]) == []
+    assert (row_count(facts), row_count(empty)) == (200, 0)

@@ -2,9 +2,16 @@ import datetime as dt
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from quality_lake import ContractError
-from quality_lake.operators import add_generated_key, assert_primary_key, key_stats, key_violations
+from quality_lake.operators import (
+    add_generated_key,
+    assert_primary_key,
+    key_stats,
+    key_violations,
+    observed_key_stats,
+)
 
 
 def test_generated_key_payload(spark):
@@ -47,3 +54,13 @@ def test_key_stats_nan_and_empty(spark):
     assert key_stats(empty, ["v"]).first().asDict() == {
         "missing_key_rows": 0, "duplicate_key_groups": 0, "duplicate_key_rows": 0}
     assert assert_primary_key(empty, ["v"])["duplicate_key_rows"] == 0
+
+
+def test_observed_key_stats_match_the_frame(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (None, "b"), (2, " "), (3, "c")],
+                               "k long, s string")
+    assert observed_key_stats(df, ["k", "s"]) == key_stats(df, ["k", "s"]).first().asDict() == {
+        "missing_key_rows": 2, "duplicate_key_groups": 1, "duplicate_key_rows": 2}
+    empty = df.filter(F.lit(False))
+    assert observed_key_stats(empty, ["k"]) == {
+        "missing_key_rows": 0, "duplicate_key_groups": 0, "duplicate_key_rows": 0}
