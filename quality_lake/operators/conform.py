@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import Contract, ContractError, check_output_names
 from ..functions.values import blank_to_null, cast_value
@@ -34,15 +35,28 @@ def check_closed_schema(df: DataFrame, contract: Contract) -> None:
 
 
 def _conversions(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, Column]], list[tuple[str, Column]]]:
+    """Per contract column: the converted value and, where a conversion happens,
+    a non-null "conversion failed" flag.
+
+    Blank text converts to null for every non-string contract type, so the
+    blank test appears only where it decides something (string outputs and the
+    failure flag).  Each expression names the raw column as few times as
+    possible: the optimizer inlines the projection into the reject filter, and
+    a short expression keeps the generated code small enough to be compiled.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     converted, failures = [], []
     for spec in contract.columns:
         source_type, target = types[spec.name], spec.data_type
-        value = blank_to_null(_c(spec.name), source_type)
-        cast = cast_value(value, source_type, target)
+        raw = _c(spec.name)
+        if source_type == target:
+            converted.append((spec.name, blank_to_null(raw, source_type)))
+            continue
+        cast = cast_value(raw, source_type, target)
         converted.append((spec.name, cast))
-        if source_type != target:
-            failures.append((spec.name, value.isNotNull() & cast.isNull()))
+        present = (F.coalesce(F.trim(raw) != F.lit(""), F.lit(False))
+                   if isinstance(source_type, T.StringType) else raw.isNotNull())
+        failures.append((spec.name, present & cast.isNull()))
     return converted, failures
 
 

@@ -15,6 +15,7 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("quality_lake_tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
          .config("spark.sql.session.timeZone", "America/New_York")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

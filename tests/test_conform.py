@@ -27,6 +27,19 @@ def test_integer_text_reads_integral_part(session_modes):
     assert got == {0: 1, 1: 0, 2: -2, 4: 3, 5: 4, 7: 85, 8: 1, 10: None, 11: None}
 
 
+
+def test_fraction_edge_cases(session_modes):
+    spark = session_modes
+    values = ["-.5", "+.5", "5.", "1.5e2", "1.5E2", "1..5", "1.5.5", "\t3.7\t", "1 .5", ".",
+              "\u0661.\u0665", "2147483647.9", "2147483648.1", "-2147483648.9", "00012.50", "1.5x"]
+    df = text_frame(spark, [(str(i), v) for i, v in enumerate(values)], ["id", "n"])
+    c = Contract.from_dict({"table_name": "t", "format": "csv",
+                            "columns": [{"name": "id", "type": "int"}, {"name": "n", "type": "int"}]})
+    got = {r.id: r.n for r in conform(df, c).collect()}
+    # kept: signs, trailing dot, whitespace around, int bounds, leading zeros;
+    # rejected: exponents, stray dots, inner spaces, non-ASCII digits, overflow, junk
+    assert got == {0: 0, 1: 0, 2: 5, 7: 3, 11: 2147483647, 13: -2147483648, 14: 12}
+
 def test_blank_to_null_does_not_trim_values(spark):
     df = text_frame(spark, [("1", " a "), ("2", "   "), ("3", ""), ("4", "\t")], ["id", "s"])
     c = Contract.from_dict({"table_name": "t", "format": "csv",
