@@ -31,6 +31,11 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not str(master).startswith("local"):
+                raise RuntimeError(
+                    "spark.checkpoint.dir is not set: staged tables need a folder that every "
+                    "executor can reach and that survives executor loss; set it to shared storage")
             root = tempfile.mkdtemp(prefix="quality-lake-ckpt-")  # local sessions (tests) only
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quality_lake.sources import (
@@ -84,3 +85,24 @@ def test_shuffle_sizing(spark, tmp_dir):
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         else:
             spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    # On a cluster, scratch data must go to the shared folder the cluster names;
+    # a machine-local temporary folder is only made for local sessions.
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
