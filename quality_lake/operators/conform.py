@@ -56,7 +56,8 @@ def _conversions(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, Col
         converted.append((spec.name, cast))
         present = (F.coalesce(F.trim(raw) != F.lit(""), F.lit(False))
                    if isinstance(source_type, T.StringType) else raw.isNotNull())
-        failures.append((spec.name, present & cast.isNull()))
+        # cast first: a value that converts (nearly all) never reaches the blank test
+        failures.append((spec.name, cast.isNull() & present))
     return converted, failures
 
 
