@@ -55,6 +55,6 @@ __all__ = [
     "compare_results", "conform", "conform_rejects", "count_by", "diff_results", "drop_unwanted",
     "enrich", "explain_rejects", "flag_negative", "get_transform", "hourly_summary",
     "join_context", "key_stats", "key_violations", "label_column", "map_lookup", "match_rates",
-    "observed_key_stats", "profile", "register_transform", "rename_columns", "restrict_to", "sorted_result", "timestamp_from_parts",
-    "timestamps_from_pairs",
+    "observed_key_stats", "profile", "register_transform", "rename_columns", "restrict_to",
+    "sorted_result", "timestamp_from_parts", "timestamps_from_pairs",
 ]

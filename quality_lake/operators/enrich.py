@@ -200,9 +200,9 @@ def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_key
     prefixed output), then keep the fact columns plus each join's outputs.
 
     Each distinct (context, keys) pair is profiled once - all of them in one
-    job (``context_profiles``) - which both proves its non-null keys unique (so the fact row count cannot
-    change; ``check_keys``) and measures it for the broadcast decision - also
-    when the same context serves several roles.
+    job (``context_profiles``) - which both proves its non-null keys unique (so
+    the fact row count cannot change; ``check_keys``) and measures it for the
+    broadcast decision - also when the same context serves several roles.
     """
     joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
     for j in joins:
