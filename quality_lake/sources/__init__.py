@@ -18,6 +18,6 @@ from .tables import (
 
 __all__ = [
     "RUN_RECORD_SCHEMA", "append_run_record", "file_stats", "read_csv_strict", "read_parquet",
-    "read_source", "read_staged", "read_table", "release", "run_record", "run_record_frame", "scratch_path", "scratch_root",
-    "stage", "write_table",
+    "read_source", "read_staged", "read_table", "release", "run_record", "run_record_frame",
+    "scratch_path", "scratch_root", "stage", "write_table",
 ]
