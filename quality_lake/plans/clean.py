@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..contract import Contract
 from ..operators.conform import apply_null_policy, conform, drop_unwanted, rename_columns
 from ..operators.derive import apply_transforms
+from ..operators.enrich import row_count
 from ..operators.keys import add_generated_key, assert_primary_key
 from ..operators.quality import apply_rules
 from ..sources.files import read_source
@@ -102,10 +103,11 @@ class IngestResult:
 
 
 def _input_rows(raw: DataFrame) -> int:
-    # A separate count, as an Observation in a shuffle-map stage could count a
-    # re-executed stage twice after an executor loss.  For Parquet it reads
-    # footers only; for CSV it scans the text without parsing columns.
-    return raw.count()
+    # A separate pass, as an Observation in the cleaning plan's shuffle-map
+    # stage could count a re-executed stage twice after an executor loss.  It
+    # reads no column (for CSV it scans the text without parsing fields) and is
+    # one result stage, so its observed count is exact under task retries.
+    return row_count(raw)
 
 
 def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
