@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..contract import ContractError
 from ..functions.timeops import hour_bucket
-from ..operators.enrich import JoinSpec, enrich, hourly_summary, restrict_to
+from ..operators.enrich import JoinSpec, enrich, hourly_summary, restrict_to, row_count
 from ..sources.tables import DEFAULT_FORMAT, stage, write_table
 
 # Local zone of the trip clocks, context columns and the join chain.
@@ -74,7 +74,7 @@ def integrate(tables: dict[str, DataFrame], target: str, joins=TAXI_JOINS, *,
               fmt: str = DEFAULT_FORMAT, tz: str = LOCAL_TIMEZONE) -> dict:
     """Build and write the integrated table; returns rows and per-join matches."""
     joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
-    fact_rows = tables["taxi"].count()
+    fact_rows = row_count(tables["taxi"])
     integrated = build_integrated(tables, joins, tz)
     metrics = Observation(f"quality_lake_integrated_{uuid.uuid4().hex[:12]}")
     labelled = {j.prefix: f"{j.prefix}_{j.match_column}" for j in joins if j.match_column}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.enrich import broadcast_fits
+from ..operators.enrich import broadcast_fits, row_count
 from ..operators.report import (
     avg_duration_by_day,
     avg_finite_by,
@@ -77,15 +77,15 @@ def reconcile_layouts(spark: SparkSession, paths: dict[str, str], zones: DataFra
     the row count.  Returns per-query differing-row counts (all zero when good).
     """
     tables = {name: read_table(spark, p, fmt) for name, p in paths.items()}
-    counts = {name: t.count() for name, t in tables.items()}
+    counts = {name: row_count(t) for name, t in tables.items()}
     base = next(iter(tables))
     if expected_rows is None:
         expected_rows = counts[base]
     report = {"rows": counts, "row_counts_match": all(c == expected_rows for c in counts.values())}
     for q in QUERIES:
         ref = query_frame(tables[base], zones, q)
-        diffs = {name: compare_results(ref, query_frame(t, zones, q), QUERY_KEYS[q])
-                 .filter(~F.col("matches")).count()
+        diffs = {name: row_count(compare_results(ref, query_frame(t, zones, q), QUERY_KEYS[q])
+                                 .filter(~F.col("matches")))
                  for name, t in tables.items() if name != base}
         report[q] = diffs
     total = query_frame(tables[base], zones, "trips_per_borough").agg(F.sum("trip_count")).first()[0]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import Contract
+from ..operators.enrich import row_count
 from ..operators.keys import assert_primary_key
 from ..plans.clean import clean_frame
 from ..sources.tables import (
@@ -67,7 +68,7 @@ def _batch_writer(contract: Contract, target: str, fmt: str, runs_path: str | No
         staged_path = scratch_path(spark, f"stream-{contract.table_name}-{batch_id}")
         # The file source is replayable, so the input count simply rescans the
         # batch's files; the output count is observed in the staged write.
-        input_rows = batch.count()
+        input_rows = row_count(batch)
         out = Observation(f"quality_lake_stream_{batch_id}_{uuid.uuid4().hex[:12]}")
         cleaned = clean_frame(batch, contract).observe(out, F.count(F.lit(1)).alias("rows"))
         write_table(cleaned, staged_path, "parquet", "errorifexists", max_records_per_file=None)
