@@ -128,7 +128,7 @@ def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
     raw = read_source(spark, path, contract)
     if size_shuffle_partitions:
         from .sizing import size_shuffle
-        size_shuffle(spark, raw)
+        size_shuffle(spark, path)  # sized by listing the files, no data read
     input_rows = _input_rows(raw)
     stages = {} if stage_counts else None
     cleaned = clean_frame(raw, contract, stage_counts=stages)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import file_stats
 
@@ -24,11 +25,26 @@ def shuffle_partitions_for(data_bytes: int, parallelism: int,
     return max(int(parallelism), math.ceil(data_bytes * expansion / target_bytes))
 
 
-def size_shuffle(spark: SparkSession, df: DataFrame,
+def source_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes on disk of the files behind ``path`` (file, directory or name glob).
+
+    One listing job over Spark's ``binaryFile`` source: only the ``length``
+    column is read, so no file content is opened - unlike sizing a frame from
+    its ``_metadata``, which has to produce every row (a full pass over CSV).
+    """
+    r = (spark.read.format("binaryFile").load(path)
+         .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first())
+    return int(r["bytes"])
+
+
+def size_shuffle(spark: SparkSession, source: DataFrame | str,
                  target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES,
                  expansion: float = DEFAULT_EXPANSION) -> int:
-    """Set AQE's initial shuffle partitions for jobs over ``df``'s files."""
-    data_bytes = file_stats(df).first()["data_bytes"]
+    """Set AQE's initial shuffle partitions for jobs over ``source``'s files:
+    a source path is sized by listing (``source_bytes``), a file-based frame
+    from its ``_metadata``."""
+    data_bytes = (source_bytes(spark, source) if isinstance(source, str)
+                  else file_stats(source).first()["data_bytes"])
     n = shuffle_partitions_for(data_bytes, spark.sparkContext.defaultParallelism, target_bytes, expansion)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

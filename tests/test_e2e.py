@@ -131,6 +131,21 @@ def test_staged_copy_released_after_publish(spark, tmp_dir):
     assert spark.read.parquet(kept.staged_path).count() == 6
 
 
+
+def test_ingest_sizes_shuffle_from_the_source_files(spark, tmp_dir):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = spark.conf.get(key, None)
+    try:
+        res = ingest(spark, write_weather(f"{tmp_dir}/w.csv"), bundled_contract("weather"),
+                     f"{tmp_dir}/t", size_shuffle_partitions=True)
+        assert spark.conf.get(key) == str(spark.sparkContext.defaultParallelism)
+        assert res.record["processed_records"] == 6
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
 def test_null_key_parts_fail(spark, tmp_dir):
     with pytest.raises(ContractError):
         ingest(spark, write_air_quality(f"{tmp_dir}/a.csv", null_poc=True),

@@ -71,7 +71,7 @@ def test_run_records_append_and_stage(spark, tmp_dir):
 
 
 def test_shuffle_sizing(spark, tmp_dir):
-    from quality_lake.plans.sizing import shuffle_partitions_for, size_shuffle
+    from quality_lake.plans.sizing import shuffle_partitions_for, size_shuffle, source_bytes
     assert shuffle_partitions_for(100 * 2**40, 8000) == 1_228_800  # 100 TiB -> ~256 MiB partitions
     assert shuffle_partitions_for(10, 8) == 8
     spark.range(1000).write.parquet(f"{tmp_dir}/s")
@@ -80,6 +80,10 @@ def test_shuffle_sizing(spark, tmp_dir):
         n = size_shuffle(spark, spark.read.parquet(f"{tmp_dir}/s"))
         assert n == spark.sparkContext.defaultParallelism
         assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
+        # a source path is sized by listing its files, without reading them
+        assert source_bytes(spark, f"{tmp_dir}/s") == \
+            file_stats(spark.read.parquet(f"{tmp_dir}/s")).first()["data_bytes"] > 0
+        assert size_shuffle(spark, f"{tmp_dir}/s") == n
     finally:
         if old is None:
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
