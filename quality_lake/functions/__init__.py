@@ -10,6 +10,7 @@ from .timeops import (
     timestamp_from_parts,
 )
 from .values import (
+    blank_text,
     blank_to_null,
     cast_value,
     finite_or_null,
@@ -20,8 +21,9 @@ from .values import (
 )
 
 __all__ = [
-    "RULE_NAMES", "TIME_OF_DAY_PATTERN", "blank_to_null", "cast_value", "duration_seconds",
-    "finite_or_null", "hour_bucket", "is_blank", "is_finite", "is_missing", "local_hour_bucket",
+    "RULE_NAMES", "TIME_OF_DAY_PATTERN", "blank_text", "blank_to_null", "cast_value",
+    "duration_seconds", "finite_or_null", "hour_bucket", "is_blank", "is_finite", "is_missing",
+    "local_hour_bucket",
     "normalize_label", "passes_all", "rule_label", "timestamp_from_date_time",
     "timestamp_from_parts", "violation",
 ]

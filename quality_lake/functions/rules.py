@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import ContractError
-from .values import is_finite
+from .values import blank_text, is_finite
 
 # Rule names a contract may use.
 RULE_NAMES = ("not_null", "finite", "minimum", "maximum", "between", "after_or_equal")
@@ -35,7 +35,7 @@ def violation(rule: dict, schema: T.StructType) -> Column:
     if kind == "not_null":
         broken = c.isNull()
         if isinstance(schema[name].dataType, T.StringType):
-            broken = broken | (F.trim(c) == F.lit(""))
+            broken = broken | blank_text(c)
         return broken
     if kind == "finite":
         return ~is_finite(c)

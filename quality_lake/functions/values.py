@@ -20,9 +20,18 @@ _FRACTIONAL = (T.FloatType, T.DoubleType)
 _FRACTION_DECIMAL = "decimal(38,18)"
 
 
+def blank_text(c: Column) -> Column:
+    """True when text is empty or only spaces (null stays null).
+
+    Text that is neither empty nor starts with a space cannot be blank, so it
+    is decided without ``trim``, which would copy every value.
+    """
+    return (c == F.lit("")) | (c.startswith(" ") & (F.trim(c) == F.lit("")))
+
+
 def is_blank(c: Column) -> Column:
     """True when the value's text form is empty after trimming spaces."""
-    return F.trim(c.cast("string")) == F.lit("")
+    return blank_text(c.cast("string"))
 
 
 def blank_to_null(c: Column, source_type: T.DataType | None = None) -> Column:
@@ -33,7 +42,7 @@ def blank_to_null(c: Column, source_type: T.DataType | None = None) -> Column:
     """
     if source_type is not None and not isinstance(source_type, T.StringType):
         return c
-    return F.when(F.trim(c) == F.lit(""), F.lit(None)).otherwise(c)
+    return F.when(blank_text(c), F.lit(None)).otherwise(c)
 
 
 def is_finite(c: Column) -> Column:
@@ -49,7 +58,7 @@ def is_missing(c: Column, data_type: T.DataType) -> Column:
     """Missing key part: null, blank text, or NaN for floating types."""
     cond = c.isNull()
     if isinstance(data_type, T.StringType):
-        cond = cond | (F.trim(c) == F.lit(""))
+        cond = cond | blank_text(c)
     elif isinstance(data_type, _FRACTIONAL):
         cond = cond | F.isnan(c)
     return cond

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import Contract, ContractError, check_output_names
-from ..functions.values import blank_to_null, cast_value
+from ..functions.values import blank_text, blank_to_null, cast_value
 
 
 def _c(name: str) -> Column:
@@ -54,7 +54,7 @@ def _conversions(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, Col
             continue
         cast = cast_value(raw, source_type, target)
         converted.append((spec.name, cast))
-        present = (F.coalesce(F.trim(raw) != F.lit(""), F.lit(False))
+        present = (F.coalesce(~blank_text(raw), F.lit(False))
                    if isinstance(source_type, T.StringType) else raw.isNotNull())
         # cast first: a value that converts (nearly all) never reaches the blank test
         failures.append((spec.name, cast.isNull() & present))

@@ -51,3 +51,14 @@ def test_key_hash_order_null_and_precision(spark):
 def test_sorted_result_orders_by_text_of_first_column(spark):
     df = spark.createDataFrame([(10, "x"), (9, "y"), (None, "z")], "n int, s string")
     assert [r.n for r in sorted_result(df).collect()] == [None, 10, 9]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \ta", max_size=4)), min_size=1, max_size=20))
+def test_blank_text_agrees_with_trim(spark, values):
+    from pyspark.sql import functions as F
+
+    from quality_lake.functions import blank_text
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = df.select(blank_text(F.col("s")).alias("a"), (F.trim("s") == "").alias("b")).collect()
+    assert all(r.a == r.b for r in got)
