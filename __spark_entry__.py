@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -54,7 +55,14 @@ from quality_lake.plans import (  # noqa: E402
     query_frame,
     stage_rows,
 )
-from quality_lake.sources import file_stats, read_table, scratch_path, stage, write_table  # noqa: E402
+from quality_lake.sources import (  # noqa: E402
+    file_stats,
+    literal_frame,
+    read_table,
+    scratch_path,
+    stage,
+    write_table,
+)
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -506,8 +514,9 @@ def q_stage_counts(spark, d):
     stages: dict = {}
     clean_frame(_orders_faults(spark, d), ORDERS_CONTRACT, stage_counts=stages) \
         .write.format("noop").mode("overwrite").save()
-    return spark.createDataFrame([(k, int(v)) for k, v in stage_rows(stages).items()],
-                                 "stage string, rows long")
+    return literal_frame(spark, [(k, int(v)) for k, v in stage_rows(stages).items()],
+                         T.StructType([T.StructField("stage", T.StringType()),
+                                       T.StructField("rows", T.LongType())]))
 
 
 def q_run_records(spark, d):

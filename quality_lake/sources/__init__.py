@@ -4,7 +4,9 @@ from .files import read_csv_strict, read_parquet, read_source
 from .tables import (
     RUN_RECORD_SCHEMA,
     append_run_record,
+    empty_frame,
     file_stats,
+    literal_frame,
     read_staged,
     read_table,
     release,
@@ -17,7 +19,7 @@ from .tables import (
 )
 
 __all__ = [
-    "RUN_RECORD_SCHEMA", "append_run_record", "file_stats", "read_csv_strict", "read_parquet",
-    "read_source", "read_staged", "read_table", "release", "run_record", "run_record_frame",
-    "scratch_path", "scratch_root", "stage", "write_table",
+    "RUN_RECORD_SCHEMA", "append_run_record", "empty_frame", "file_stats", "literal_frame",
+    "read_csv_strict", "read_parquet", "read_source", "read_staged", "read_table", "release",
+    "run_record", "run_record_frame", "scratch_path", "scratch_root", "stage", "write_table",
 ]

@@ -109,7 +109,14 @@ def release(spark: SparkSession, path: str) -> None:
     same schema, which makes Spark's writer delete the old files on any file
     system (no file-system API needed)."""
     schema = spark.read.parquet(path).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    empty_frame(spark, schema).write.mode("overwrite").parquet(path)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A frame with ``schema`` and no rows, built JVM-side (a frame made from a
+    Python list would start Python workers on the executors just to produce it)."""
+    return spark.range(0, numPartitions=1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def file_stats(df: DataFrame) -> DataFrame:
@@ -145,9 +152,19 @@ def run_record(table_name: str, source_path: str, started: datetime, seconds: fl
     }
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows (run records, observed counts) as a frame of
+    literals, built JVM-side: no Python workers are started to produce it."""
+    if not rows:
+        return empty_frame(spark, schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+
+
 def run_record_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
-    return spark.createDataFrame([tuple(r[f.name] for f in RUN_RECORD_SCHEMA.fields) for r in records],
-                                 RUN_RECORD_SCHEMA)
+    rows = [tuple(r[f.name] for f in RUN_RECORD_SCHEMA.fields) for r in records]
+    return literal_frame(spark, rows, RUN_RECORD_SCHEMA)
 
 
 def append_run_record(spark: SparkSession, record: dict, path: str, fmt: str = DEFAULT_FORMAT) -> None:

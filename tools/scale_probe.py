@@ -96,6 +96,7 @@ def task_balance(events_dir: str, top: int = 6) -> list[dict]:
 
     import zstandard
     durations: dict[int, list[int]] = {}
+    names: dict[int, str] = {}
     for folder, _, files in os.walk(events_dir):
         for name in files:
             if not name.startswith("events_"):
@@ -106,13 +107,21 @@ def task_balance(events_dir: str, top: int = 6) -> list[dict]:
                           else raw)
                 for line in io.TextIOWrapper(stream, encoding="utf-8"):
                     e = json.loads(line)
+                    if e.get("Event") == "SparkListenerStageSubmitted":
+                        # the physical operators of the stage, from its RDDs' scopes
+                        info, ops = e["Stage Info"], []
+                        for rdd in sorted(info.get("RDD Info", []), key=lambda r: r["RDD ID"]):
+                            op = json.loads(rdd["Scope"])["name"] if rdd.get("Scope") else ""
+                            if op and op not in ops:
+                                ops.append(op)
+                        names[info["Stage ID"]] = " > ".join(ops)
                     if e.get("Event") == "SparkListenerTaskEnd":
                         info = e["Task Info"]
                         durations.setdefault(e["Stage ID"], []).append(
                             info["Finish Time"] - info["Launch Time"])
     heavy = sorted(durations.items(), key=lambda kv: -sum(kv[1]))[:top]
-    return [{"stage": sid, "tasks": len(d), "total_ms": sum(d), "max_ms": max(d),
-             "median_ms": statistics.median(d)} for sid, d in heavy]
+    return [{"stage": sid, "name": names.get(sid, ""), "tasks": len(d), "total_ms": sum(d),
+             "max_ms": max(d), "median_ms": statistics.median(d)} for sid, d in heavy]
 
 
 if __name__ == "__main__":
