@@ -181,3 +181,6 @@ def test_profiles_of_several_contexts_in_one_job(spark, frames):
     assert got[4] == (200, per_key.agg(F.max("count")).first()[0])
     assert context_profiles([]) == []
     assert (row_count(facts), row_count(empty)) == (200, 0)
+    # the empty projection keeps an aggregate's grouping: groups are counted, not input rows
+    assert row_count(facts.select("zone").distinct()) == 6
+    assert row_count(facts.groupBy("other").count()) == 3
