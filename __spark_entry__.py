@@ -582,8 +582,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_count_per_group(spark, FLAGSHIP_SF)
 
 
+_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_LLM_SQL: dict[str, str] = {}
+try:  # the training-data operators are an add-on: without their folders the rest still works
+    from quality_lake.llm import queries as _llm  # noqa: E402
+
+    _LLM |= _llm.QUERIES
+    _LLM_SQL |= _llm.ORACLE_SQL
+    import corpus_pipeline as _pipeline  # noqa: E402
+
+    _LLM["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL is not None:
+        _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "quality_lake.llm", "quality_lake.llm.queries"):
+        raise
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _LLM
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -870,4 +887,4 @@ FROM clean""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v.strip() for k, v in _SQL.items()}
+    return {k: v.strip() for k, v in (_SQL | _LLM_SQL).items()}
