@@ -7,14 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ROW, table
 from .exact_dedup import dedup_decisions
+from .language import identify
+from .mixing import taken
 from .packing import pack
 from .token_files import token_files
+from .toxicity import toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_decisions(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, with_ids=False)
 
@@ -23,10 +30,21 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, with_ids=False)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_mixing": op2_mixing,
     "op4_packing": op4_packing,
     "op7_token_files": op7_token_files,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL = {
