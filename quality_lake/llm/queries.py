@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import ROW, table
 from .exact_dedup import dedup_decisions
 from .language import identify
 from .mixing import taken
 from .packing import pack
+from .quality import judge
+from .quotes import link_quotes
 from .token_files import token_files
 from .toxicity import toxicity
 
@@ -22,6 +25,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, with_ids=False)
 
@@ -38,13 +46,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = link_quotes(table(spark, sf_dir, "conversations"))
+    return linked.select("conv_id", "turn", "role", "reply_to", F.size("thread").cast("long").alias("depth"),
+                         F.concat_ws(".", F.col("thread").cast("array<string>")).alias("thread"),
+                         "n_quoted", "n_linked", F.sha2("formatted", 256).alias("formatted_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
+    "op10_quote_links": op10_quote_links,
 }
 
 ORACLE_SQL = {
