@@ -29,16 +29,19 @@ from .common import WORD, text_or_empty
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-#: rule: (statistic, bad if, good if); otherwise the rule abstains.
+#: rule: (statistic, bad if, good if); otherwise the rule abstains.  Each kind of
+#: junk is looked at by two or three rules, whose agreement tells it from noise.
 RULES = {
     "symbols": ("100.0 * n_symbols / greatest(word_chars, 1)", "x > 8", "x < 2"),
+    "symbol_runs": ("100.0 * n_symbol_runs / greatest(n_words, 1)", "x > 20", "x < 5"),
+    "letters": ("100.0 * n_letters / greatest(word_chars, 1)", "x < 80", "x > 92"),
+    "capitals": ("100.0 * n_capitals / greatest(n_letters, 1)", "x > 30", "x < 10"),
+    "shouts": ("100.0 * n_shouts / greatest(n_words, 1)", "x > 20", "x < 5"),
     "repeats": ("100.0 * n_repeat_words / greatest(n_words, 1)", "x > 30", "x < 12"),
-    "lines": ("100.0 * n_dup_lines / greatest(n_lines, 1)", "x > 30", "x < 5"),
-    "word_length": ("1.0 * word_chars / greatest(n_words, 1)", "x < 2.2 OR x > 12", "x BETWEEN 3 AND 8"),
-    "capitals": ("100.0 * n_capitals / greatest(word_chars, 1)", "x > 30", "x < 10"),
-    "variety": ("100.0 * n_distinct_words / greatest(n_words, 1)", "x < 10", "x > 25"),
+    "lines": ("100.0 * n_dup_lines / greatest(n_lines, 1)", "x > 40", "x < 10"),
+    "variety": ("100.0 * n_distinct_words / greatest(n_words, 1)", "x < 15", "x > 30"),
+    "word_length": ("1.0 * word_chars / greatest(n_words, 1)", "x < 2.2 OR x > 14", "x BETWEEN 3 AND 9"),
     "endings": ("100.0 * n_ended_lines / greatest(n_lines, 1)", "x < 10", "x > 50"),
-    "length": ("1.0 * n_words", "x < 20", "x >= 80"),
 }
 ROUNDS = 40
 #: Posterior of a text that some rule calls bad, and of any other, before the first round.
@@ -81,7 +84,10 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.length("t") - F.length(F.regexp_replace("t", r"\p{Lu}", ""))).cast("long").alias("n_capitals"),
+        F.regexp_count("t", F.lit("[#*$%&|<>]+")).cast("long").alias("n_symbol_runs"),
+        (F.length("t") - F.length(F.regexp_replace("t", r"\p{L}+", ""))).cast("long").alias("n_letters"),
+        (F.length("t") - F.length(F.regexp_replace("t", r"\p{Lu}+", ""))).cast("long").alias("n_capitals"),
+        F.regexp_count("t", F.lit("!!")).cast("long").alias("n_shouts"),
         F.size(F.array_distinct("w")).cast("long").alias("n_distinct_words"),
         F.size(F.filter("lines", lambda s: s.rlike(r"[.!?:;\"'»)][\x20\x09-\x0D]*$"))).cast("long").alias("n_ended_lines"))
 
