@@ -4,8 +4,8 @@ Rules look at a text's statistics and vote good (1), bad (-1) or abstain (0); no
 single rule decides.  Expectation-maximisation over the table of vote patterns
 (at most 3**rules rows, whatever the corpus) estimates how often each rule votes
 each way on good and on bad texts, and the share of good texts; a text's
-posterior probability of being good decides.  Every step is an aggregation of
-that table; the driver holds its sums only.
+posterior probability of being good decides.  The table is one aggregation; the
+rounds are sums over it.
 
 The text is read once; its statistics are written to a small table.
 
@@ -18,6 +18,7 @@ ignored.
 from __future__ import annotations
 
 from functools import reduce
+from math import exp, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ RULES = {
     "word_length": ("1.0 * word_chars / greatest(n_words, 1)", "x < 2.2 OR x > 14", "x BETWEEN 3 AND 9"),
     "endings": ("100.0 * n_ended_lines / greatest(n_lines, 1)", "x < 10", "x > 50"),
 }
-ROUNDS = 40
+ROUNDS = 200
 #: Posterior of a text that some rule calls bad, and of any other, before the first round.
 FIRST = (0.1, 0.95)
 
@@ -112,26 +113,32 @@ def log_odds(names: list[str], shares: dict, good: float) -> Column:
 
 
 def estimate(voted: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[dict, float]:
-    """Vote shares of every rule on good and bad texts, and the share of good texts."""
+    """Vote shares of every rule on good and bad texts, and the share of good texts.
+
+    The corpus is aggregated to its vote patterns, of which there are 3**rules at
+    most; the rounds themselves are sums over that table on the driver.
+    """
     columns = [f"vote_{n}" for n in names]
-    patterns = stage(voted.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "vote-patterns")  # 3**rules rows at most
-    posterior: Column = F.when(F.least(*columns) < 0, F.lit(FIRST[0])).otherwise(F.lit(FIRST[1]))
+    rows = voted.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).collect()
+    patterns = sorted((tuple(r[c] for c in columns), r["n"]) for r in rows)
+    total = sum(n for _, n in patterns)
+    posterior = [FIRST[0] if min(p) < 0 else FIRST[1] for p, _ in patterns]
     shares, good = {n: {v: (1 / 3, 1 / 3) for v in (-1, 0, 1)} for n in names}, 0.5
-    for _ in range(rounds):
-        weighed = patterns.withColumn("g", F.col("n") * posterior)
-        sums = weighed.agg(F.sum("n").alias("n"), F.sum("g").alias("g"), *[
-            F.sum(F.when(F.col(f"vote_{name}") == v, F.col(c)).otherwise(0.0)).alias(f"{c}_{k}_{v}")
-            for k, name in enumerate(names) for v in (-1, 0, 1) for c in ("n", "g")]).first()
-        if not sums["n"]:
-            break
-        on_good, on_bad = float(sums["g"]), float(sums["n"] - sums["g"])
-        before, good = good, (on_good + 1) / (sums["n"] + 2)
+    for _ in range(rounds if total else 0):
+        on_good = sum(n * q for (_, n), q in zip(patterns, posterior))
+        on_bad = total - on_good
+        before, good = good, (on_good + 1) / (total + 2)
         for k, name in enumerate(names):
-            shares[name] = {v: ((sums[f"g_{k}_{v}"] + 1) / (on_good + 3), (sums[f"n_{k}_{v}"] - sums[f"g_{k}_{v}"] + 1) / (on_bad + 3)) for v in (-1, 0, 1)}
-        if abs(good - before) < 1e-6:
+            seen = {v: [0.0, 0.0] for v in (-1, 0, 1)}
+            for (p, n), q in zip(patterns, posterior):
+                seen[p[k]][0] += n * q
+                seen[p[k]][1] += n * (1 - q)
+            shares[name] = {v: ((g + 1) / (on_good + 3), (b + 1) / (on_bad + 3)) for v, (g, b) in seen.items()}
+        if abs(good - before) < 1e-9:
             break
-        odds = F.exp(log_odds(names, shares, good))
-        posterior = odds / (1 + odds)
+        ratios = [{v: log(g / b) for v, (g, b) in shares[name].items()} for name in names]
+        base = log(good / (1 - good))
+        posterior = [1 / (1 + exp(-max(-700.0, min(700.0, base + sum(r[v] for r, v in zip(ratios, p)))))) for p, _ in patterns]
     return shares, good
 
 
