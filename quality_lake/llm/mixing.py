@@ -268,7 +268,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     made = mix(docs, **options)
     runs = (made.manifest.groupBy(ROW, "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_runs_")))  # a text's blocks
     joined = numbered(docs).join(runs, ROW).drop(ROW, "pass")
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches):
         for batch in batches:
@@ -277,7 +278,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                          for t, own in zip(piece.column("text").to_pylist(), piece.column("_runs_").to_pylist())]
                 columns = list(piece.columns[:-1])
                 columns[at] = pa.array(texts, columns[at].type)
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out = joined.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

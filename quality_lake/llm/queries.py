@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from .common import ROW, table
 from .exact_dedup import dedup_decisions
 from .language import identify
+from .line_dedup import line_dedup
 from .mixing import taken
+from .ngram_join import join
 from .packing import pack
 from .quality import judge
 from .quotes import link_quotes
@@ -34,6 +36,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, with_ids=False)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.length("text").cast("long").alias("n_chars_left"),
+                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, with_ids=False)
 
@@ -58,6 +70,8 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
