@@ -1,0 +1,36 @@
+from quality_lake.llm.language import NO_LETTER, identify
+
+from .conftest import SF
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    got = [r for r in identify(docs).collect() if r["held_out"]]
+    assert len(got) > 200 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in got) >= 0.98 * len(got)
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_odd_rows(odd, none):
+    rows = odd.collect()
+    got = identify(odd).collect()
+    assert len(got) == len(rows) and {r["lang_pred"] for r in got} <= {"en", NO_LETTER}
+    blank = {r["doc_id"] for r in rows if not any(c.isalpha() for c in r["text"] or "")} - {None}
+    assert all((r["lang_pred"], r["score"]) == (NO_LETTER, 0.0) for r in got if r["doc_id"] in blank)
+    assert identify(none).count() == 0
+
+
+def test_held_out_rows_do_not_matter_for_the_model(spark, docs):
+    from pyspark.sql import functions as F
+
+    from quality_lake.llm.toxicity import held_out
+
+    spoiled = docs.withColumn("lang", F.when(held_out("doc_id", 4, 2), F.lit("xx")).otherwise(F.col("lang")))
+    a, b = (sorted(map(str, identify(d).collect())) for d in (docs, spoiled))
+    assert a == b
+
+
+def test_without_any_language(docs):
+    from pyspark.sql import functions as F
+
+    assert {r["lang_pred"] for r in identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {NO_LETTER}

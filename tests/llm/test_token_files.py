@@ -1,0 +1,60 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from quality_lake.llm.token_files import pack, read_token_files, token_files, unpack
+from quality_lake.llm.tokens import encode
+
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+
+
+@given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), min_size=1, max_size=900))
+@settings(max_examples=60, deadline=None)
+def test_round_trip(ids):
+    ids = np.array(ids, np.uint32)
+    assert np.array_equal(unpack(len(ids), *pack(ids)), ids)
+
+
+def test_long_ranks():
+    ids = np.random.default_rng(0).permutation(200_000).astype(np.uint32)
+    ranked, control, data = pack(ids)
+    assert np.array_equal(unpack(len(ids), ranked, control, data), ids)
+    assert len(data) == 256 + 2 * (65536 - 256) + 3 * (200_000 - 65536)
+
+
+@given(st.lists(st.text(st.sampled_from(list("abZé .,!\n\t'0#|<>– ß")), max_size=30), min_size=1, max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_ids_are_the_librarys(texts):
+    for path in (WORD, BYTE):
+        t = Tokenizer.from_file(path)
+        for text, ids in zip(texts, encode(texts, path, 2)):
+            assert ids.tolist() == [*t.encode(text, add_special_tokens=False).ids, 2]
+
+
+def check(docs, rows):
+    t = Tokenizer.from_file(WORD)
+    got = {}
+    for r in token_files(docs, WORD, 2).collect():
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["n_tokens"]
+        got.setdefault(r["doc_id"], []).append((r["start"], r["n_tokens"], np.frombuffer(r["ids"], "<u4").tolist()))
+    flat = sorted((s, n, i is not None, i or 0) for i, own in got.items() for s, n, _ in own)
+    assert [s for s, *_ in flat] == np.concatenate([[0], np.cumsum([n for _, n, *_ in flat])[:-1]]).tolist()
+    assert [x[2:] for x in flat] == sorted(x[2:] for x in flat)
+    for i, text in rows:
+        assert [*t.encode(text or "", add_special_tokens=False).ids, 2] in [ids for *_, ids in got[i]]
+    assert sum(map(len, got.values())) == len(rows)
+
+
+def test_files_against_the_library(docs, odd, none):
+    for d in (docs, odd):
+        check(d, [(r["doc_id"], r["text"]) for r in d.collect()])
+    assert token_files(none, WORD, 2).count() == 0
+
+
+def test_files_can_be_read_again(spark, odd, tmp_path):
+    a = token_files(odd, WORD, 2, str(tmp_path / "f"), with_ids=False).collect()
+    assert sorted(map(str, a)) == sorted(map(str, read_token_files(spark, str(tmp_path / "f"), False).collect()))

@@ -1,0 +1,53 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quality_lake.llm.toxicity import held_out, toxicity, without_toxic
+
+from .conftest import words
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows, labels = [], []
+    insults = ["blockhead", "nitwit", "dunce", "grubworm"]
+    for i in range(900):
+        r = random.Random(i)
+        w = words(60, i, 3000)
+        if i % 6 == 0:
+            for k in r.sample(range(60), 3):
+                w[k] = r.choice(insults)
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(i % 6 == 0)))
+    return spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+
+def test_held_out_texts(labelled):
+    got = [r for r in toxicity(*labelled).collect() if r["held_out"]]
+    assert len(got) > 200
+    right = sum(r["predicted"] == (r["doc_id"] % 6 == 0) for r in got)
+    assert right >= 0.98 * len(got)
+
+
+def test_held_out_labels_are_not_learned(labelled):
+    docs, labels = labelled
+    spoiled = labels.withColumn("toxic", F.when(held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (sorted(map(str, toxicity(docs, x).collect())) for x in (labels, spoiled))
+    assert a == b
+
+
+def test_clean_documents_stay(labelled):
+    docs, labels = labelled
+    left = {r["doc_id"] for r in without_toxic(docs, labels).collect()}
+    assert sum(i in left for i in range(900) if i % 6) >= 0.99 * 750 and sum(i in left for i in range(0, 900, 6)) <= 5
+
+
+def test_odd_rows(spark, odd, none, labelled):
+    _, labels = labelled
+    odd_labels = spark.createDataFrame([(1, 0, 1), (7, 0, 0), (None, 1, 1), (8, None, None), (1, 0, 1), (99, 0, 1)], "doc_id bigint, quality int, toxic int")
+    got = toxicity(odd, odd_labels).collect()
+    assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
+    assert without_toxic(odd, odd_labels.limit(0)).count() == odd.count()
+    assert without_toxic(odd, odd_labels).columns == odd.columns
+    assert toxicity(none, labels).count() == 0
