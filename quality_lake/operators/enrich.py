@@ -1,16 +1,16 @@
 """Context enrichment: left joins of a fact table to small context tables.
 
-Broadcast is used only behind a size check of the (already projected) context
-side: at most ``max_broadcast_rows`` rows and an estimated
-``max_broadcast_bytes``.  Beyond that the join is a shuffle join; fact rows with
-a null key - which can never match - are then spread over many tasks by a
-deterministic salt instead of all hashing to one partition, and AQE's skew-join
-handling splits hot non-null keys.  Nothing here collects data to the driver.
+A context is broadcast only behind a check of its *measured* size: exact rows and
+bytes of the columns that the join uses.  Beyond the limits, or when asked, the
+join is a shuffle join with the same result: only facts whose key is complete
+take part in it, and facts with a null key, which can never match, are appended
+with null context columns, so they neither shuffle nor meet in one task.  AQE's
+skew handling splits a hot key.  Neither form reads a column that is not used
+after it, and nothing here collects data to the driver.
 """
 
 from __future__ import annotations
 
-import warnings
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,21 +24,36 @@ from .keys import assert_unique_context_key
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-NULL_KEY_SALT_BUCKETS = 256
-
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
-_VARIABLE_WIDTH = 64  # assumed bytes per string/binary/nested value
+# A broadcast row costs its values, 8 bytes for each of them and a row header.
+_ROW_BYTES, _VALUE_BYTES = 24, 8
 
 
 def _c(name: str):
     return F.col(f"`{name}`")
 
 
-def estimated_row_bytes(schema: T.StructType) -> int:
-    return 16 + sum(_FIXED_WIDTH.get(type(f.dataType), _VARIABLE_WIDTH) for f in schema.fields)
+def value_bytes(schema: T.StructType):
+    """Bytes of a row's values as a column: the text length of what varies in
+    width (nested values as JSON), and nothing more than its slot otherwise."""
+    fixed = _ROW_BYTES + _VALUE_BYTES * len(schema.fields)
+    sized = [F.lit(fixed).cast("long")]
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sized.append(F.octet_length(_c(f.name)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sized.append(2 * F.octet_length(F.to_json(F.struct(_c(f.name)))))
+        elif isinstance(f.dataType, T.DecimalType):
+            sized.append(F.lit(16))
+    return reduce(lambda x, y: x + y, [F.coalesce(c, F.lit(0)) for c in sized])
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Exact (rows, bytes of values) of a frame, as one observed result stage."""
+    obs = Observation()
+    (df.select(value_bytes(df.schema).alias("b"))
+       .observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"))
+       .write.format("noop").mode("overwrite").save())
+    return int(obs.get["rows"]), int(obs.get["bytes"])
 
 
 def row_count(df: DataFrame) -> int:
@@ -57,10 +72,9 @@ def row_count(df: DataFrame) -> int:
 
 def broadcast_fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """Size check for a broadcast side: its exact row count times an upper
-    estimate of the row width must stay within both limits."""
-    n = row_count(df)
-    return n <= max_rows and n * estimated_row_bytes(df.schema) <= max_bytes
+    """Size check for a broadcast side: its measured rows and bytes must stay within both limits."""
+    rows, size = measure(df)
+    return rows <= max_rows and size <= max_bytes
 
 
 def _key_map(keys) -> dict[str, str]:
@@ -77,59 +91,54 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
                  broadcast: bool | None = None, *,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                 null_key_salt_buckets: int = NULL_KEY_SALT_BUCKETS,
-                 size_ok: bool | None = None, marker: bool = False) -> DataFrame:
+                 size_ok: bool | None = None, marker: bool = False,
+                 strategies: dict | None = None) -> DataFrame:
     """Left outer equi-join adding ``{prefix}_{column}`` for each context column.
 
     ``keys`` maps left key -> context key.  Null keys never match.  ``broadcast``
-    True/None broadcast the context when it passes the size check (True warns
-    when it does not); False adds no hint and plans the salted shuffle join
-    (Spark's own size threshold may still choose a broadcast).  The caller owns the
-    row-count guarantee (see ``assert_unique_context_key``).  ``size_ok`` passes
-    the result of a size check the caller already ran (see ``enrich``).
-    ``marker`` adds ``{prefix}_matched``: true exactly when a context row
-    matched, also when the matched row's own columns are null.
+    True/None broadcast the context when it passes the size check; False joins by
+    shuffle.  Both give the same rows.  The caller owns the row-count guarantee
+    (see ``assert_unique_context_key``).  ``size_ok`` passes the result of a size
+    check the caller already ran (see ``enrich``).  ``marker`` adds
+    ``{prefix}_matched``: true exactly when a context row matched, also when the
+    matched row's own columns are null.  ``strategies``, if given, receives
+    ``prefix -> "broadcast"`` or ``"shuffle"``.
+
+    A shuffle join reads ``left`` twice, once for each kind of key; stage a
+    ``left`` that is expensive to make.
     """
     mapping = _key_map(keys)
-    missing = [k for k in mapping if k not in left.columns]
-    missing += [k for k in list(mapping.values()) + list(columns) if k not in right.columns]
-    if missing:
-        raise ContractError(f"Join on {prefix}: missing columns {missing}")
+    absent = sorted({*mapping} - {*left.columns}) + sorted({*mapping.values(), *columns} - {*right.columns})
+    if absent:
+        raise ContractError(f"{prefix}: no such join or context columns: {absent}")
     out_names = [f"{prefix}_{c}" for c in columns]
     marker_name = f"{prefix}_matched"
     clash = sorted((set(out_names) | ({marker_name} if marker else set())) & set(left.columns))
     if clash:
-        raise ContractError(f"Join on {prefix} would overwrite columns {clash}")
+        raise ContractError(f"{prefix}: the facts already have columns {clash}")
 
     tmp = {lk: f"__{prefix}_key{i}" for i, lk in enumerate(mapping)}
     ctx = right.select(*[_c(rk).alias(tmp[lk]) for lk, rk in mapping.items()],
                        *[_c(c).alias(o) for c, o in zip(columns, out_names)],
                        *([F.lit(True).alias(marker_name)] if marker else []))
-    cond = [_c(lk) == F.col(tmp[lk]) for lk in mapping]
-
-    use_broadcast = False
-    if broadcast is not False:
-        use_broadcast = (size_ok if size_ok is not None
-                         else broadcast_fits(ctx, max_broadcast_rows, max_broadcast_bytes))
-        if broadcast and not use_broadcast:
-            warnings.warn(f"context {prefix!r} is larger than the broadcast limit; "
-                          f"using a shuffle join", stacklevel=2)
+    cond = reduce(lambda a, b: a & b, [_c(lk) == F.col(tmp[lk]) for lk in mapping])
+    use_broadcast = broadcast is not False and (
+        size_ok if size_ok is not None else broadcast_fits(ctx, max_broadcast_rows, max_broadcast_bytes))
+    if strategies is not None:
+        strategies[prefix] = "broadcast" if use_broadcast else "shuffle"
 
-    if use_broadcast:
-        joined = left.join(F.broadcast(ctx), reduce(lambda a, b: a & b, cond), "left")
-    else:
-        any_null = reduce(lambda a, b: a | b, [_c(lk).isNull() for lk in mapping])
-        salt = F.when(any_null, F.pmod(F.xxhash64(*[_c(c) for c in left.columns]),
-                                       F.lit(null_key_salt_buckets)) + 1).otherwise(F.lit(0))
-        salted = left.withColumn("__null_salt", salt)
-        # A literal 0 would be folded into a non-equi join filter and drop out of
-        # the shuffle keys; a column-dependent value stays a join key.
-        ctx_null = reduce(lambda a, b: a | b, [F.col(t).isNull() for t in tmp.values()])
-        ctx = ctx.withColumn("__ctx_salt", F.when(ctx_null, F.lit(-1)).otherwise(F.lit(0)).cast("long"))
-        cond.append(F.col("__null_salt") == F.col("__ctx_salt"))
-        joined = salted.join(ctx, reduce(lambda a, b: a & b, cond), "left")
     extra = [F.coalesce(_c(marker_name), F.lit(False)).alias(marker_name)] if marker else []
-    return joined.select(*[_c(c) for c in left.columns], *[_c(o) for o in out_names], *extra)
+    shown = [*[_c(c) for c in left.columns], *[_c(o) for o in out_names], *extra]
+    if use_broadcast:
+        return left.join(F.broadcast(ctx), cond, "left").select(*shown)
+    complete = reduce(lambda a, b: a & b, [_c(lk).isNotNull() for lk in mapping])
+    types = {f.name: f.dataType for f in ctx.schema.fields}
+    unmatched = left.filter(~complete).select(
+        *[_c(c) for c in left.columns], *[F.lit(None).cast(types[o]).alias(o) for o in out_names],
+        *([F.lit(False).alias(marker_name)] if marker else []))
+    known = reduce(lambda a, b: a & b, [F.col(t).isNotNull() for t in tmp.values()])
+    matched = left.filter(complete).join(ctx.filter(known).hint("merge"), cond, "left").select(*shown)
+    return matched.unionByName(unmatched)
 
 
 @dataclass(frozen=True)
@@ -155,9 +164,9 @@ class JoinSpec:
                    broadcast=d.get("broadcast", True))
 
 
-def context_profiles(items) -> list[tuple[int, int]]:
+def context_profiles(items) -> list[tuple[int, int, int]]:
     """For each ``(frame, keys)``: (rows, largest number of rows sharing one
-    non-null key).
+    non-null key, bytes of all values).
 
     Each frame is counted per key (a partial, map-side aggregation, so a hot key
     is collapsed before its shuffle); the per-key counts of all frames form one
@@ -172,25 +181,21 @@ def context_profiles(items) -> list[tuple[int, int]]:
     for i, (df, keys) in enumerate(items):
         keys = list(keys)
         present = reduce(lambda a, b: a & b, [_c(k).isNotNull() for k in keys])
-        parts.append(df.groupBy(*[_c(k) for k in keys])
-                     .agg(F.count(F.lit(1)).alias("__n"), F.max(present).alias("__present"))
-                     .select(F.lit(i).alias("__item"), "__n", "__present"))
+        parts.append(df.withColumn("__bytes", value_bytes(df.schema)).groupBy(*[_c(k) for k in keys])
+                     .agg(F.count(F.lit(1)).alias("__n"), F.max(present).alias("__present"), F.sum("__bytes").alias("__bytes"))
+                     .select(F.lit(i).alias("__item"), "__n", "__present", "__bytes"))
     metrics = []
     for i in range(len(items)):
         mine = F.col("__item") == i
         metrics += [F.coalesce(F.sum(F.when(mine, F.col("__n"))), F.lit(0)).alias(f"rows{i}"),
                     F.coalesce(F.max(F.when(mine & F.col("__present"), F.col("__n"))), F.lit(0))
-                    .alias(f"max{i}")]
+                    .alias(f"max{i}"),
+                    F.coalesce(F.sum(F.when(mine, F.col("__bytes"))), F.lit(0)).alias(f"bytes{i}")]
     obs = Observation()
     (reduce(DataFrame.unionByName, parts).observe(obs, *metrics)
      .write.format("noop").mode("overwrite").save())
     got = obs.get
-    return [(int(got[f"rows{i}"]), int(got[f"max{i}"])) for i in range(len(items))]
-
-
-def context_profile(df: DataFrame, keys) -> tuple[int, int]:
-    """One job: (rows, largest number of rows sharing one non-null key)."""
-    return context_profiles([(df, keys)])[0]
+    return [(int(got[f"rows{i}"]), int(got[f"max{i}"]), int(got[f"bytes{i}"])) for i in range(len(items))]
 
 
 def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_keys: bool = True,
@@ -202,22 +207,21 @@ def enrich(facts: DataFrame, contexts: dict[str, DataFrame], joins, *, check_key
     Each distinct (context, keys) pair is profiled once - all of them in one
     job (``context_profiles``) - which both proves its non-null keys unique (so
     the fact row count cannot change; ``check_keys``) and measures it for the
-    broadcast decision - also when the same context serves several roles.
+    broadcast decision - also when the same context serves several roles.  A
+    context key that repeats is refused even if no fact uses it.
     """
     joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
     for j in joins:
         if j.dataset not in contexts:
             raise ContractError(f"No context table named {j.dataset!r}")
     pairs = list(dict.fromkeys((j.dataset, tuple(j.keys.values())) for j in joins))
-    profiles = context_profiles([(contexts[ds], ckeys) for ds, ckeys in pairs])
+    used = {ds: sorted({c for j in joins if j.dataset == ds for c in (*j.keys.values(), *j.columns)}) for ds, _ in pairs}
+    profiles = context_profiles([(contexts[ds].select(*[_c(c) for c in used[ds]]), ckeys) for ds, ckeys in pairs])
     fits: dict[tuple, bool] = {}
-    for (ds, ckeys), (rows, per_key) in zip(pairs, profiles):
-        ctx = contexts[ds]
+    for (ds, ckeys), (rows, per_key, size) in zip(pairs, profiles):
         if check_keys and per_key > 1:
-            assert_unique_context_key(ctx, list(ckeys), ds)  # raises with examples
-        used = sorted({c for k in joins if k.dataset == ds for c in (*k.keys.values(), *k.columns)})
-        width = estimated_row_bytes(ctx.select(*[_c(c) for c in used]).schema)
-        fits[(ds, ckeys)] = rows <= max_broadcast_rows and rows * width <= max_broadcast_bytes
+            assert_unique_context_key(contexts[ds], list(ckeys), ds)  # raises with examples
+        fits[(ds, ckeys)] = rows <= max_broadcast_rows and size <= max_broadcast_bytes
     out = facts
     for j in joins:
         out = join_context(out, contexts[j.dataset], j.keys, list(j.columns), j.prefix, j.broadcast,
@@ -234,15 +238,16 @@ def match_rates(df: DataFrame, match_columns: dict[str, str]) -> DataFrame:
 def restrict_to(df: DataFrame, context: DataFrame, keys, *,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Left semi join: keep rows whose key occurs in ``context`` (distinct keys,
-    broadcast when they pass the size check).  Rows with a null key are dropped."""
+    """Left semi join: keep rows whose key occurs in ``context`` (its key columns
+    are broadcast when they pass the size check).  Rows with a null key are dropped."""
     mapping = _key_map(keys)
     tmp = {lk: f"__semi_key{i}" for i, lk in enumerate(mapping)}
-    ctx = context.select(*[_c(rk).alias(tmp[lk]) for lk, rk in mapping.items()]).distinct()
-    if broadcast_fits(ctx, max_broadcast_rows, max_broadcast_bytes):
-        ctx = F.broadcast(ctx)
+    keyed = context.select(*[_c(rk).alias(tmp[lk]) for lk, rk in mapping.items()])
+    # a semi join needs no distinct keys; the size is that of the key columns as they are
+    if broadcast_fits(keyed, max_broadcast_rows, max_broadcast_bytes):
+        keyed = F.broadcast(keyed)
     cond = reduce(lambda a, b: a & b, [_c(lk) == F.col(tmp[lk]) for lk in mapping])
-    return df.join(ctx, cond, "left_semi")
+    return df.join(keyed, cond, "left_semi")
 
 
 def hourly_summary(df: DataFrame, group_columns, ts: str, tz: str, measure: str, labels=(),

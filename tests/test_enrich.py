@@ -44,9 +44,8 @@ def test_broadcast_and_shuffle_fallback_agree(spark, frames):
                          broadcast=False)
         plan = plan_text(s)
         assert "SortMergeJoin" in plan
-        # the null-key salt is a shuffle key on both sides, not a post-join filter
-        assert re.search(r"hashpartitioning\(zone#\d+, __null_salt#", plan)
-        assert re.search(r"hashpartitioning\(__pickup_key0#\d+, __ctx_salt#", plan)
+        # facts without a key do not shuffle: they are appended
+        assert "Union" in plan and re.search(r"Filter isnotnull\(zone#\d+\)", plan) and re.search(r"Filter isnull\(zone#\d+\)", plan)
         srows = _rows(s)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -58,13 +57,43 @@ def test_broadcast_and_shuffle_fallback_agree(spark, frames):
 
 def test_size_check_falls_back(frames):
     facts, zones = frames
-    with pytest.warns(UserWarning):
-        small_limit = join_context(facts, zones, {"zone": "location_id"}, ["zone"], "p",
-                                   broadcast=True, max_broadcast_rows=2)
-    # no broadcast hint: the salted fallback join was planned (Spark may still
-    # broadcast a tiny side by its own threshold)
-    assert "__ctx_salt" in plan_text(small_limit)
+    chosen = {}
+    small_limit = join_context(facts, zones, {"zone": "location_id"}, ["zone"], "p",
+                               broadcast=True, max_broadcast_rows=2, strategies=chosen)
+    assert chosen == {"p": "shuffle"} and "SortMergeJoin" in plan_text(small_limit)
     assert small_limit.count() == facts.count()
+    join_context(facts, zones, {"zone": "location_id"}, ["zone"], "p", strategies=chosen)
+    assert chosen == {"p": "broadcast"}
+
+
+def test_size_is_measured_not_assumed(spark, frames):
+    from quality_lake.operators.enrich import broadcast_fits, measure
+    facts, zones = frames
+    wide = zones.withColumn("zone", F.repeat(F.lit("x"), 100_000))
+    rows, size = measure(wide)
+    assert rows == 4 and size > 400_000
+    assert broadcast_fits(zones, max_bytes=100_000) and not broadcast_fits(wide, max_bytes=100_000)
+    chosen = {}
+    enrich(facts, {"zones": wide}, [JoinSpec("zones", {"zone": "location_id"}, ("zone",), "p")],
+           max_broadcast_bytes=100_000, strategies=chosen)
+    assert chosen == {"p": "shuffle"}
+    # columns that the join does not use do not count
+    enrich(facts, {"zones": wide}, [JoinSpec("zones", {"zone": "location_id"}, ("borough",), "p")],
+           max_broadcast_bytes=100_000, strategies=chosen)
+    assert chosen == {"p": "broadcast"}
+
+
+def test_shuffle_join_takes_any_column_and_reads_only_what_is_used(spark, frames, tmp_dir):
+    facts, zones = frames
+    mapped = facts.withColumn("tags", F.create_map(F.lit("k"), F.col("id")))
+    mapped.write.parquet(tmp_dir + "/mapped")
+    mapped = spark.read.parquet(tmp_dir + "/mapped")
+    forms = [join_context(mapped, zones, {"zone": "location_id"}, ["zone"], "p", broadcast=b, marker=True) for b in (True, False)]
+    a, b = ({r.id: (r.zone, r.other, r.tags, r.p_zone, r.p_matched) for r in f.collect()} for f in forms)
+    assert len(a) == 200 and a == b
+    narrow = forms[1].select("id", "p_zone")
+    assert "tags" not in re.findall(r"ReadSchema: (struct<[^\n]*)", plan_text(narrow))[0]
+    assert "other" not in plan_text(narrow)
 
 
 def test_chain_keys_on_earlier_output_and_projection(spark, frames):
@@ -82,11 +111,11 @@ def test_chain_keys_on_earlier_output_and_projection(spark, frames):
 
 def test_name_clash_and_duplicate_context(spark, frames):
     facts, zones = frames
-    with pytest.raises(ContractError):
-        join_context(facts, zones.withColumnRenamed("zone", "x"), {"zone": "location_id"}, ["x"], "p") \
-            .transform(lambda d: join_context(d, zones, {"zone": "location_id"}, ["zone"], "p"))
-        join_context(facts, zones, {"zone": "location_id"}, ["zone"], "p").transform(
-            lambda d: join_context(d, zones, {"zone": "location_id"}, ["zone"], "p"))
+    once = join_context(facts, zones, {"zone": "location_id"}, ["zone"], "p")
+    with pytest.raises(ContractError, match="already have columns"):
+        join_context(once, zones, {"zone": "location_id"}, ["zone"], "p")
+    with pytest.raises(ContractError, match="no such join"):
+        join_context(facts, zones, {"zone": "location_id"}, ["nothing"], "p")
     dup = zones.unionByName(zones.limit(1))
     with pytest.raises(ContractError, match="duplicate keys"):
         assert_unique_context_key(dup, ["location_id"])
@@ -136,7 +165,7 @@ def test_match_marker_separates_null_columns_from_no_match(spark, frames):
 
 def test_shuffle_fallback_splits_a_hot_key(spark, tmp_dir):
     # A third of the fact rows share one key and a tenth have none.  In the
-    # shuffle join the null keys are salted, and AQE's skew-join handling cuts
+    # shuffle join the null keys take no part, and AQE's skew-join handling cuts
     # the hot key's partition into several tasks; every row keeps its match.
     n = 30_000
     i = F.col("id")
@@ -176,9 +205,10 @@ def test_profiles_of_several_contexts_in_one_job(spark, frames):
                             (zones.unionByName(zones.limit(1)), ["location_id"]), (nulls, ["k"]),
                             (facts, ["zone", "other"])])
     # null keys never match, so two null-key rows do not count as a repeat
-    assert got[:4] == [(4, 1), (0, 0), (5, 2), (3, 1)]
+    assert [g[:2] for g in got[:4]] == [(4, 1), (0, 0), (5, 2), (3, 1)]
+    assert got[0][2] == 4 * (24 + 8 * 3 + 4) and got[1][2] == 0
     per_key = facts.filter(F.col("zone").isNotNull()).groupBy("zone", "other").count()
-    assert got[4] == (200, per_key.agg(F.max("count")).first()[0])
+    assert got[4][:2] == (200, per_key.agg(F.max("count")).first()[0])
     assert context_profiles([]) == []
     assert (row_count(facts), row_count(empty)) == (200, 0)
     # the empty projection keeps an aggregate's grouping: groups are counted, not input rows
