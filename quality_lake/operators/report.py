@@ -67,41 +67,46 @@ def sorted_result(df: DataFrame) -> DataFrame:
 
 def compare_results(left: DataFrame, right: DataFrame, keys, rel_tol: float = 1e-9,
                     abs_tol: float = 1e-7) -> DataFrame:
-    """Full outer, null-safe join of two results on ``keys``.
+    """Two results side by side: one row per key of either.
 
     For each value column ``v``: ``left_v``, ``right_v``; ``matches`` is true when
-    the row exists on both sides and every value agrees (floats within
-    ``max(rel_tol * max(|a|,|b|), abs_tol)``).
+    each side has exactly one row of that key and every value agrees.  Finite
+    floats agree within ``max(rel_tol * max(|a|,|b|), abs_tol)``; infinite ones only
+    if they are equal; a NaN agrees with nothing, also not with a NaN; two nulls
+    agree.  Keys are compared null-safely.  A key that repeats on a side does not
+    match (its row shows one of the values), so a lost copy is never hidden.
     """
     keys = list(keys)
     values = [c for c in left.columns if c not in keys]
     if sorted(values) != sorted(c for c in right.columns if c not in keys):
         raise ValueError(f"Result columns differ: {left.columns} vs {right.columns}")
     ftypes = {f.name: f.dataType.typeName() for f in left.schema.fields}
-    lsel = left.select(*[_c(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                       *[_c(v).alias(f"left_{v}") for v in values], F.lit(True).alias("__in_left"))
-    rsel = right.select(*[_c(k).alias(f"__r{i}") for i, k in enumerate(keys)],
-                        *[_c(v).alias(f"right_{v}") for v in values], F.lit(True).alias("__in_right"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*[_c(k).alias(f"__{name}{i}") for i, k in enumerate(keys)]).agg(
+            F.count(F.lit(1)).alias(f"__{name}_rows"), *[F.first(_c(v)).alias(f"{name}_{v}") for v in values])
+
     cond = reduce(lambda a, b: a & b,
-                  [F.col(f"__k{i}").eqNullSafe(F.col(f"__r{i}")) for i in range(len(keys))])
-    j = lsel.join(rsel, cond, "full_outer")
+                  [F.col(f"__left{i}").eqNullSafe(F.col(f"__right{i}")) for i in range(len(keys))])
+    j = side(left, "left").join(side(right, "right"), cond, "full_outer")
 
     def same(v):
         a, b = F.col(f"left_{v}"), F.col(f"right_{v}")
-        if ftypes[v] in ("double", "float"):
-            tol = F.greatest(F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)), F.lit(abs_tol))
-            close = (F.isnan(a) & F.isnan(b)) | (a == b) | (F.abs(a - b) <= tol)
-            return (a.isNull() & b.isNull()) | F.coalesce(close, F.lit(False))
-        return a.eqNullSafe(b)
-
-    both = F.col("__in_left").isNotNull() & F.col("__in_right").isNotNull()
-    matches = reduce(lambda x, y: x & y, [same(v) for v in values], both)
-    return j.select(*[F.coalesce(F.col(f"__k{i}"), F.col(f"__r{i}")).alias(k) for i, k in enumerate(keys)],
-                    *[F.col(f"{side}_{v}") for v in values for side in ("left", "right")],
+        if ftypes[v] not in ("double", "float"):
+            return a.eqNullSafe(b)
+        tol = F.greatest(F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b)), F.lit(abs_tol))
+        agree = (F.when(F.isnan(a) | F.isnan(b), F.lit(False))
+                 .when(is_finite(a) & is_finite(b), F.abs(a - b) <= tol).otherwise(a == b))
+        return (a.isNull() & b.isNull()) | (a.isNotNull() & b.isNotNull() & F.coalesce(agree, F.lit(False)))
+
+    once = F.coalesce((F.col("__left_rows") == 1) & (F.col("__right_rows") == 1), F.lit(False))
+    matches = reduce(lambda x, y: x & y, [same(v) for v in values], once)
+    return j.select(*[F.coalesce(F.col(f"__left{i}"), F.col(f"__right{i}")).alias(k) for i, k in enumerate(keys)],
+                    *[F.col(f"{name}_{v}") for v in values for name in ("left", "right")],
                     matches.alias("matches"))
 
 
 def diff_results(left: DataFrame, right: DataFrame, keys, rel_tol: float = 1e-9,
                  abs_tol: float = 1e-7) -> DataFrame:
-    """Rows that differ between two results (empty when they agree)."""
+    """Keys on which two results differ (none when they agree)."""
     return compare_results(left, right, keys, rel_tol, abs_tol).filter(~F.col("matches"))
