@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -60,27 +61,32 @@ def normalize_name(name: str) -> str:
     return _NOT_WORD.sub("_", spaced).strip("_").lower()
 
 
-def check_output_names(names: list[str]) -> None:
-    bad = [n for n in names if not n or n[0].isdigit()]
-    seen: set[str] = set()
-    dupes = sorted({n for n in names if n in seen or seen.add(n)})
-    if bad or dupes:
-        raise ContractError(
-            f"Column names must be valid and distinct after formatting: "
-            f"invalid={bad}, duplicated={dupes}"
-        )
+def _repeated(names) -> list[str]:
+    return sorted(n for n, k in Counter(names).items() if k > 1)
 
 
-def check_key_spec(columns: Any, available: list[str], what: str = "primary_key") -> list[str]:
-    """A key is a nonempty list of distinct, existing column names."""
-    if (not isinstance(columns, (list, tuple)) or not columns
-            or not all(isinstance(c, str) for c in columns)
-            or len(set(columns)) != len(columns)):
-        raise ContractError(f"{what} must be a nonempty list of distinct column names")
-    missing = sorted(set(columns) - set(available))
-    if missing:
-        raise ContractError(f"{what} columns are missing: {missing}")
-    return list(columns)
+def check_output_names(names: list[str]) -> None:
+    """Output names must be usable as identifiers, and each only once."""
+    problems = {"empty or beginning with a digit": sorted({n for n in names if not n or n[0].isdigit()}),
+                "used more than once": _repeated(names)}
+    found = [f"{what}: {which}" for what, which in problems.items() if which]
+    if found:
+        raise ContractError("Output column names are not acceptable; " + "; ".join(found))
+
+
+def check_key_spec(columns: Any, available=None, what: str = "primary_key") -> list[str]:
+    """The one place where a list of key columns is checked, whatever it is for:
+    it names at least one column, each once, and (if ``available`` is given) only
+    columns that exist."""
+    names = [] if columns is None or isinstance(columns, str) else list(columns)
+    if not names or any(not isinstance(n, str) for n in names):
+        raise ContractError(f"{what}: expected a list of one or more column names, got {columns!r}")
+    if _repeated(names):
+        raise ContractError(f"{what}: repeats {_repeated(names)}")
+    unknown = sorted(set(names).difference(names if available is None else available))
+    if unknown:
+        raise ContractError(f"{what}: no such columns: {unknown}")
+    return names
 
 
 @dataclass(frozen=True)
@@ -143,7 +149,7 @@ class Contract:
         return cls(
             table_name=d["table_name"], format=fmt, columns=columns,
             schema_version=int(d.get("schema_version", 1)),
-            primary_key=tuple(d["primary_key"]) if d.get("primary_key") is not None else None,
+            primary_key=tuple(check_key_spec(d["primary_key"])) if "primary_key" in d else None,
             generated_key=GeneratedKey(gk["name"], tuple(gk["columns"])) if gk else None,
             transforms=tuple(d.get("extra_functions", d.get("transforms", ()))),
             rules=tuple(d.get("quality_rules", d.get("rules", ()))),
@@ -167,12 +173,12 @@ class Contract:
         """Typed schema of the source columns (after the cast step)."""
         return T.StructType([T.StructField(c.name, c.data_type, True) for c in self.columns])
 
-    def string_schema(self) -> T.StructType:
-        """All-string schema used to scan text sources."""
-        return T.StructType([T.StructField(c.name, T.StringType(), True) for c in self.columns])
-
 
 def bundled_contract(name: str) -> Contract:
-    """Load one of the contracts shipped in ``quality_lake/contracts``."""
+    """Load one of the contracts shipped in ``quality_lake/contracts``.
+
+    Fixed values: their column names, types, keys and rules are those of the
+    source files and stand in the files' own order.
+    """
     path = Path(__file__).parent / "contracts" / (name if name.endswith(".json") else f"{name}.json")
     return Contract.from_json(path)

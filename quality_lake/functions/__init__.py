@@ -14,7 +14,6 @@ from .values import (
     blank_to_null,
     cast_value,
     finite_or_null,
-    is_blank,
     is_finite,
     is_missing,
     normalize_label,
@@ -22,7 +21,7 @@ from .values import (
 
 __all__ = [
     "RULE_NAMES", "TIME_OF_DAY_PATTERN", "blank_text", "blank_to_null", "cast_value",
-    "duration_seconds", "finite_or_null", "hour_bucket", "is_blank", "is_finite", "is_missing",
+    "duration_seconds", "finite_or_null", "hour_bucket", "is_finite", "is_missing",
     "local_hour_bucket",
     "normalize_label", "passes_all", "rule_label", "timestamp_from_date_time",
     "timestamp_from_parts", "violation",

@@ -15,9 +15,8 @@ _FRACTIONAL = (T.FloatType, T.DoubleType)
 
 # Integer text keeps only its integral part (as a lenient cast would): "12.7" -> 12,
 # "-2.9" -> -2, " 3.5 " -> 3, ".5" / "-.5" -> 0; "1e3", "1.5x" and non-ASCII digits stay
-# unconvertible.  Such text goes through a decimal, whose cast to an integer type
-# truncates toward zero and yields null on overflow.
-_FRACTION_DECIMAL = "decimal(38,18)"
+# unconvertible.  The text is cut at its dot once the fraction proves to be digits
+# only, so digits behind the dot never take part in the conversion, however many.
 
 
 def blank_text(c: Column) -> Column:
@@ -29,11 +28,6 @@ def blank_text(c: Column) -> Column:
     return (c == F.lit("")) | (c.startswith(" ") & (F.trim(c) == F.lit("")))
 
 
-def is_blank(c: Column) -> Column:
-    """True when the value's text form is empty after trimming spaces."""
-    return blank_text(c.cast("string"))
-
-
 def blank_to_null(c: Column, source_type: T.DataType | None = None) -> Column:
     """Blank text becomes null; other values pass unchanged (not trimmed).
 
@@ -64,6 +58,10 @@ def is_missing(c: Column, data_type: T.DataType) -> Column:
     return cond
 
 
+# What a cast of text to a number ignores around it: control characters and spaces.
+_TRIMMED = "".join(map(chr, range(0x21)))
+
+
 def cast_value(c: Column, source_type: T.DataType, target: T.DataType) -> Column:
     """Convert to ``target``; a value that cannot be converted becomes null.
 
@@ -73,12 +71,14 @@ def cast_value(c: Column, source_type: T.DataType, target: T.DataType) -> Column
     if source_type == target:
         return c
     if isinstance(source_type, T.StringType) and isinstance(target, _INTEGRAL):
-        # Plain text converts directly; only text with a '.' that failed takes
-        # the decimal path.  No regex: the expression stays small and cheap.
-        fraction = ((F.instr(c, ".") > 0) & (F.instr(c, "e") == 0) & (F.instr(c, "E") == 0)
-                    & (F.length(c) == F.octet_length(c)))
-        return F.coalesce(c.try_cast(target),
-                          F.when(fraction, c.try_cast(_FRACTION_DECIMAL).try_cast(target)))
+        # Plain text converts directly; only text with a '.' that failed is cut.
+        # No regex: the expression stays small and cheap.
+        t = F.btrim(c, F.lit(_TRIMMED))
+        whole, rest = F.substring_index(t, ".", 1), F.substring_index(t, ".", -1)
+        digits = F.translate(t, "0123456789", "")
+        number = (digits.isin(".", "-.", "+.") & (F.length(t) > F.length(digits)) & ~rest.startswith("-") & ~rest.startswith("+"))
+        cut = F.when(F.length(F.translate(whole, "+-", "")) == 0, F.lit("0")).otherwise(whole)
+        return F.coalesce(c.try_cast(target), F.when(number, cut.try_cast(target)))
     return c.try_cast(target)
 
 

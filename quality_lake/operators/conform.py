@@ -20,18 +20,15 @@ def _c(name: str) -> Column:
 
 
 def check_closed_schema(df: DataFrame, contract: Contract) -> None:
-    """The frame must carry exactly the contract's source columns (any order)."""
-    expected = contract.source_names
-    present = df.columns
-    missing = [n for n in expected if n not in present]
-    unexpected = [n for n in present if n not in expected]
-    if missing or unexpected:
-        hint = ""
-        if any(re.sub(r"\d+$", "", n) in expected for n in unexpected):
-            hint = " (a repeated header name in a CSV file is renamed by the reader)"
-        raise ContractError(
-            f"Input schema differs from the contract of {contract.table_name}: "
-            f"missing={missing}, unexpected={unexpected}{hint}")
+    """The frame must carry the contract's source columns and no others, in any order."""
+    has, wants = set(df.columns), set(contract.source_names)
+    if has == wants and len(df.columns) == len(wants):
+        return
+    told = [f"{sign}{n}" for sign, names in (("-", wants - has), ("+", has - wants)) for n in sorted(names)]
+    renamed = sorted(n for n in has - wants if re.sub(r"\d+$", "", n) in wants)
+    if renamed:
+        told.append(f"(the CSV reader numbers repeated headers: {renamed})")
+    raise ContractError(f"{contract.table_name}: columns differ from the contract (- lacking, + not in it): {' '.join(told)}")
 
 
 def _conversions(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, Column]], list[tuple[str, Column]]]:
@@ -121,8 +118,3 @@ def drop_unwanted(df: DataFrame, contract: Contract) -> DataFrame:
     dropped = [c.output_name for c in contract.columns if not c.keep_column]
     return df.drop(*dropped) if dropped else df
 
-
-def require_columns(df: DataFrame, names, what: str) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ContractError(f"{what}: missing columns {missing}")

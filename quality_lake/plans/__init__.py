@@ -14,18 +14,22 @@ from .integrate import (
 from .warehouse import DATASETS, build_warehouse
 from .layouts import (
     LAYOUTS,
-    QUERIES,
+    REPORTS,
+    ReportColumns,
     add_partition_columns,
+    compare_layouts,
     layout_profile,
-    query_frame,
+    layout_report,
+    reconcile,
     reconcile_layouts,
     write_layout,
     zone_boroughs,
 )
 
 __all__ = [
-    "DATASETS", "IngestResult", "LAYOUTS", "build_warehouse", "STAGES", "stage_rows", "LOCAL_TIMEZONE", "QUERIES", "TAXI_JOINS", "WEATHER_COLUMNS",
-    "ZONE_COLUMNS", "add_partition_columns", "build_integrated", "clean", "clean_frame", "ingest",
-    "integrate", "layout_profile", "prepare_air_quality", "prepare_pickup_hour", "query_frame",
-    "reconcile_layouts", "write_layout", "zone_boroughs",
+    "DATASETS", "IngestResult", "LAYOUTS", "LOCAL_TIMEZONE", "REPORTS", "ReportColumns", "STAGES",
+    "TAXI_JOINS", "WEATHER_COLUMNS", "ZONE_COLUMNS", "add_partition_columns", "build_integrated",
+    "build_warehouse", "clean", "clean_frame", "compare_layouts", "ingest", "integrate",
+    "layout_profile", "layout_report", "prepare_air_quality", "prepare_pickup_hour", "reconcile",
+    "reconcile_layouts", "stage_rows", "write_layout", "zone_boroughs",
 ]

@@ -27,7 +27,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..contract import Contract
+from ..contract import Contract, check_key_spec
 from ..operators.conform import apply_null_policy, conform, drop_unwanted, rename_columns
 from ..operators.derive import apply_transforms
 from ..operators.enrich import row_count
@@ -36,7 +36,6 @@ from ..operators.quality import apply_rules
 from ..sources.files import read_source
 from ..sources.tables import (
     DEFAULT_FORMAT,
-    DEFAULT_MAX_RECORDS_PER_FILE,
     append_run_record,
     read_staged,
     release,
@@ -44,7 +43,7 @@ from ..sources.tables import (
     scratch_path,
     write_table,
 )
-
+from .sizing import sized_shuffle
 
 # Stage names, in execution order, for the opt-in stage counts.
 STAGES = ("input", "conformed", "null_policy", "transforms", "rules", "deduplicated")
@@ -112,35 +111,32 @@ def _input_rows(raw: DataFrame) -> int:
 
 def ingest(spark: SparkSession, path: str, contract: Contract, target: str, *,
            fmt: str = DEFAULT_FORMAT, runs_path: str | None = None,
-           max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+           max_records_per_file: int | None = None,
            validate_key: bool = True, stage_counts: bool = False,
-           size_shuffle_partitions: bool = False, keep_staged: bool = False) -> IngestResult:
+           size_shuffle_partitions: bool = True, keep_staged: bool = False) -> IngestResult:
     """Clean ``path``, audit the primary key, overwrite ``target``, append a run record.
 
-    A key violation raises before ``target`` is touched.  With
-    ``size_shuffle_partitions`` the session's initial shuffle partition count is
-    set from the source's size first (see ``plans.sizing``).  The staged copy is
-    released after a successful publish unless ``keep_staged``; after a key
+    The contract must name a primary key; ``validate_key=False`` is the only way
+    to go without the audit.  A key violation raises before ``target`` is touched.
+    For the run, shuffle partitions are sized from the source's bytes
+    (``plans.sizing``; off with ``size_shuffle_partitions=False``).  The staged copy
+    is released after a successful publish unless ``keep_staged``; after a key
     violation it stays for inspection.
     """
     started_at = datetime.now(timezone.utc)
     t0 = time.perf_counter()
     raw = read_source(spark, path, contract)
-    if size_shuffle_partitions:
-        from .sizing import size_shuffle
-        size_shuffle(spark, path)  # sized by listing the files, no data read
-    input_rows = _input_rows(raw)
     stages = {} if stage_counts else None
     cleaned = clean_frame(raw, contract, stage_counts=stages)
-    out_obs = Observation(f"quality_lake_output_{uuid.uuid4().hex[:12]}")
-    cleaned = cleaned.observe(out_obs, F.count(F.lit(1)).alias("rows"))
-
-    staged_path = scratch_path(spark, f"staged-{contract.table_name}")
-    write_table(cleaned, staged_path, "parquet", "errorifexists", max_records_per_file=max_records_per_file)
-    staged = read_staged(spark, staged_path, cleaned.schema)
-    stats = {}
-    if validate_key and contract.primary_key:
-        stats = assert_primary_key(staged, list(contract.primary_key), contract.table_name)
+    key = check_key_spec(contract.primary_key, cleaned.columns) if validate_key else []
+    with sized_shuffle(spark, path if size_shuffle_partitions else None):
+        input_rows = _input_rows(raw)
+        out_obs = Observation(f"quality_lake_output_{uuid.uuid4().hex[:12]}")
+        staged_path = scratch_path(spark, f"staged-{contract.table_name}")
+        write_table(cleaned.observe(out_obs, F.count(F.lit(1)).alias("rows")), staged_path, "parquet", "errorifexists",
+                    max_records_per_file=max_records_per_file)
+        staged = read_staged(spark, staged_path, cleaned.schema)
+        stats = assert_primary_key(staged, key, contract.table_name) if validate_key else {}
     write_table(staged, target, fmt, "overwrite", max_records_per_file=max_records_per_file)
     if not keep_staged:
         release(spark, staged_path)

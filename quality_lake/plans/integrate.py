@@ -52,40 +52,50 @@ def prepare_pickup_hour(taxi: DataFrame, ts: str = "tpep_pickup_datetime",
     return taxi.withColumn(out, hour_bucket(F.col(ts)))
 
 
-def build_integrated(tables: dict[str, DataFrame], joins=TAXI_JOINS, tz: str = LOCAL_TIMEZONE,
-                     *, stage_derived: bool = True, check_keys: bool = True) -> DataFrame:
-    """Pure plan: trips + pickup hour, the join chain, final projection.
+def _air_quality_hours(tables: dict[str, DataFrame], tz: str) -> DataFrame:
+    return prepare_air_quality(tables["air_quality"], tables["zones"], tz)
+
+
+#: Contexts that are made from the tables before they can be joined.
+DERIVED = {"air_quality": _air_quality_hours}
+
+
+def context_tables(tables: dict[str, DataFrame], names, tz: str = LOCAL_TIMEZONE, derived=DERIVED,
+                   keep=stage) -> dict[str, DataFrame]:
+    """The named contexts.  A derived one is written down first (``keep``), so that its
+    measurement and its join do not each make it."""
+    return {n: keep(derived[n](tables, tz), n) if n in derived else tables[n] for n in dict.fromkeys(names)}
 
-    ``stage_derived`` materialises the air-quality summary in the shared scratch
-    folder so its size check and its broadcast do not compute it twice.
-    """
-    context = dict(tables)
-    joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
-    if any(j.dataset == "air_quality" for j in joins):
-        summary = prepare_air_quality(tables["air_quality"], tables["zones"], tz)
-        context["air_quality"] = stage(summary, "air-quality-hours") if stage_derived else summary
-    facts = prepare_pickup_hour(tables["taxi"])
-    integrated = enrich(facts, context, joins, check_keys=check_keys)
-    return integrated.select(*tables["taxi"].columns,
-                             *[c for j in joins for c in j.outputs])
+
+def _specs(joins) -> list[JoinSpec]:
+    return [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
+
+
+def build_integrated(tables: dict[str, DataFrame], joins=TAXI_JOINS, tz: str = LOCAL_TIMEZONE,
+                     *, stage_derived: bool = True, check_keys: bool = True, **options) -> DataFrame:
+    """Trips with their pickup hour joined through the chain; the trips' columns and
+    each join's outputs remain."""
+    specs = _specs(joins)
+    contexts = context_tables(tables, (j.dataset for j in specs), tz, keep=stage if stage_derived else lambda df, _: df)
+    wide = enrich(prepare_pickup_hour(tables["taxi"]), contexts, specs, check_keys=check_keys, **options)
+    return wide.drop("pickup_hour") if "pickup_hour" not in tables["taxi"].columns else wide
 
 
 def integrate(tables: dict[str, DataFrame], target: str, joins=TAXI_JOINS, *,
               fmt: str = DEFAULT_FORMAT, tz: str = LOCAL_TIMEZONE) -> dict:
-    """Build and write the integrated table; returns rows and per-join matches."""
-    joins = [j if isinstance(j, JoinSpec) else JoinSpec.from_dict(j) for j in joins]
-    fact_rows = row_count(tables["taxi"])
-    integrated = build_integrated(tables, joins, tz)
-    metrics = Observation(f"quality_lake_integrated_{uuid.uuid4().hex[:12]}")
-    labelled = {j.prefix: f"{j.prefix}_{j.match_column}" for j in joins if j.match_column}
-    integrated = integrated.observe(
-        metrics, F.count(F.lit(1)).alias("rows"),
-        *[F.count(F.col(c)).alias(label) for label, c in labelled.items()])
-    write_table(integrated, target, fmt, "overwrite")
-    m = metrics.get
-    if m["rows"] != fact_rows:
-        raise ContractError(f"Joins changed the fact row count: {fact_rows} -> {m['rows']}")
-    rows = m["rows"]
-    return {"rows": rows, **{label: {"matches": m[label],
-                                     "percent": (100.0 * m[label] / rows) if rows else 0.0}
-                             for label in labelled}}
+    """Writes the integrated table; returns its rows, and per join the matches and how it was joined.
+
+    Counts are taken where the rows are written; ``enrich`` has proved before that
+    they cannot differ from the trips', and the write is held against it.
+    """
+    specs, strategies = _specs(joins), {}
+    watched = {j.prefix: F.count(F.col(f"{j.prefix}_{j.match_column}")).alias(j.prefix) for j in specs if j.match_column}
+    seen = Observation(f"quality_lake_integrated_{uuid.uuid4().hex[:12]}")
+    before = row_count(tables["taxi"])
+    write_table(build_integrated(tables, specs, tz, strategies=strategies).observe(seen, F.count(F.lit(1)).alias("rows"), *watched.values()),
+                target, fmt, "overwrite")
+    rows = seen.get["rows"]
+    if rows != before:
+        raise ContractError(f"{target}: {before} trips became {rows} rows")
+    share = 100.0 / rows if rows else 0.0
+    return {"rows": rows, **{p: {"matches": seen.get[p], "percent": share * seen.get[p], "join": strategies[p]} for p in watched}}

@@ -1,32 +1,32 @@
-"""Physical layouts of the cleaned trips and the queries compared across them.
+"""Physical layouts of the cleaned trips and the reports compared across them.
 
 A layout is a list of partition columns.  ``write_layout`` range-partitions rows
 on the partition columns and the pickup time before a Hive-style partitioned
 write, so each task writes a bounded number of directories and a busy month is
 split over many tasks; the month layout lets a query that filters on
 ``pickup_year``/``pickup_month`` prune whole directories.
+
+``compare_layouts`` is the whole comparison: prepare the trips once, profile
+them, write every layout, and hold row counts, reports and totals against each
+other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.enrich import broadcast_fits, row_count
-from ..operators.report import (
-    avg_duration_by_day,
-    avg_finite_by,
-    compare_results,
-    count_by,
-    profile,
-)
-from ..sources.tables import DEFAULT_FORMAT, read_table, write_table
-
-# Layout names -> partition columns, and the compared queries.
+from ..contract import ContractError
+from ..functions.values import finite_or_null, normalize_label
+from ..operators.enrich import row_count
+from ..operators.report import avg_duration_by_day, diff_results, profile
+from ..sources.tables import DEFAULT_FORMAT, read_table, stage, write_table
+
+# Layout names -> partition columns.
 LAYOUTS = {"unpartitioned": [], "pickup_month": ["pickup_year", "pickup_month"]}
-QUERIES = ("trips_per_borough", "average_duration_per_day", "average_fare_per_borough")
-QUERY_KEYS = {"trips_per_borough": ["borough"], "average_duration_per_day": ["pickup_day"],
-              "average_fare_per_borough": ["borough"]}
 
 
 def add_partition_columns(df: DataFrame, ts: str = "tpep_pickup_datetime",
@@ -35,63 +35,125 @@ def add_partition_columns(df: DataFrame, ts: str = "tpep_pickup_datetime",
               .withColumn(f"{prefix}_month", F.month(F.col(ts))))
 
 
-def write_layout(df: DataFrame, path: str, layout: str, write_partitions: int = 8,
-                 max_records_per_file: int = 100_000, fmt: str = DEFAULT_FORMAT,
-                 mode: str = "errorifexists", cluster_by=("tpep_pickup_datetime",)) -> None:
+def write_layout(df: DataFrame, path: str, layout: str, *, fmt: str = DEFAULT_FORMAT,
+                 mode: str = "errorifexists", cluster_by=("tpep_pickup_datetime",), **options) -> None:
     """Write one layout; rows are range-partitioned by (partition columns,
-    pickup time) so files are time-clustered and busy months use many tasks."""
+    pickup time) so files are time-clustered and busy months use many tasks.
+    The number of write tasks follows the session (see ``plans.sizing``)."""
     write_table(df, path, fmt, mode, partition_by=LAYOUTS[layout],
-                max_records_per_file=max_records_per_file, repartition=write_partitions,
-                cluster_by=[c for c in cluster_by if c in df.columns])
+                cluster_by=[c for c in cluster_by if c in df.columns], **options)
 
 
-def zone_boroughs(zones: DataFrame, key: str = "location_id", out_key: str = "pulocation_id") -> DataFrame:
+def zone_boroughs(zones: DataFrame, key: str = "location_id", out_key: str = "pulocation_id",
+                  label: str = "borough") -> DataFrame:
     """Zone id -> trimmed borough, keyed by the trips' pickup column name."""
-    return zones.select(F.col(key).alias(out_key), F.trim(F.col("borough")).alias("borough"))
+    return zones.select(F.col(key).alias(out_key), F.trim(F.col(label)).alias(label))
 
 
-def query_frame(taxi: DataFrame, zones: DataFrame, name: str, *,
-                start: str = "tpep_pickup_datetime", end: str = "tpep_dropoff_datetime",
-                fare: str = "fare_amount", key: str = "pulocation_id", label: str = "borough",
-                count_out: str = "trip_count", fare_out: str = "average_fare") -> DataFrame:
-    """One of the three layout queries over a trips frame and ``zone_boroughs``.
+@dataclass(frozen=True)
+class ReportColumns:
+    """The columns that the reports read and make; the defaults are the trips'."""
 
-    The borough side is a lookup table (one row per zone); after its size check
-    the join is a broadcast left join, so no trip row is shuffled for it.
-    """
-    if name == "average_duration_per_day":
-        return avg_duration_by_day(taxi, start, end)
-    if name not in QUERIES:
-        raise ValueError(f"Unknown query: {name}")
-    side = F.broadcast(zones) if broadcast_fits(zones) else zones
-    joined = taxi.join(side, key, "left")
-    if name == "trips_per_borough":
-        return count_by(joined, label, count_out)
-    return avg_finite_by(joined, label, fare, fare_out)
+    start: str = "tpep_pickup_datetime"
+    end: str = "tpep_dropoff_datetime"
+    fare: str = "fare_amount"
+    key: str = "pulocation_id"
+    label: str = "borough"
+    count: str = "trip_count"
+    mean: str = "average_fare"
 
 
-def reconcile_layouts(spark: SparkSession, paths: dict[str, str], zones: DataFrame,
-                      expected_rows: int | None = None, fmt: str = DEFAULT_FORMAT) -> dict:
-    """Check that every written layout holds the same rows and answers every
-    query the same (floats within tolerance); the borough counts must add up to
-    the row count.  Returns per-query differing-row counts (all zero when good).
-    """
-    tables = {name: read_table(spark, p, fmt) for name, p in paths.items()}
-    counts = {name: row_count(t) for name, t in tables.items()}
-    base = next(iter(tables))
-    if expected_rows is None:
-        expected_rows = counts[base]
-    report = {"rows": counts, "row_counts_match": all(c == expected_rows for c in counts.values())}
-    for q in QUERIES:
-        ref = query_frame(tables[base], zones, q)
-        diffs = {name: row_count(compare_results(ref, query_frame(t, zones, q), QUERY_KEYS[q])
-                                 .filter(~F.col("matches")))
-                 for name, t in tables.items() if name != base}
-        report[q] = diffs
-    total = query_frame(tables[base], zones, "trips_per_borough").agg(F.sum("trip_count")).first()[0]
-    report["borough_total_matches"] = total == expected_rows
-    return report
+def _by_label(facts: DataFrame, labels: DataFrame, c: ReportColumns, partial: dict) -> DataFrame:
+    """Sums of ``partial`` aggregates per label.  Facts are aggregated by their key
+    before they meet the labels: one row per key (null being one) joins, whatever
+    the number of facts, so neither a hot key nor the labels' size matters."""
+    per_key = facts.groupBy(F.col(c.key)).agg(*[a.alias(f"__{n}") for n, a in partial.items()])
+    named = per_key.join(labels, c.key, "left").withColumn(c.label, normalize_label(F.col(c.label)))
+    return named.groupBy(c.label).agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in partial])
+
+
+def _count_per_label(facts: DataFrame, labels: DataFrame, c: ReportColumns) -> DataFrame:
+    sums = _by_label(facts, labels, c, {"n": F.count(F.lit(1))})
+    return sums.select(c.label, F.col("__n").alias(c.count))
+
+
+def _mean_per_label(facts: DataFrame, labels: DataFrame, c: ReportColumns) -> DataFrame:
+    finite = finite_or_null(F.col(c.fare))
+    sums = _by_label(facts, labels, c, {"sum": F.sum(finite), "n": F.count(finite)})
+    return sums.select(c.label, F.when(F.col("__n") > 0, F.col("__sum") / F.col("__n")).alias(c.mean))
+
+
+def _duration_per_day(facts: DataFrame, labels: DataFrame, c: ReportColumns) -> DataFrame:
+    return avg_duration_by_day(facts, c.start, c.end)
+
+
+@dataclass(frozen=True)
+class LayoutReport:
+    build: Callable[[DataFrame, DataFrame, ReportColumns], DataFrame]
+    keys: tuple[str, ...]
+
+
+# The names of the compared reports and their keys.
+REPORTS = {
+    "trips_per_borough": LayoutReport(_count_per_label, ("borough",)),
+    "average_duration_per_day": LayoutReport(_duration_per_day, ("pickup_day",)),
+    "average_fare_per_borough": LayoutReport(_mean_per_label, ("borough",)),
+}
+
+
+def layout_report(name: str, facts: DataFrame, labels: DataFrame | None = None,
+                  columns: ReportColumns = ReportColumns()) -> DataFrame:
+    """A report of ``REPORTS`` over facts and, for those by label, key -> label."""
+    return REPORTS[name].build(facts, labels, columns)
 
 
 def layout_profile(df: DataFrame) -> DataFrame:
     return profile(df, "tpep_pickup_datetime", "tpep_dropoff_datetime", "fare_amount")
+
+
+def reconcile(tables: dict[str, DataFrame], labels: DataFrame, expected_rows: int | None = None, *,
+              columns: ReportColumns = ReportColumns(), reports=tuple(REPORTS)) -> dict:
+    """Holds tables that should have the same rows against the first of them.
+
+    Raises ``ContractError`` with all differences: in row counts, in any report
+    (floats within tolerance), or between the counts per label and the rows.
+    Returns the row counts and the number of keys compared per report.
+    """
+    counts = {name: row_count(t) for name, t in tables.items()}
+    first = next(iter(tables))
+    expected = counts[first] if expected_rows is None else expected_rows
+    found = [f"{name} has {n} rows, not {expected}" for name, n in counts.items() if n != expected]
+    compared = {}
+    for report in reports:
+        made = {name: stage(layout_report(report, t, labels, columns), f"report-{report}") for name, t in tables.items()}
+        keys = [columns.label if k == "borough" else k for k in REPORTS[report].keys]
+        compared[report] = row_count(made[first])
+        for name in made:
+            differing = row_count(diff_results(made[first], made[name], keys)) if name != first else 0
+            if differing:
+                found.append(f"{report}: {differing} keys of {name} differ from {first}")
+        if report == "trips_per_borough":
+            total = made[first].agg(F.coalesce(F.sum(columns.count), F.lit(0))).first()[0]
+            if total != expected:
+                found.append(f"{report}: {first} counts {total} rows of {expected}")
+    if found:
+        raise ContractError("Layouts differ: " + "; ".join(found))
+    return {"rows": counts, "keys": compared}
+
+
+def reconcile_layouts(spark: SparkSession, paths: dict[str, str], zones: DataFrame,
+                      expected_rows: int | None = None, fmt: str = DEFAULT_FORMAT) -> dict:
+    """``reconcile`` for written layouts."""
+    return reconcile({name: read_table(spark, p, fmt) for name, p in paths.items()}, zones, expected_rows)
+
+
+def compare_layouts(spark: SparkSession, trips: DataFrame, zones: DataFrame, root: str,
+                    fmt: str = DEFAULT_FORMAT, layouts=tuple(LAYOUTS)) -> dict:
+    """Prepare the trips once, profile them, write each layout under ``root`` and
+    reconcile; ``zones`` as ``zone_boroughs`` makes them.  Raises if layouts differ."""
+    prepared = stage(add_partition_columns(trips), "layout-source")
+    summary = layout_profile(prepared).first().asDict()
+    paths = {layout: f"{root}/{layout}" for layout in layouts}
+    for layout, path in paths.items():
+        write_layout(prepared, path, layout, fmt=fmt)
+    return {"profile": summary, "paths": paths, **reconcile_layouts(spark, paths, zones, summary["input_rows"], fmt)}

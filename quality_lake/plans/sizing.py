@@ -2,52 +2,48 @@
 
 AQE can merge small shuffle partitions but not split large ones (skew handling
 aside), so the *initial* partition count must grow with the data: e.g. a 100 TB
-dedup with 200 partitions would put ~500 GB in each.  ``size_shuffle`` sets it
-from the bytes on disk and a target partition size; AQE then coalesces.
+dedup with 200 partitions would put ~500 GB in each.  ``sized_shuffle`` sets it
+for the jobs inside its block, from the bytes on disk and a target partition
+size, and puts the session's own settings back behind it.
 """
 
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from ..sources.tables import file_stats
+from ..sources.tables import file_stats, files_under
 
-DEFAULT_TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-DEFAULT_EXPANSION = 3.0  # in-memory rows vs compressed columnar bytes
+DEFAULT_TARGET_PARTITION_BYTES = 1 << 30
+_CONFS = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
+          "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
 def shuffle_partitions_for(data_bytes: int, parallelism: int,
-                           target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES,
-                           expansion: float = DEFAULT_EXPANSION) -> int:
-    return max(int(parallelism), math.ceil(data_bytes * expansion / target_bytes))
+                           target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES) -> int:
+    return max(int(parallelism), math.ceil(data_bytes / target_bytes))
 
 
 def source_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes on disk of the files behind ``path`` (file, directory or name glob).
-
-    One listing job over Spark's ``binaryFile`` source: only the ``length``
-    column is read, so no file content is opened - unlike sizing a frame from
-    its ``_metadata``, which has to produce every row (a full pass over CSV).
-    """
-    r = (spark.read.format("binaryFile").load(path)
-         .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first())
-    return int(r["bytes"])
-
-
-def size_shuffle(spark: SparkSession, source: DataFrame | str,
-                 target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES,
-                 expansion: float = DEFAULT_EXPANSION) -> int:
-    """Set AQE's initial shuffle partitions for jobs over ``source``'s files:
-    a source path is sized by listing (``source_bytes``), a file-based frame
-    from its ``_metadata``."""
-    data_bytes = (source_bytes(spark, source) if isinstance(source, str)
-                  else file_stats(source).first()["data_bytes"])
-    n = shuffle_partitions_for(data_bytes, spark.sparkContext.defaultParallelism, target_bytes, expansion)
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_bytes)))
-    return n
+    """Bytes on disk of the files behind ``path`` (file, directory or name glob): one listing, no file is opened."""
+    return int(file_stats(files_under(spark, path)).first()["data_bytes"])
+
+
+@contextmanager
+def sized_shuffle(spark: SparkSession, path: str | None, target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES):
+    """Inside the block, AQE's initial shuffle partitions fit jobs over the files
+    behind ``path`` (None: nothing changes); yields their number."""
+    if path is None:
+        yield None
+        return
+    n = shuffle_partitions_for(source_bytes(spark, path), spark.sparkContext.defaultParallelism, target_bytes)
+    before = {k: spark.conf.get(k, None) for k in _CONFS}
+    try:
+        for k, v in zip(_CONFS, ("true", "true", str(n))):
+            spark.conf.set(k, v)
+        yield n
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -6,6 +6,7 @@ from .tables import (
     append_run_record,
     empty_frame,
     file_stats,
+    files_under,
     literal_frame,
     read_staged,
     read_table,
@@ -19,7 +20,7 @@ from .tables import (
 )
 
 __all__ = [
-    "RUN_RECORD_SCHEMA", "append_run_record", "empty_frame", "file_stats", "literal_frame",
+    "RUN_RECORD_SCHEMA", "append_run_record", "empty_frame", "file_stats", "files_under", "literal_frame",
     "read_csv_strict", "read_parquet", "read_source", "read_staged", "read_table", "release",
     "run_record", "run_record_frame", "scratch_path", "scratch_root", "stage", "write_table",
 ]

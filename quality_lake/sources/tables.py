@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_FORMAT = "parquet"
-DEFAULT_MAX_RECORDS_PER_FILE = 100_000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -51,30 +50,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str = "overwrite",
-                partition_by=(), max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE,
-                repartition: int | None = None, cluster_by=()) -> None:
+                partition_by=(), max_records_per_file: int | None = None,
+                repartition: int | None = None, cluster_by=(), options: dict | None = None) -> None:
     """Write a directory table.
 
-    ``repartition`` (if given) sets the number of write tasks.  With
-    ``cluster_by`` columns the rows are range-partitioned on the partition
+    With ``cluster_by`` columns the rows are range-partitioned on the partition
     columns followed by those columns: every task then writes one or two
     partition directories, and a partition value - or a single cluster value -
     holding a large share of the rows is still split over many tasks (a hash on
-    the partition columns alone would send it to one).  Without ``cluster_by``
-    rows are spread round-robin.
+    the partition columns alone would send it to one).  The number of write tasks
+    is the session's shuffle partition count, which ``plans.sizing`` derives from
+    the input's bytes, unless ``repartition`` sets it; without ``cluster_by``,
+    ``repartition`` spreads rows round-robin.  ``max_records_per_file`` is off
+    unless given.
     Overwrite also replaces the schema (``overwriteSchema`` for Delta).
     """
     partition_by, cluster_by = list(partition_by or ()), list(cluster_by or ())
-    if repartition:
+    if repartition or cluster_by:
         if cluster_by:
             # Deterministic tie-breakers: a row hash, then the input partition,
             # so even rows sharing one exact cluster value (or exact copies) can
             # be cut into several ranges - a tie group is at most one input split.
             ties = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.spark_partition_id()]
-            df = df.repartitionByRange(repartition, *partition_by, *cluster_by, *ties)
+            order = [*partition_by, *cluster_by, *ties]
+            df = df.repartitionByRange(repartition, *order) if repartition else df.repartitionByRange(*order)
         else:
             df = df.repartition(repartition)
-    writer = df.write.format(fmt).mode(mode)
+    writer = df.write.format(fmt).mode(mode).options(**(options or {}))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if mode == "overwrite" and fmt == "delta":
@@ -94,7 +96,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     reads can prune to the columns they need."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    write_table(df, path, "parquet", "errorifexists", max_records_per_file=None)
+    write_table(df, path, "parquet", "errorifexists")
     return read_staged(spark, path, df.schema)
 
 
@@ -119,12 +121,20 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def file_stats(df: DataFrame) -> DataFrame:
-    """Data files and bytes behind a file-based frame (one row)."""
-    files = df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size")).distinct()
-    return files.agg(F.count(F.lit(1)).cast("long").alias("data_files"),
-                     F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("data_bytes"))
+def files_under(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """``(file_path, file_size)`` of the Parquet, CSV, ... files under a path.  Spark
+    lists them (its ``binaryFile`` source, of which only path and length are read);
+    no file is opened, so files without rows count too."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+             .select(F.col("path").alias("file_path"), F.col("length").alias("file_size")))
+    name = F.regexp_extract("file_path", r"([^/]*)$", 1)
+    return found.filter(~name.startswith("_") & ~name.startswith("."))
+
+
+def file_stats(files: DataFrame, by=()) -> DataFrame:
+    """Data files and bytes of ``files_under``, in all or by expressions over ``file_path``."""
+    return files.groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias("data_files"),
+                                  F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("data_bytes"))
 
 
 # The run-record schema, all fields required.
@@ -168,4 +178,4 @@ def run_record_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
 
 
 def append_run_record(spark: SparkSession, record: dict, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    write_table(run_record_frame(spark, [record]), path, fmt, "append", max_records_per_file=None)
+    write_table(run_record_frame(spark, [record]), path, fmt, "append")

@@ -30,7 +30,7 @@ def test_integer_text_reads_integral_part(session_modes):
 
 def test_fraction_edge_cases(session_modes):
     spark = session_modes
-    values = ["-.5", "+.5", "5.", "1.5e2", "1.5E2", "1..5", "1.5.5", "\t3.7\t", "1 .5", ".",
+    values = ["1." + "9" * 60, "-.5", "+.5", "5.", "1.5e2", "1.5E2", "1..5", "1.5.5", "\t3.7\t", "1 .5", ".",
               "\u0661.\u0665", "2147483647.9", "2147483648.1", "-2147483648.9", "00012.50", "1.5x"]
     df = text_frame(spark, [(str(i), v) for i, v in enumerate(values)], ["id", "n"])
     c = Contract.from_dict({"table_name": "t", "format": "csv",
@@ -38,7 +38,7 @@ def test_fraction_edge_cases(session_modes):
     got = {r.id: r.n for r in conform(df, c).collect()}
     # kept: signs, trailing dot, whitespace around, int bounds, leading zeros;
     # rejected: exponents, stray dots, inner spaces, non-ASCII digits, overflow, junk
-    assert got == {0: 0, 1: 0, 2: 5, 7: 3, 11: 2147483647, 13: -2147483648, 14: 12}
+    assert got == {0: 1, 1: 0, 2: 0, 3: 5, 8: 3, 12: 2147483647, 14: -2147483648, 15: 12}
 
 def test_blank_to_null_does_not_trim_values(spark):
     df = text_frame(spark, [("1", " a "), ("2", "   "), ("3", ""), ("4", "\t")], ["id", "s"])
@@ -52,7 +52,7 @@ def test_closed_schema(spark):
     df = text_frame(spark, [("1", "2")], ["a", "extra"])
     c = Contract.from_dict({"table_name": "t", "format": "csv",
                             "columns": [{"name": "a", "type": "int"}, {"name": "b", "type": "int"}]})
-    with pytest.raises(ContractError, match=r"missing=\['b'\], unexpected=\['extra'\]"):
+    with pytest.raises(ContractError, match=r"-b \+extra"):
         conform(df, c)
 
 
@@ -103,7 +103,7 @@ def test_repeated_csv_header_is_named(spark, tmp_dir):
         h.write("a,b,b\n1,2,3\n")
     c = Contract.from_dict({"table_name": "t", "format": "csv",
                             "columns": [{"name": n, "type": "int"} for n in ("a", "b")]})
-    with pytest.raises(ContractError, match="repeated header"):
+    with pytest.raises(ContractError, match="repeated headers"):
         conform(read_source(spark, path, c), c)
 
 

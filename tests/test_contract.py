@@ -58,6 +58,12 @@ def test_key_spec():
         check_key_spec(["z"], ["a"])
 
 
+@pytest.mark.parametrize("bad", [[], None, "a", ["a", "a"], [1]])
+def test_a_contract_with_a_bad_primary_key_does_not_load(bad):
+    with pytest.raises(ContractError, match="primary_key"):
+        _contract(["a", "b"], primary_key=bad)
+
+
 def test_bundled_contracts_load():
     taxi = bundled_contract("taxi_trips")
     assert taxi.format == "parquet" and len(taxi.columns) == 19

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from quality_lake import ContractError, bundled_contract
+from quality_lake import Contract, ContractError, bundled_contract
 from quality_lake.plans import (
     LAYOUTS,
     add_partition_columns,
@@ -12,6 +12,8 @@ from quality_lake.plans import (
     clean,
     ingest,
     integrate,
+    compare_layouts,
+    reconcile,
     reconcile_layouts,
     write_layout,
     zone_boroughs,
@@ -104,21 +106,42 @@ def test_layouts_reconcile_and_prune(spark, built):
     paths = {}
     for layout in LAYOUTS:
         paths[layout] = f"{built['root']}/layouts/{layout}"
-        write_layout(trips, paths[layout], layout, write_partitions=2)
-    rep = reconcile_layouts(spark, paths, zone_boroughs(built["cleaned"]["zones"]), expected_rows=8)
-    assert rep["row_counts_match"] and rep["borough_total_matches"]
-    assert all(v == 0 for q in ("trips_per_borough", "average_duration_per_day",
-                                "average_fare_per_borough") for v in rep[q].values())
+        write_layout(trips, paths[layout], layout)
+    zones = zone_boroughs(built["cleaned"]["zones"])
+    rep = reconcile_layouts(spark, paths, zones, expected_rows=8)
+    assert rep["rows"] == {name: 8 for name in LAYOUTS} and all(rep["keys"].values())
+    with pytest.raises(ContractError, match="has 8 rows, not 9"):
+        reconcile_layouts(spark, paths, zones, expected_rows=9)
+    tables = {"a": trips, "b": trips.withColumn("fare_amount", F.col("fare_amount") + 0.01)}
+    with pytest.raises(ContractError, match="average_fare_per_borough"):
+        reconcile(tables, zones)
     monthly = spark.read.parquet(paths["pickup_month"]).filter("pickup_year = 2024 AND pickup_month = 1")
     assert "PartitionFilters: [isnotnull(pickup_year" in plan_text(monthly)
     assert monthly.count() == 6
     assert "pickup_year=2024" in os.listdir(paths["pickup_month"])
 
 
+def test_compare_layouts_end_to_end(spark, built, tmp_dir):
+    got = compare_layouts(spark, built["cleaned"]["taxi"], zone_boroughs(built["cleaned"]["zones"]), f"{tmp_dir}/layouts")
+    assert got["profile"]["input_rows"] == 8 and set(got["paths"]) == set(LAYOUTS)
+    assert got["rows"] == {name: 8 for name in LAYOUTS}
+
+
+def test_a_contract_without_key_is_not_ingested_by_accident(spark, tmp_dir):
+    raw = {**bundled_contract("weather").raw}
+    raw.pop("primary_key")
+    c = Contract.from_dict(raw)
+    source = write_weather(f"{tmp_dir}/w.csv")
+    with pytest.raises(ContractError, match="primary_key"):
+        ingest(spark, source, c, f"{tmp_dir}/t")
+    assert not os.path.exists(f"{tmp_dir}/t")
+    assert ingest(spark, source, c, f"{tmp_dir}/t", validate_key=False).key_stats == {}
+
+
 def test_key_violation_fails_before_write(spark, tmp_dir):
     c = bundled_contract("weather")
     target = f"{tmp_dir}/weather"
-    with pytest.raises(ContractError, match="Primary key validation failed"):
+    with pytest.raises(ContractError, match="does not identify rows"):
         ingest(spark, write_weather(f"{tmp_dir}/w.csv", conflict=True), c, target)
     assert not os.path.exists(target)
 
@@ -134,17 +157,11 @@ def test_staged_copy_released_after_publish(spark, tmp_dir):
 
 def test_ingest_sizes_shuffle_from_the_source_files(spark, tmp_dir):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    old = spark.conf.get(key, None)
-    try:
-        res = ingest(spark, write_weather(f"{tmp_dir}/w.csv"), bundled_contract("weather"),
-                     f"{tmp_dir}/t", size_shuffle_partitions=True)
-        assert spark.conf.get(key) == str(spark.sparkContext.defaultParallelism)
-        assert res.record["processed_records"] == 6
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    before = spark.conf.get(key, None)
+    res = ingest(spark, write_weather(f"{tmp_dir}/w.csv"), bundled_contract("weather"), f"{tmp_dir}/t")
+    assert res.record["processed_records"] == 6
+    assert spark.conf.get(key, None) == before  # the session belongs to the caller
+
 
 def test_null_key_parts_fail(spark, tmp_dir):
     with pytest.raises(ContractError):
@@ -171,7 +188,7 @@ def test_source_errors(spark, tmp_dir):
         clean(spark, f"{tmp_dir}/bad.csv", zones).collect()
     with open(f"{tmp_dir}/extra.csv", "w") as h:
         h.write('LocationID,Borough,Zone,service_zone,more\n1,Queens,A,B,C\n')
-    with pytest.raises(ContractError, match="unexpected"):
+    with pytest.raises(ContractError, match=r"not in it"):
         clean(spark, f"{tmp_dir}/extra.csv", zones)
     # a whole dataset with its columns in another order is fine
     with open(f"{tmp_dir}/reordered.csv", "w") as h:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quality_lake.sources import (
     append_run_record,
     file_stats,
+    files_under,
     read_table,
     run_record,
     scratch_root,
@@ -33,7 +34,7 @@ def test_hot_partition_value_is_split_over_tasks(spark, tmp_dir):
     assert len(_files(f"{path}/y=2024/m=1")) >= 3
     back = read_table(spark, path)
     assert back.count() == 2000
-    stats = file_stats(back).first()
+    stats = file_stats(files_under(spark, path)).first()
     assert os.listdir(f"{path}/y=2024") == ["m=1"]
     assert stats.data_files == len(_files(f"{path}/y=2024/m=1"))
     assert stats.data_bytes > 0
@@ -71,24 +72,24 @@ def test_run_records_append_and_stage(spark, tmp_dir):
 
 
 def test_shuffle_sizing(spark, tmp_dir):
-    from quality_lake.plans.sizing import shuffle_partitions_for, size_shuffle, source_bytes
-    assert shuffle_partitions_for(100 * 2**40, 8000) == 1_228_800  # 100 TiB -> ~256 MiB partitions
+    from quality_lake.plans.sizing import shuffle_partitions_for, sized_shuffle, source_bytes
+    assert shuffle_partitions_for(100 * 2**40, 8000) == 102_400  # 100 TiB -> 1 GiB partitions
     assert shuffle_partitions_for(10, 8) == 8
     spark.range(1000).write.parquet(f"{tmp_dir}/s")
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    try:
-        n = size_shuffle(spark, spark.read.parquet(f"{tmp_dir}/s"))
-        assert n == spark.sparkContext.defaultParallelism
-        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
-        # a source path is sized by listing its files, without reading them
-        assert source_bytes(spark, f"{tmp_dir}/s") == \
-            file_stats(spark.read.parquet(f"{tmp_dir}/s")).first()["data_bytes"] > 0
-        assert size_shuffle(spark, f"{tmp_dir}/s") == n
-    finally:
-        if old is None:
-            spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-        else:
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", old)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    with pytest.raises(ZeroDivisionError), sized_shuffle(spark, f"{tmp_dir}/s", target_bytes=100) as n:
+        assert n == -(-source_bytes(spark, f"{tmp_dir}/s") // 100) and spark.conf.get(key) == str(n)
+        1 / 0
+    assert spark.conf.get(key, None) == before
+    with sized_shuffle(spark, None) as n:
+        assert n is None
+
+
+def test_file_stats_count_files_without_rows(spark, tmp_dir):
+    spark.range(0).write.parquet(f"{tmp_dir}/none")
+    stats = file_stats(files_under(spark, f"{tmp_dir}/none")).first()
+    assert stats.data_files == 1 and stats.data_bytes > 0
 
 
 def test_cluster_session_without_checkpoint_dir_is_refused():
