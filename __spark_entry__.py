@@ -47,17 +47,22 @@ from quality_lake.operators import (  # noqa: E402
     timestamp_from_parts,
     timestamps_from_pairs,
 )
-from quality_lake.operators.report import compare_results  # noqa: E402
+from quality_lake.operators.report import compare_results, count_by, sorted_result  # noqa: E402
 from quality_lake.plans import (  # noqa: E402
     add_partition_columns,
+    ReportColumns,
     clean_frame,
     ingest,
-    query_frame,
+    layout_report,
+    reconcile,
     stage_rows,
+    zone_boroughs,
 )
 from quality_lake.sources import (  # noqa: E402
     file_stats,
+    files_under,
     literal_frame,
+    read_source,
     read_table,
     scratch_path,
     stage,
@@ -427,9 +432,12 @@ def _nation_labels(spark, d):
     return named.select(F.col("c_custkey").alias("o_custkey"), F.trim(label).alias("nation"))
 
 
+ORDER_REPORT = ReportColumns(start="o_orderdate", end="o_orderdate", fare="o_totalprice", key="o_custkey",
+                             label="nation", count="order_count", mean="average_price")
+
+
 def q_count_per_group(spark, d):
-    return query_frame(_t(spark, d, "orders"), _nation_labels(spark, d), "trips_per_borough",
-                       key="o_custkey", label="nation", count_out="order_count")
+    return layout_report("trips_per_borough", _t(spark, d, "orders"), _nation_labels(spark, d), ORDER_REPORT)
 
 
 def q_avg_finite_per_group(spark, d):
@@ -437,8 +445,7 @@ def q_avg_finite_per_group(spark, d):
         "o_totalprice", F.when(_k("o_orderkey", 7), F.lit(NAN)).when(_k("o_orderkey", 11), F.lit(INF))
         .when(_k("o_orderkey", 13), F.lit(-INF)).when(_k("o_orderkey", 17), F.lit(None))
         .otherwise(F.col("o_totalprice")))
-    r = query_frame(o, _nation_labels(spark, d), "average_fare_per_borough", key="o_custkey",
-                    label="nation", fare="o_totalprice", fare_out="average_price")
+    r = layout_report("average_fare_per_borough", o, _nation_labels(spark, d), ORDER_REPORT)
     return r.withColumn("average_price", F.round("average_price", 6))
 
 
@@ -460,35 +467,92 @@ def _orders_layout(spark, d, layout):
     o = add_partition_columns(_t(spark, d, "orders"), "o_orderdate", "order")
     path = scratch_path(spark, f"orders-{layout}")
     layouts = {"unpartitioned": [], "order_month": ["order_year", "order_month"]}
-    write_table(o, path, "parquet", "errorifexists", partition_by=layouts[layout],
-                max_records_per_file=5000, repartition=4, cluster_by=["o_orderdate"])
-    return read_table(spark, path)
+    write_table(o, path, "parquet", "errorifexists", partition_by=layouts[layout], cluster_by=["o_orderdate"])
+    return path
 
 
 def q_layout_month_counts(spark, d):
-    t = _orders_layout(spark, d, "order_month")
+    t = read_table(spark, _orders_layout(spark, d, "order_month"))
     return t.groupBy("order_year", "order_month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def q_layout_month_filter(spark, d):
-    t = _orders_layout(spark, d, "order_month")
+    t = read_table(spark, _orders_layout(spark, d, "order_month"))
     return (t.filter((F.col("order_year") == 1995) & (F.col("order_month") == 6))
             .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
 
 
 def q_file_stats(spark, d):
-    return file_stats(_orders_layout(spark, d, "order_month"))
+    # one row per month directory, from a listing
+    files = files_under(spark, _orders_layout(spark, d, "order_month"))
+    part = lambda name: F.regexp_extract("file_path", rf"/{name}=(\d+)/", 1).cast("int").alias(name)
+    return file_stats(files, [part("order_year"), part("order_month")]).select(
+        "order_year", "order_month", (F.col("data_files") > 0).alias("has_files"), (F.col("data_bytes") > 0).alias("has_bytes"))
 
 
 def q_result_diff(spark, d):
     labels = _nation_labels(spark, d)
-    flat = _orders_layout(spark, d, "unpartitioned")
-    monthly = _orders_layout(spark, d, "order_month")
-    a = query_frame(flat, labels, "trips_per_borough", key="o_custkey", label="nation", count_out="order_count")
-    b = query_frame(monthly, labels, "trips_per_borough", key="o_custkey", label="nation", count_out="order_count")
+    a, b = (layout_report("trips_per_borough", read_table(spark, _orders_layout(spark, d, layout)), labels, ORDER_REPORT)
+            for layout in ("unpartitioned", "order_month"))
     return compare_results(a, b, ["nation"])
 
 
+def q_result_diff_float(spark, d):
+    # the sides really differ: within and beyond the tolerance, NaN, infinities, nulls, missing and repeated keys
+    p = _t(spark, d, "part").select("p_partkey", "p_retailprice")
+    price = F.col("p_retailprice")
+    left = p.filter(~_k("p_partkey", 29)).withColumn("p_retailprice", F.when(_k("p_partkey", 11), F.lit(NAN)).when(_k("p_partkey", 13), F.lit(INF))
+                                                     .when(_k("p_partkey", 17), F.lit(None)).otherwise(price))
+    right = p.withColumn("p_retailprice", F.when(_k("p_partkey", 22), F.lit(NAN)).when(_k("p_partkey", 26), F.lit(-INF)).when(_k("p_partkey", 13), F.lit(INF))
+                         .when(_k("p_partkey", 34), F.lit(None)).when(_k("p_partkey", 7), price + 1e-8).when(_k("p_partkey", 5), price + 0.01).otherwise(price))
+    right = right.unionByName(right.filter(_k("p_partkey", 31)))
+    return compare_results(left, right, ["p_partkey"]).select("p_partkey", "matches")
+
+
+def q_layout_reconcile(spark, d):
+    # raises if the layouts differ
+    tables = {layout: read_table(spark, _orders_layout(spark, d, layout)) for layout in ("unpartitioned", "order_month")}
+    got = reconcile(tables, _nation_labels(spark, d), columns=ORDER_REPORT, reports=("trips_per_borough", "average_fare_per_borough"))
+    return literal_frame(spark, [(k, n) for k, n in got["rows"].items()],
+                         T.StructType([T.StructField("layout", T.StringType()), T.StructField("row_count", T.LongType())]))
+
+
+def q_context_join_shuffle(spark, d):
+    o = _t(spark, d, "orders").withColumn("o_custkey", F.when(_k("o_orderkey", 3), F.lit(None)).otherwise(F.col("o_custkey")))
+    return join_context(o.select("o_orderkey", "o_custkey"), _t(spark, d, "customer"), {"o_custkey": "c_custkey"},
+                        ["c_name", "c_nationkey"], "buyer", broadcast=False, marker=True)
+
+
+def q_count_per_group_shuffle(spark, d):
+    joined = join_context(_t(spark, d, "orders").select("o_orderkey", F.when(_k("o_orderkey", 3), F.lit(None)).otherwise(F.col("o_custkey")).alias("o_custkey")),
+                          _nation_labels(spark, d), {"o_custkey": "o_custkey"}, ["nation"], "of", broadcast=False)
+    return count_by(joined, "of_nation", "order_count").withColumnRenamed("of_nation", "nation")
+
+
+def q_csv_round_trip(spark, d):
+    path = scratch_path(spark, "customer-csv")
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    write_table(c, path, "csv", "errorifexists", options={"header": "true"})
+    return conform(read_source(spark, path, CUSTOMER_TEXT_CONTRACT), CUSTOMER_TEXT_CONTRACT)
+
+
+def q_zone_boroughs(spark, d):
+    n = _t(spark, d, "nation").withColumn("n_name", F.concat(F.lit("  "), "n_name", F.lit(" ")))
+    return zone_boroughs(n, key="n_nationkey", out_key="zone", label="n_name")
+
+
+def q_sorted_result(spark, d):
+    return sorted_result(_t(spark, d, "nation").select("n_nationkey", "n_name"))
+
+
+def q_local_hour_dst(spark, d):
+    # the events' times moved around both changes of 2024: the lost hour of 10 March, the doubled one of 3 November
+    e = _t(spark, d, "events")
+    at = F.when(_k("event_id", 2), F.lit("2024-03-10 06:30:00")).otherwise(F.lit("2024-11-03 04:30:00")).cast("timestamp_ntz")
+    moved = e.select("event_id", (at + F.make_dt_interval(mins=(F.col("event_id") % 240).cast("int"))).alias("ts"))
+    return moved.select("event_id", hour_bucket(F.col("ts")).alias("hour"), local_hour_bucket(F.col("ts"), "America/New_York").alias("local_hour"))
+
+
 def _orders_faults(spark, d):
     o = _t(spark, d, "orders")
     o = o.unionByName(o.filter(_k("o_orderkey", 10)))
@@ -570,6 +634,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layout_month_filter": q_layout_month_filter,
     "file_stats": q_file_stats,
     "result_diff": q_result_diff,
+    "result_diff_float": q_result_diff_float,
+    "layout_reconcile": q_layout_reconcile,
+    "context_join_shuffle": q_context_join_shuffle,
+    "count_per_group_shuffle": q_count_per_group_shuffle,
+    "csv_round_trip": q_csv_round_trip,
+    "zone_boroughs": q_zone_boroughs,
+    "sorted_result": q_sorted_result,
+    "local_hour_dst": q_local_hour_dst,
     "ingest_orders": q_ingest_orders,
     "stage_counts": q_stage_counts,
     "run_records": q_run_records,
@@ -857,6 +929,51 @@ WITH r AS (
   SELECT {_LABEL} AS nation, count(*) AS order_count
   FROM orders o LEFT JOIN ({_NATION_LABELS}) l USING (o_custkey) GROUP BY 1)
 SELECT nation, order_count AS left_order_count, order_count AS right_order_count, TRUE AS matches FROM r""",
+    "result_diff_float": """
+WITH v AS (
+  SELECT p_partkey AS k, p_retailprice AS p FROM part),
+s AS (
+  SELECT k,
+    CASE WHEN k % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 13 = 0 THEN CAST('inf' AS DOUBLE) WHEN k % 17 = 0 THEN NULL ELSE p END AS l,
+    CASE WHEN k % 22 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 26 = 0 THEN CAST('-inf' AS DOUBLE) WHEN k % 13 = 0 THEN CAST('inf' AS DOUBLE)
+         WHEN k % 34 = 0 THEN NULL WHEN k % 7 = 0 THEN p + 1e-8 WHEN k % 5 = 0 THEN p + 0.01 ELSE p END AS r
+  FROM v)
+SELECT k AS p_partkey, CASE WHEN k % 29 = 0 OR k % 31 = 0 THEN FALSE
+    WHEN l IS NULL OR r IS NULL THEN l IS NULL AND r IS NULL
+    WHEN isnan(l) OR isnan(r) THEN FALSE
+    WHEN isinf(l) OR isinf(r) THEN l = r
+    ELSE abs(l - r) <= greatest(1e-9 * greatest(abs(l), abs(r)), 1e-7) END AS matches
+FROM s""",
+    "layout_reconcile": """
+SELECT 'unpartitioned' AS layout, count(*) AS row_count FROM orders
+UNION ALL SELECT 'order_month', count(*) FROM orders""",
+    "file_stats": """
+SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(month(o_orderdate) AS INTEGER) AS order_month,
+  TRUE AS has_files, TRUE AS has_bytes
+FROM orders""",
+    "context_join_shuffle": """
+SELECT o.o_orderkey, o.o_custkey, c.c_name AS buyer_c_name, c.c_nationkey AS buyer_c_nationkey, c.c_custkey IS NOT NULL AS buyer_matched
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders) o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
+    "count_per_group_shuffle": f"""
+SELECT {_LABEL} AS nation, count(*) AS order_count
+FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders) o
+LEFT JOIN ({_NATION_LABELS}) l USING (o_custkey)
+GROUP BY 1""",
+    "csv_round_trip": """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+    "zone_boroughs": """
+SELECT n_nationkey AS zone, trim(n_name) AS n_name FROM nation""",
+    "sorted_result": """
+SELECT n_nationkey, n_name FROM nation""",
+    "local_hour_dst": """
+WITH m AS (
+  SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-10 06:30:00' ELSE TIMESTAMP '2024-11-03 04:30:00' END
+    + to_minutes(CAST(event_id % 240 AS INTEGER)) AS ts FROM events)
+SELECT event_id, date_trunc('hour', ts) AS hour,
+  date_trunc('hour', ts - CASE WHEN ts >= TIMESTAMP '2024-03-10 07:00:00' AND ts < TIMESTAMP '2024-11-03 06:00:00'
+                               THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END) AS local_hour
+FROM m""",
     "stage_counts": f"""
 WITH f AS ({_ORDERS_FAULTS}),
 r AS (SELECT * FROM f WHERE o_orderdate IS NOT NULL AND NOT COALESCE(isnan(o_totalprice) OR isinf(o_totalprice), FALSE))
