@@ -133,6 +133,7 @@ class Contract:
     generated_key: GeneratedKey | None = None
     transforms: tuple[str, ...] = ()
     rules: tuple[dict, ...] = ()
+    timezone: str = "UTC"          # whose wall clock zoned source times are read as
     raw: dict = field(default_factory=dict, compare=False, repr=False)
 
     @classmethod
@@ -153,6 +154,7 @@ class Contract:
             generated_key=GeneratedKey(gk["name"], tuple(gk["columns"])) if gk else None,
             transforms=tuple(d.get("extra_functions", d.get("transforms", ()))),
             rules=tuple(d.get("quality_rules", d.get("rules", ()))),
+            timezone=d.get("timezone", "UTC"),
             raw=d,
         )
 

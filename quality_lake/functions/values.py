@@ -62,14 +62,24 @@ def is_missing(c: Column, data_type: T.DataType) -> Column:
 _TRIMMED = "".join(map(chr, range(0x21)))
 
 
-def cast_value(c: Column, source_type: T.DataType, target: T.DataType) -> Column:
+def wall_clock(c: Column, zone: str) -> Column:
+    """An instant as the zone-less time that clocks in ``zone`` showed, whatever the session's zone."""
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=(F.unix_micros(c) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+    return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def cast_value(c: Column, source_type: T.DataType, target: T.DataType, zone: str = "UTC") -> Column:
     """Convert to ``target``; a value that cannot be converted becomes null.
 
     No-op when the source already has the target type.  Integer targets read
-    decimal text by its integral part.
+    decimal text by its integral part.  Zoned times are read as the wall clock of
+    ``zone``, never of the session.
     """
     if source_type == target:
         return c
+    if isinstance(source_type, T.TimestampType):
+        return wall_clock(c, zone).try_cast(target)
     if isinstance(source_type, T.StringType) and isinstance(target, _INTEGRAL):
         # Plain text converts directly; only text with a '.' that failed is cut.
         # No regex: the expression stays small and cheap.

@@ -49,7 +49,7 @@ def _conversions(df: DataFrame, contract: Contract) -> tuple[list[tuple[str, Col
         if source_type == target:
             converted.append((spec.name, blank_to_null(raw, source_type)))
             continue
-        cast = cast_value(raw, source_type, target)
+        cast = cast_value(raw, source_type, target, contract.timezone)
         converted.append((spec.name, cast))
         present = (F.coalesce(~blank_text(raw), F.lit(False))
                    if isinstance(source_type, T.StringType) else raw.isNotNull())

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..contract import ContractError
 from ..functions.timeops import local_hour_bucket
+from ..sources.tables import stage
 from .keys import assert_unique_context_key
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -238,12 +239,12 @@ def match_rates(df: DataFrame, match_columns: dict[str, str]) -> DataFrame:
 def restrict_to(df: DataFrame, context: DataFrame, keys, *,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Left semi join: keep rows whose key occurs in ``context`` (its key columns
+    """Left semi join: keep rows whose key occurs in ``context`` (its distinct keys
     are broadcast when they pass the size check).  Rows with a null key are dropped."""
     mapping = _key_map(keys)
     tmp = {lk: f"__semi_key{i}" for i, lk in enumerate(mapping)}
-    keyed = context.select(*[_c(rk).alias(tmp[lk]) for lk, rk in mapping.items()])
-    # a semi join needs no distinct keys; the size is that of the key columns as they are
+    # written down, so that measuring and joining do not each make the distinct keys
+    keyed = stage(context.select(*[_c(rk).alias(tmp[lk]) for lk, rk in mapping.items()]).distinct(), "semi-keys")
     if broadcast_fits(keyed, max_broadcast_rows, max_broadcast_bytes):
         keyed = F.broadcast(keyed)
     cond = reduce(lambda a, b: a & b, [_c(lk) == F.col(tmp[lk]) for lk in mapping])

@@ -122,3 +122,12 @@ def test_cast_reject_pass_is_compact(spark, tmp_dir):
     assert "Exchange" not in plan and "regexp" not in plan.lower()
     assert out.count() == 50
     assert [r.c3 for r in out.orderBy("c1").limit(3).collect()] == [0, 3, 6]  # "3.5" -> 3, "6.5" -> 6
+
+
+def test_zoned_sources_do_not_depend_on_the_session_zone(session_modes):
+    import datetime as dt
+    spark = session_modes
+    df = spark.range(1).select(F.timestamp_micros(F.lit(1_704_085_200_123_456)).alias("t"))  # 2024-01-01 05:00:00.123456 UTC
+    for zone, want in ((None, dt.datetime(2024, 1, 1, 5, 0, 0, 123456)), ("America/New_York", dt.datetime(2024, 1, 1, 0, 0, 0, 123456))):
+        c = Contract.from_dict({"table_name": "t", "format": "parquet", "columns": [{"name": "t", "type": "timestamp"}], **({"timezone": zone} if zone else {})})
+        assert conform(df, c).first().t == want
