@@ -34,6 +34,8 @@ SAMPLE = 3000
 FEATURES = 1024
 #: A feature's least likelihood ratio: about one chance in 10**7 per bucket.
 SIGNIFICANT = 28.0
+#: ... how many sampled texts must have it
+LEAST_TEXTS = 4
 #: ... and its least share of the best feature's ratio, against words that a few toxic texts happen to have.
 LEAST_SHARE = 0.02
 RIDGE = 0.3
@@ -122,14 +124,18 @@ def fit(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0),
         for y in (0, 1):
             counts[y] += np.bincount(buckets[kinds == y], minlength=size).astype(np.int32)
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
-    p, q = (counts[1] + 1.0) / (n1 + 2.0), (counts[0] + 1.0) / (n0 + 2.0)
-    ratio = np.log(p / q)
-    score = _likelihood_ratio(counts[1], n1, counts[0], n0)
+    # the buckets that enough texts have, and only those from here on
+    some = np.flatnonzero(counts[0] + counts[1] >= LEAST_TEXTS)
+    k1, k0 = counts[1][some].astype(np.float64), counts[0][some].astype(np.float64)
+    del counts
+    score = _likelihood_ratio(k1, n1, k0, n0)
     chosen = np.argsort(-score, kind="stable")[:features]
-    chosen = chosen[score[chosen] >= max(SIGNIFICANT, LEAST_SHARE * score.max())]
+    chosen = chosen[score[chosen] >= max(SIGNIFICANT, LEAST_SHARE * score.max(initial=0.0))]
+    ratio = np.log((k1[chosen] + 1) / (n1 + 2)) - np.log((k0[chosen] + 1) / (n0 + 2))
+    chosen = some[chosen]
     feature[chosen] = np.arange(len(chosen))
     seen = np.concatenate([_presence(t, feature, len(chosen)) for _, t in step_texts([t for t, _ in rows])])
-    x = np.hstack([seen * ratio[chosen], np.ones((len(rows), 1))])
+    x = np.hstack([seen * ratio, np.ones((len(rows), 1))])
     share = np.where(labels == 1, weights[1], weights[0])
     # a feature that would pull against its own ratio only makes up for another one: without it
     used = np.ones(len(chosen) + 1, bool)
@@ -141,7 +147,7 @@ def fit(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0),
             break
         used &= ~against
     # between its own coefficient and the mean of all, so that each of a word's many n-grams pulls; then to scale
-    own = np.where(used[:-1], OWN * w[:-1] + (1 - OWN) * w[:-1].sum() / max(1, used[:-1].sum()), 0) * ratio[chosen]
+    own = np.where(used[:-1], OWN * w[:-1] + (1 - OWN) * w[:-1].sum() / max(1, used[:-1].sum()), 0) * ratio
     scale, bias = _logistic(np.column_stack([seen @ own, np.ones(len(rows))]), labels, share, 1e-3)
     return Model(feature, scale * own, float(bias))
 
