@@ -231,14 +231,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK, sh
     if not rows:
         rows = [(0, None, 0, 0.0, 0, 0)]
     slots = draw(docs.sparkSession, rows, seed, shard)
-    return Mix(slots.join(pieces(places(sized, rows), block), ["rank", "block"]), sized, rows)
+    # slots and blocks grow with the corpus, which Spark's estimate of a mapped table does not show: never broadcast
+    return Mix(slots.hint("merge").join(pieces(places(sized, rows), block), ["rank", "block"]), sized, rows)
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, size, source, source_size, target, taken)`` of every row."""
     made = mix(docs, **options)
     spark = docs.sparkSession
-    words = made.manifest.groupBy(ROW).agg(F.sum("words").alias("taken"))
+    words = made.manifest.groupBy(ROW).agg(F.sum("words").alias("taken")).hint("merge")
     sources = F.broadcast(spark.createDataFrame(made.plan, PLAN).select(F.col("source").alias("named"), "source_size", "target"))
     return (made.sized.join(words, ROW, "left").join(sources, made.sized["source"].eqNullSafe(F.col("named")))
             .select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
@@ -267,7 +268,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     took all of it); ``n_chars``, if there, is the new text's length."""
     made = mix(docs, **options)
     runs = (made.manifest.groupBy(ROW, "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_runs_")))  # a text's blocks
-    joined = numbered(docs).join(runs, ROW).drop(ROW, "pass")
+    joined = numbered(docs).join(runs.hint("merge"), ROW).drop(ROW, "pass")
     names = docs.columns
     at = names.index("text")
 
