@@ -126,10 +126,12 @@ def possible(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(cid, k1, k2, n)`` of the classes that the first filter leaves, numbered."""
     looked = rows.filter("look IS NOT NULL AND n > 0")
     owners = looked.select("k1", F.explode("look").alias("token")).groupBy("token").agg(F.min("k1").alias("k1"), F.max("k1").alias("last"))
-    own = owners.filter("k1 = last").groupBy("k1").agg(F.count(F.lit(1)).alias("own"))
-    classes = looked.select("k1", "k2", "n").distinct()
+    # a class's shingles lie in every partition: fewer, larger tasks add up more of them before the shuffle
+    context = rows.sparkSession
+    tasks = max(context.sparkContext.defaultParallelism, int(context.conf.get("spark.sql.shuffle.partitions")) // 8)
+    own = owners.filter("k1 = last").select("k1").coalesce(tasks).groupBy("k1").agg(F.count(F.lit(1)).alias("own"))
     spare = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100))
-    left = classes.join(own, "k1", "left").filter(F.coalesce("own", F.lit(0)) <= spare)
+    left = looked.select("k1", "k2", "n").distinct().join(own, "k1", "left").filter(F.coalesce("own", F.lit(0)) <= spare)
     return stage(left.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "n"), "possible-classes")
 
 
