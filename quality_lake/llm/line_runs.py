@@ -1,0 +1,148 @@
+"""Line dedup by repeated runs of lines, exactly (operator 6).
+
+A run is two or more lines with words, the blank lines between them included.  A
+run that occurs again is made of windows, two neighbouring lines with words each,
+that occur again: a line lies in a later copy of some run exactly if it lies in a
+window that has an earlier place.  So windows are joined over the whole corpus, and
+runs of any length are found wherever they begin and end.
+
+A window's first place is the smallest id (then row), and in it the first line.
+Lines in windows that have an earlier place go, except those that also lie in the
+first place of another repeated window: whatever the copies had is still there.
+
+Windows are compared by their bytes: those that occur again are read once more (a
+bitmap of fixed size preselects them and only lets too many through when full),
+distinct ``(identifier, bytes)`` pairs are gathered, and if one identifier had two
+contents the run would start over with another seed, as in exact dedup.
+
+Occurrences are counted with partial aggregation, and both sides of the join that
+brings the verdicts back are tables, so a window that a third of all texts have is
+split over tasks.
+
+Cases: null counts as empty and stays null; blank lines around a run stay; lines
+are what newlines separate; a text of which everything is removed becomes empty;
+null ids count as larger than all others (so that a named text keeps its lines).
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quality_lake.sources import stage
+
+from .common import ROW, numbered, slices, text_or_empty
+from .ngram_join import bitmap
+
+ID_BYTES = 16
+_BLANK = " \t\x0b\x0c\r"
+_HALF = (1 << 64) - 1
+
+
+def windows(lines: list[str]) -> list[tuple[int, int]]:
+    """First and last line of every two neighbouring lines with words."""
+    worded = [k for k, s in enumerate(lines) if s.strip(_BLANK)]
+    return list(zip(worded, worded[1:]))
+
+
+def window_id(window: str, seed: int, width: int) -> tuple[int, int]:
+    """The first ``width`` bytes of a 128-bit hash, as two signed numbers."""
+    h = xxhash.xxh3_128_intdigest(window.encode("utf-8", "surrogatepass"), seed) & ((1 << 8 * width) - 1)
+    return tuple(k - (1 << 64) if k >> 63 else k for k in (h & _HALF, h >> 64))
+
+
+def _windows(text: str, seed: int, width: int):
+    """``(first line, (k1, k2), bytes)`` of a text's windows."""
+    lines = text.split("\n")
+    for a, b in windows(lines):
+        window = "\n".join(lines[a:b + 1])
+        yield a, window_id(window, seed, width), window
+
+
+def occurrences(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFrame:
+    """``(ROW, doc_id, at, k1, k2)`` of every window."""
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                out = [(row, doc, at, *key) for row, doc, text in zip(*(piece.column(k).to_pylist() for k in (ROW, "doc_id", "text")))
+                       for at, key, _ in _windows(text, seed, width)]
+                columns = list(zip(*out)) or [[]] * 5
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=[ROW, "doc_id", "at", "k1", "k2"])
+
+    return numbered(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
+        run, f"{ROW} bigint, doc_id bigint, at int, k1 bigint, k2 bigint")
+
+
+def one_content(docs: DataFrame, repeated: DataFrame, seed: int, width: int) -> bool:
+    """Whether no identifier of ``repeated`` stands for two different windows."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(repeated))
+
+    def run(batches):
+        on = shared.value
+        bits = len(on) * 64
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                own = {window: key for text in piece.column("text").to_pylist() for _, key, window in _windows(text, seed, width)
+                       if all(int(on[k % bits // 64]) >> (k % bits % 64) & 1 for k in key)}
+                keys = np.array(list(own.values()), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(own.keys(), pa.string())], names=["k1", "k2", "window"])
+
+    read = docs.select(text_or_empty().alias("text")).mapInArrow(run, "k1 bigint, k2 bigint, window string").distinct()
+    return read.groupBy("k1", "k2").count().filter("count > 1").isEmpty()
+
+
+def repeats(docs: DataFrame, width: int = ID_BYTES) -> tuple[DataFrame, DataFrame]:
+    """All windows, and ``(k1, k2, first)`` of those that occur more than once, under
+    identifiers that stand for one content each."""
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW, "at")
+    for seed in range(8):
+        found = stage(occurrences(docs, seed, width), "line-windows")
+        repeated = stage(found.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")).filter("n > 1"), "repeated-windows")
+        if one_content(docs, repeated, seed, width):
+            return found, repeated
+        width = min(ID_BYTES, 2 * width)
+    raise RuntimeError("window identifiers collide under every seed")
+
+
+def left_over(lines: list[str], later: set[int], first: set[int]) -> list[str]:
+    """The lines that stay, given the first lines of windows that have an earlier place and of repeated ones that have none."""
+    gone, safe = set(), set()
+    for a, b in windows(lines):
+        if a in later:
+            gone.update(range(a, b + 1))
+        elif a in first:
+            safe.update(range(a, b + 1))
+    return [s for k, s in enumerate(lines) if k not in gone or k in safe]
+
+
+def run_dedup(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
+    """``docs`` with later copies of repeated runs taken out of ``text``, and ``n_lines``
+    and ``n_removed_lines`` behind (columns of those names are replaced)."""
+    found, repeated = repeats(docs, width)
+    here = (F.col(ROW) == F.col(f"first.{ROW}")) & (F.col("at") == F.col("first.at"))
+    marks = (found.join(repeated, ["k1", "k2"]).groupBy(ROW)  # a text's own windows
+             .agg(F.collect_list(F.when(~here, F.col("at"))).alias("_later_"), F.collect_list(F.when(here, F.col("at"))).alias("_first_")))
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
+    at = kept.index("text")
+    joined = numbered(docs).join(marks, ROW, "left").select(*[F.col(f"`{c}`") for c in kept], "_later_", "_first_")
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                texts, totals, removed = [], [], []
+                for text, later, first in zip(*(piece.column(k).to_pylist() for k in (at, len(kept), len(kept) + 1))):
+                    lines = (text or "").split("\n")
+                    left = left_over(lines, set(later), set(first)) if later else lines
+                    texts.append("\n".join(left) if later else text)
+                    totals.append(len(lines))
+                    removed.append(len(lines) - len(left))
+                columns = list(piece.columns[:-2])
+                columns[at] = pa.array(texts, columns[at].type)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(totals, pa.int64()), pa.array(removed, pa.int64())], names=[*kept, "n_lines", "n_removed_lines"])
+
+    zero = F.lit(0).cast("long")
+    return joined.mapInArrow(run, docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("n_lines", zero).withColumn("n_removed_lines", zero).schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .common import ROW, table
 from .exact_dedup import dedup_decisions
 from .language import identify
-from .line_dedup import line_dedup
+from .line_runs import run_dedup
 from .mixing import taken
 from .ngram_join import join
 from .packing import pack
@@ -41,7 +41,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup(table(spark, sf_dir, "documents"))
+    cleaned = run_dedup(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.length("text").cast("long").alias("n_chars_left"),
                           F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
