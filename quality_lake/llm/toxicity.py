@@ -1,11 +1,16 @@
 """Toxicity by a linear classifier over naive-Bayes-scaled character n-grams (operator 9).
 
-Features are the presence of character n-grams (``LEAST`` to ``MOST`` code points,
-lower-cased, hashed to 2**``BUCKET_BITS`` buckets).  From a bounded sample of
-labelled texts come each bucket's log-count ratio r = log(p/q) of its smoothed
-shares among toxic and other texts; the ``FEATURES`` buckets whose shares differ
-most significantly are kept, and a logistic regression over presence times r is fitted
-by Newton's method.  Scoring is one pass over the texts: hash, look up, add.
+Features are character n-grams (``LEAST`` to ``MOST`` code points, lower-cased), told
+by whole 64-bit hashes; buckets of ``BUCKET_BITS`` bits only preselect.  From a
+bounded sample of labelled texts come each n-gram's log-count ratio r = log(p/q) of
+its smoothed shares among toxic and other texts; n-grams whose shares differ
+significantly are kept.  A feature's value is its places per ``PER_CHARS`` characters
+times r, so that a text is judged by how densely features stand in it and not by its
+length; a ridge logistic regression is fitted by Newton's method on sparse rows.
+
+Scoring is one pass over the whole text: hash, look up, add.  A text's score is that
+of its most toxic window of 2 x ``STEP`` characters (windows begin every ``STEP``), so
+that a toxic passage counts in a long text as it does in a short one.
 
 Labels are learned from at most ``SAMPLE`` rows of each class, drawn by a hash of
 the id (a documented bound on the labelled rows; scoring covers everything).
@@ -32,22 +37,27 @@ LEAST, MOST, BUCKET_BITS = 3, 6, 22
 #: Labelled rows of each class that are learned from, at most.
 SAMPLE = 3000
 FEATURES = 1024
-#: A feature's least likelihood ratio: about one chance in 10**7 per bucket.
+#: A feature's least likelihood ratio: about one chance in 10**7 per n-gram.
 SIGNIFICANT = 28.0
-#: ... how many sampled texts must have it
-LEAST_TEXTS = 4
 #: ... and its least share of the best feature's ratio, against words that a few toxic texts happen to have.
 LEAST_SHARE = 0.02
-RIDGE = 0.3
-#: How much of a coefficient is the feature's own.
-OWN = 0.2
+#: ... how many sampled texts must have it
+LEAST_TEXTS = 4
+RIDGE = 1.0
+#: A feature's value: places per so many characters, of a text taken to be so many characters longer.
+PER_CHARS, FEW_CHARS = 1000, 200
+#: Characters between the beginnings of windows, which are twice as long.
+STEP = 2048
+#: Pairs of texts and n-grams that are counted at once.
+MERGE = 1 << 21
 THRESHOLD = 0.7
 
 
 @dataclass
 class Model:
-    feature: np.ndarray  # by bucket: the feature's number, or -1
-    weight: np.ndarray   # by feature: ratio times coefficient
+    grams: np.ndarray   # the features: hashes of n-grams, in order
+    coarse: np.ndarray  # by the first bits of a hash: whether a feature may have it
+    weight: np.ndarray  # by feature: ratio times coefficient
     bias: float
 
 
@@ -70,14 +80,53 @@ def sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[lis
     return out, tuple(max(1.0, sizes.get(label, 0) / bound) for label in (0, 1))
 
 
-def _presence(texts: list[str], feature: np.ndarray, width: int) -> np.ndarray:
-    raw, owner = points(texts, MOST - 1, lower=True)
-    seen = np.zeros((len(texts), width), bool)
-    for n, h in ngram_hashes(raw, LEAST, MOST):
-        f = feature[h >> np.uint64(64 - BUCKET_BITS)]
-        hit = np.flatnonzero(f >= 0)
-        seen[owner[hit], f[hit]] = True
-    return seen
+def _hits(texts: list[str], grams: np.ndarray, coarse: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, feature, character)`` of every place in ``texts`` where a feature's n-gram stands, and the texts' lengths."""
+    gap = MOST - 1
+    raw, owner = points(texts, gap, lower=True)
+    size = np.bincount(owner, minlength=len(texts))
+    size[0] -= gap
+    start = gap + np.cumsum(size) - size
+    places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for _, h in ngram_hashes(raw, LEAST, MOST) if len(grams) else ():
+        near = np.flatnonzero(coarse[h >> np.uint64(64 - BUCKET_BITS)])
+        at = np.minimum(np.searchsorted(grams, h[near]), len(grams) - 1)
+        same = np.flatnonzero(grams[at] == h[near])
+        places.append(near[same])
+        found.append(at[same])
+    place = np.concatenate(places)
+    rows = owner[place]
+    return rows, np.concatenate(found), np.maximum(place - start[rows], 0), size - gap
+
+
+def _coarse(grams: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << BUCKET_BITS, bool)
+    out[grams >> np.uint64(64 - BUCKET_BITS)] = True
+    return out
+
+
+def _unit(size: np.ndarray) -> np.ndarray:
+    """What a place counts in so many characters: texts are judged by how densely features stand in them."""
+    return PER_CHARS / (size + FEW_CHARS)
+
+
+def scores(texts: list[str], model: Model) -> np.ndarray:
+    """The score of each text's most toxic window."""
+    rows, found, place, size = _hits(texts, model.grams, model.coarse)
+    cells = np.maximum(1, -(-size // STEP))
+    first = np.cumsum(cells) - cells
+    last = np.cumsum(cells) - 1
+    total = np.bincount(first[rows] + np.minimum(place // STEP, cells[rows] - 1), model.weight[found], int(cells.sum()))
+    chars = np.full(len(total), STEP)
+    chars[last] = size - (cells - 1) * STEP
+    # a window is two cells; a text's last cell is one only if it is the first too
+    begins = np.ones(len(total), bool)
+    begins[last] = False
+    total[:-1] += np.where(begins[:-1], total[1:], 0)
+    chars[:-1] += np.where(begins[:-1], chars[1:], 0)
+    begins[first] = True
+    logit = np.maximum.reduceat(np.where(begins, total * _unit(chars) + model.bias, -np.inf), first)
+    return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
 
 
 def _likelihood_ratio(k1: np.ndarray, n1: int, k0: np.ndarray, n0: int) -> np.ndarray:
@@ -106,64 +155,105 @@ def _unlike(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return out
 
 
-def fit(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0), features: int = FEATURES) -> Model:
+def _own_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, n-gram hash)``, each pair once."""
+    raw, owner = points(texts, MOST - 1, lower=True)
+    h = np.concatenate([h for _, h in ngram_hashes(raw, LEAST, MOST)])
+    rows = np.concatenate([owner[:len(raw) - n + 1] for n in range(LEAST, MOST + 1)])
+    order = np.lexsort((h, rows))
+    h, rows = h[order], rows[order]
+    first = np.concatenate(([True], (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])))
+    return rows[first], h[first]
+
+
+def _shares(rows: list[tuple[str, int]], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that at least ``LEAST_TEXTS`` texts have, and the number of texts of each class that have them."""
+    steps = list(step_texts([t for t, _ in rows]))
+    many = np.zeros(1 << BUCKET_BITS, np.int32)
+    for _, texts in steps:
+        many += np.bincount((_own_grams(texts)[1] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(many)).astype(np.int32)
+    enough = many >= LEAST_TEXTS  # a bucket without so many texts has no such n-gram
+    grams, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)
+    held, size = [], 0
+    for k, (start, texts) in enumerate(steps):
+        owner, h = _own_grams(texts)
+        near = enough[h >> np.uint64(64 - BUCKET_BITS)]
+        kinds = labels[start + owner[near]]
+        held.append((h[near], np.stack([kinds == 0, kinds == 1], axis=1)))
+        size += len(held[-1][0])
+        if size >= MERGE or k == len(steps) - 1:
+            both = np.concatenate([grams, *[g for g, _ in held]])
+            order = np.argsort(both, kind="stable")
+            heads = np.flatnonzero(np.concatenate(([True], np.diff(both[order]) != 0))) if len(both) else order
+            counts = np.add.reduceat(np.concatenate([counts, *[c for _, c in held]])[order], heads, axis=0, dtype=np.int32) if len(both) else counts
+            grams, held, size = both[order][heads], [], 0
+    some = counts.sum(axis=1) >= LEAST_TEXTS
+    return grams[some], counts[some].astype(np.float64)
+
+
+def fit(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0)) -> Model:
     """Learns from ``(text, label)`` rows, each of which stands for ``weights[label]`` labelled rows; deterministic."""
     rows = _unlike(rows)
     labels = np.array([y for _, y in rows], np.int64)
-    size = 1 << BUCKET_BITS
-    feature = np.full(size, -1, np.int16)
+    none = np.zeros(0, np.uint64)
     if not len(rows) or labels.min() == labels.max():
-        return Model(feature, np.zeros(1), -50.0)
-    counts = np.zeros((2, size), np.int32)
-    for start, texts in step_texts([t for t, _ in rows]):
-        raw, owner = points(texts, MOST - 1, lower=True)
-        found = [h >> np.uint64(64 - BUCKET_BITS) for _, h in ngram_hashes(raw, LEAST, MOST)]
-        keys = np.unique(np.concatenate([(owner[:len(b)].astype(np.uint64) << np.uint64(32)) | b for b in found]))
-        kinds = labels[start:start + len(texts)][(keys >> np.uint64(32)).astype(np.int64)]
-        buckets = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        for y in (0, 1):
-            counts[y] += np.bincount(buckets[kinds == y], minlength=size).astype(np.int32)
+        return Model(none, _coarse(none), np.zeros(0), -50.0)
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
-    # the buckets that enough texts have, and only those from here on
-    some = np.flatnonzero(counts[0] + counts[1] >= LEAST_TEXTS)
-    k1, k0 = counts[1][some].astype(np.float64), counts[0][some].astype(np.float64)
-    del counts
+    grams, counts = _shares(rows, labels)
+    k0, k1 = counts.T
     score = _likelihood_ratio(k1, n1, k0, n0)
-    chosen = np.argsort(-score, kind="stable")[:features]
-    chosen = chosen[score[chosen] >= max(SIGNIFICANT, LEAST_SHARE * score.max(initial=0.0))]
-    ratio = np.log((k1[chosen] + 1) / (n1 + 2)) - np.log((k0[chosen] + 1) / (n0 + 2))
-    chosen = some[chosen]
-    feature[chosen] = np.arange(len(chosen))
-    seen = np.concatenate([_presence(t, feature, len(chosen)) for _, t in step_texts([t for t, _ in rows])])
-    x = np.hstack([seen * ratio, np.ones((len(rows), 1))])
-    share = np.where(labels == 1, weights[1], weights[0])
-    # a feature that would pull against its own ratio only makes up for another one: without it
-    used = np.ones(len(chosen) + 1, bool)
-    while True:
-        w = np.zeros(len(used))
-        w[used] = _logistic(x[:, used], labels, share, RIDGE)
-        against = (w < 0) & (np.arange(len(w)) < len(chosen))
-        if not against.any():
-            break
-        used &= ~against
-    # between its own coefficient and the mean of all, so that each of a word's many n-grams pulls; then to scale
-    own = np.where(used[:-1], OWN * w[:-1] + (1 - OWN) * w[:-1].sum() / max(1, used[:-1].sum()), 0) * ratio
-    scale, bias = _logistic(np.column_stack([seen @ own, np.ones(len(rows))]), labels, share, 1e-3)
-    return Model(feature, scale * own, float(bias))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float) -> np.ndarray:
-    """Coefficients of a ridge logistic regression by Newton's method; the last column is the constant."""
-    penalty = np.full(x.shape[1], ridge)
+    chosen = np.argsort(-score, kind="stable")[:FEATURES]
+    chosen = np.sort(chosen[score[chosen] >= max(SIGNIFICANT, LEAST_SHARE * score.max(initial=0.0))])
+    grams, k0, k1 = grams[chosen], k0[chosen], k1[chosen]
+    ratio = np.log((k1 + 1) / (n1 + 2)) - np.log((k0 + 1) / (n0 + 2))
+    coarse = _coarse(grams)
+    cells, unit = [], []
+    for start, texts in step_texts([t for t, _ in rows]):
+        at, found, _, size = _hits(texts, grams, coarse)
+        cells.append(np.unique((start + at.astype(np.int64)) * max(1, len(grams)) + found, return_counts=True))
+        unit.append(_unit(size))
+    cell, times = np.concatenate([c for c, _ in cells]), np.concatenate([n for _, n in cells])
+    at, found = np.divmod(cell, max(1, len(grams)))
+    value = times * np.concatenate(unit)[at] * ratio[found]
+    w = _logistic(at, found, value, labels, np.where(labels == 1, weights[1], weights[0]), len(grams))
+    return Model(grams, coarse, w[:-1] * ratio, float(w[-1]))
+
+
+def _logistic(at: np.ndarray, found: np.ndarray, value: np.ndarray, y: np.ndarray, share: np.ndarray, width: int, ridge: float = RIDGE) -> np.ndarray:
+    """Coefficients of a ridge logistic regression over sparse rows (``value`` in row
+    ``at``, column ``found``) by Newton's method, each step solved by conjugate
+    gradients; the last coefficient is the constant."""
+    at, found, value = (np.concatenate(pair) for pair in ((at, np.arange(len(y))), (found, np.full(len(y), width)), (value, np.ones(len(y)))))
+    penalty = np.full(width + 1, ridge)
     penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    forth = lambda v: np.bincount(at, value * v[found], len(y))
+    back = lambda v: np.bincount(found, value * v[at], width + 1)
+    w = np.zeros(width + 1)
+    loss = lambda z, w: share @ np.logaddexp(0, np.where(y == 1, -z, z)) + penalty @ w**2 / 2
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        slope = x.T @ (share * (p - y)) + penalty * w
-        bend = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(bend, slope)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        z = forth(w)
+        p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+        slope = back(share * (p - y)) + penalty * w
+        bend = share * np.maximum(p * (1 - p), 1e-9)
+        scale = np.bincount(found, value**2 * bend[at], width + 1) + penalty
+        step, rest = np.zeros(width + 1), slope.copy()
+        near = rest / scale
+        way, size = near.copy(), rest @ near
+        enough = 1e-12 * size
+        for _ in range(200):
+            if size <= enough or size == 0:
+                break
+            bent = back(bend * forth(way)) + penalty * way
+            far = size / (way @ bent)
+            step += far * way
+            rest -= far * bent
+            near = rest / scale
+            way, size = near + (rest @ near) / size * way, rest @ near
+        now, length = loss(z, w), 1.0
+        while length > 1e-6 and loss(forth(w - length * step), w - length * step) > now:
+            length /= 2
+        w = w - length * step
+        if np.abs(length * step).max() < 1e-7:
             break
     return w
 
@@ -171,7 +261,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float) ->
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` behind its columns (a column of that name is replaced)."""
     kept = [c for c in docs.columns if c != "score"]
-    own = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: one small number per bucket
+    own = docs.sparkSession.sparkContext.broadcast(model)
     texts = docs.select(*[F.col(f"`{c}`") for c in kept], text_or_empty().alias("_whole_text_"))
 
     def run(batches):
@@ -180,8 +270,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             all_texts = batch.column(batch.num_columns - 1).to_pylist()
             out = []
             for _, part in step_texts(all_texts):
-                logit = _presence(part, m.feature, len(m.weight)) @ m.weight + m.bias
-                out.append(1 / (1 + np.exp(-np.clip(logit, -35, 35))))
+                out.append(scores(part, m))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out) if out else [], pa.float64())],
                                              names=[*kept, "score"])
 

@@ -3,9 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quality_lake.llm.toxicity import held_out, toxicity, without_toxic
+from quality_lake.llm.toxicity import fit, held_out, sample, score, toxicity, without_toxic
 
-from .conftest import words
+from .conftest import SF, words
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +51,21 @@ def test_odd_rows(spark, odd, none, labelled):
     assert without_toxic(odd, odd_labels.limit(0)).count() == odd.count()
     assert without_toxic(odd, odd_labels).columns == odd.columns
     assert toxicity(none, labels).count() == 0
+
+
+def test_long_clean_texts_stay_and_toxic_passages_in_them_are_found(spark):
+    sf = SF.replace("0.001", "0.1")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = fit(*sample(docs, labels))
+    held = [(r["toxic"], r["text"]) for r in docs.join(labels, "doc_id").filter(held_out()).orderBy("doc_id").collect() if r["toxic"] is not None]
+    single = score(spark.createDataFrame(list(enumerate(t for _, t in held)), "doc_id bigint, text string"), model).orderBy("doc_id").collect()
+    clean = [t for (toxic, t), r in zip(held, single) if not toxic and r["score"] < 0.05]
+    toxic = [t for (toxic, t), r in zip(held, single) if toxic and r["score"] > 0.9 and 3000 < len(t) < 4500]
+    rows = []
+    for k, size in enumerate((300_000, 300_000, 1_000_000, 3_000_000)):
+        r, texts = random.Random(k), []
+        while sum(map(len, texts)) < size:
+            texts += r.sample(clean, 50)
+        rows += [(2 * k, "\n".join(texts)), (2 * k + 1, "\n".join([*texts[:40], toxic[k], *texts[40:]]))]
+    got = {r["doc_id"]: r["score"] for r in score(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    assert all((got[i] >= 0.7) == bool(i % 2) for i in got), got
