@@ -36,11 +36,8 @@ from .ngrams import ngram_hashes, points, step_texts
 LEAST, MOST, BUCKET_BITS = 3, 6, 22
 #: Labelled rows of each class that are learned from, at most.
 SAMPLE = 3000
-FEATURES = 1024
-#: A feature's least likelihood ratio: about one chance in 10**7 per n-gram.
-SIGNIFICANT = 28.0
-#: ... and its least share of the best feature's ratio, against words that a few toxic texts happen to have.
-LEAST_SHARE = 0.02
+#: A feature's least likelihood ratio.
+SIGNIFICANT = 10.0
 #: ... how many sampled texts must have it
 LEAST_TEXTS = 4
 RIDGE = 1.0
@@ -202,8 +199,7 @@ def fit(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0))
     grams, counts = _shares(rows, labels)
     k0, k1 = counts.T
     score = _likelihood_ratio(k1, n1, k0, n0)
-    chosen = np.argsort(-score, kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[score[chosen] >= max(SIGNIFICANT, LEAST_SHARE * score.max(initial=0.0))])
+    chosen = np.flatnonzero(score >= SIGNIFICANT)
     grams, k0, k1 = grams[chosen], k0[chosen], k1[chosen]
     ratio = np.log((k1 + 1) / (n1 + 2)) - np.log((k0 + 1) / (n0 + 2))
     coarse = _coarse(grams)

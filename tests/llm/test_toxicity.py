@@ -69,3 +69,18 @@ def test_long_clean_texts_stay_and_toxic_passages_in_them_are_found(spark):
         rows += [(2 * k, "\n".join(texts)), (2 * k + 1, "\n".join([*texts[:40], toxic[k], *texts[40:]]))]
     got = {r["doc_id"]: r["score"] for r in score(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
     assert all((got[i] >= 0.7) == bool(i % 2) for i in got), got
+
+
+def test_rare_toxic_words_count(spark):
+    letters = lambda r: "".join(r.choice("abcdefghijklmnoprstuvw") for _ in range(8))
+    pick = random.Random(5)
+    insults, pool = [letters(pick) for _ in range(400)], [letters(pick) for _ in range(3000)]
+
+    def text(i):
+        r = random.Random(i)
+        return " ".join(r.sample([*r.choices(pool, k=60), *(r.sample(insults, 5) if i % 2 else [])], 60))
+
+    model = fit([(text(i), i % 2) for i in range(2400)])
+    got = score(spark.createDataFrame([(i, text(i)) for i in range(10_000, 10_600)], "doc_id bigint, text string"), model).collect()
+    assert sum(r["score"] >= 0.7 for r in got if r["doc_id"] % 2) >= 0.95 * 300
+    assert sum(r["score"] >= 0.7 for r in got if not r["doc_id"] % 2) <= 0.01 * 300
