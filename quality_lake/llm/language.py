@@ -4,10 +4,11 @@ The kernel of two texts is the blended spectrum's presence kernel: the number of
 (hashed) character n-grams of ``LEAST`` to ``MOST`` code points that both have,
 divided by the root of the product of their own numbers.  ``LANDMARKS`` training
 texts span the Nystrom approximation: a text's features are its kernels with the
-landmarks times the inverse root of the landmarks' own kernel matrix.  A kernel
+landmarks times the inverse root of the landmarks' own kernel matrix.  N-grams are
+told by 2**``BUCKET_BITS`` buckets, which long texts do not fill; only buckets that
+a landmark has are kept for the sums.  A kernel
 ridge regression, one language against the rest, is solved on those features;
-texts are scored in batches by two matrix products, presence by landmarks and
-kernels by coefficients.
+texts are scored by sums over their buckets of the landmarks' coefficients.
 
 It is fitted on at most ``SAMPLE`` texts of each of at most ``LANGUAGES``
 languages (the most frequent ones), drawn by a hash of the id: documented bounds
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .ngrams import ngram_hashes, points, step_texts
 from .toxicity import held_out
 
-LEAST, MOST, BUCKET_BITS = 2, 4, 12
+LEAST, MOST, BUCKET_BITS = 2, 4, 20
 SAMPLE, LANGUAGES, LANDMARKS, RIDGE = 300, 200, 192, 1e-3
 NO_LETTER = "und"
 
@@ -38,17 +39,32 @@ NO_LETTER = "und"
 @dataclass
 class Model:
     languages: list[str]
-    landmarks: np.ndarray  # buckets by landmarks, each of length 1
-    weights: np.ndarray    # landmarks by languages, with the bias below
+    number: np.ndarray   # by bucket: its row in weights, or -1 where no landmark has it
+    weights: np.ndarray  # landmarks' buckets by languages: the landmarks' coefficients, summed
+    bias: np.ndarray
 
 
-def presence(texts: list[str]) -> np.ndarray:
-    """Which n-gram buckets each text has, as rows of length 1."""
+def spectra(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, bucket)`` of the n-grams that each text has, each pair once, in order."""
     raw, owner = points(texts, MOST - 1, lower=True)
-    seen = np.zeros((len(texts), 1 << BUCKET_BITS), np.float32)
-    for n, h in ngram_hashes(raw, LEAST, MOST):
-        seen[owner[:len(h)], (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] = 1
-    return seen / np.sqrt(np.maximum(seen.sum(axis=1, keepdims=True), 1))
+    keys = [(owner[:len(h)].astype(np.int64) << BUCKET_BITS) | (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) for _, h in ngram_hashes(raw, LEAST, MOST)]
+    return np.divmod(np.unique(np.concatenate(keys)), 1 << BUCKET_BITS)
+
+
+def normed_sums(texts: list[str], number: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The sum of the rows of ``table`` that each text's buckets have, by the root of the number of its buckets
+    (where its columns are landmarks of length 1, these are the kernels)."""
+    rows, buckets = spectra(texts)
+    size = np.maximum(np.bincount(rows, minlength=len(texts)), 1)
+    number = number[buckets]
+    held = number >= 0
+    out = np.zeros((len(texts), table.shape[1]), np.float32)
+    ends = np.searchsorted(rows[held], np.arange(len(texts) + 1))
+    number = number[held]
+    for i in range(len(texts)):  # whole rows are added, in bounded parts
+        for at in range(ends[i], ends[i + 1], 1 << 14):
+            out[i] += table[number[at:min(at + (1 << 14), ends[i + 1])]].sum(axis=0)
+    return out / np.sqrt(size)[:, None].astype(np.float32)
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
@@ -68,35 +84,40 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
 def fit(rows: list[tuple[str, str]]) -> Model:
     languages = sorted({lang for _, lang in rows})
     if not rows:
-        return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros((1, 0), np.float32))
-    x = np.concatenate([presence(t) for _, t in step_texts([t for t, _ in rows])])
+        return Model([], np.full(1 << BUCKET_BITS, -1, np.int32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
     kinds = np.array([languages.index(lang) for _, lang in rows])
     # landmarks: spread evenly over the languages, which the rows follow
     spots = np.unique(np.linspace(0, len(rows) - 1, min(LANDMARKS, len(rows))).astype(np.int64))
-    landmarks = x[spots]
-    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
+    own = [spectra([rows[i][0]])[1] for i in spots]
+    known = np.unique(np.concatenate(own))
+    number = np.full(1 << BUCKET_BITS, -1, np.int32)
+    number[known] = np.arange(len(known))
+    spectrum = np.zeros((len(known), len(spots)), np.float32)
+    for k, buckets in enumerate(own):
+        spectrum[number[buckets], k] = 1 / np.sqrt(max(1, len(buckets)))
+    x = np.concatenate([normed_sums(t, number, spectrum) for _, t in step_texts([t for t, _ in rows])]).astype(np.float64)
+    values, vectors = np.linalg.eigh(x[spots])
     kept = values > 1e-6 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])
-    features = np.hstack([(x @ landmarks.T).astype(np.float64) @ root, np.ones((len(rows), 1))])
+    features = np.hstack([x @ root, np.ones((len(rows), 1))])
     target = np.where(kinds[:, None] == np.arange(len(languages)), 1.0, 0.0)
     share = 1 / np.bincount(kinds, minlength=len(languages))[kinds]  # each language weighs the same
     weighted = features * share[:, None]
     ridge = RIDGE * np.eye(features.shape[1])
     solved = np.linalg.solve(features.T @ weighted + ridge, weighted.T @ target)
-    return Model(languages, landmarks.T.copy(), np.vstack([root @ solved[:-1], solved[-1:]]).astype(np.float32))
+    return Model(languages, number, spectrum @ (root @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32))
 
 
 def predict(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:
     """Each text's language and score, for texts that have letters."""
-    kernels = presence(texts) @ model.landmarks
-    scores = kernels @ model.weights[:-1] + model.weights[-1]
+    scores = normed_sums(texts, model.number, model.weights) + model.bias
     best = scores.argmax(axis=1)
     return [model.languages[i] for i in best], np.clip(scores[np.arange(len(texts)), best], 0.0, 1.0).astype(np.float64)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` of every row of ``docs``."""
-    own = docs.sparkSession.sparkContext.broadcast(fit(sample(docs)))  # landmarks by buckets: of fixed size
+    own = docs.sparkSession.sparkContext.broadcast(fit(sample(docs)))
 
     def run(batches):
         m = own.value

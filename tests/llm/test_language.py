@@ -1,4 +1,5 @@
-from quality_lake.llm.language import NO_LETTER, identify
+from quality_lake.llm.language import NO_LETTER, fit, identify, predict, sample
+from quality_lake.llm.toxicity import held_out
 
 from .conftest import SF
 
@@ -34,3 +35,21 @@ def test_without_any_language(docs):
     from pyspark.sql import functions as F
 
     assert {r["lang_pred"] for r in identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {NO_LETTER}
+
+
+def test_long_texts(spark):
+    import random
+
+    docs = spark.read.parquet(SF.replace("0.001", "0.1") + "/documents.parquet").filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
+    own = {}
+    for r in docs.filter(held_out("doc_id", 4, 2)).orderBy("doc_id").collect():
+        own.setdefault(r["lang"], []).append(r["text"])
+    rows = []
+    for lang, texts in sorted(own.items()):
+        for size in (300_000, 1_000_000, 3_000_000):
+            r, chosen = random.Random(size), []
+            while sum(map(len, chosen)) < size:
+                chosen += r.sample(texts, 50)
+            rows.append((lang, "\n".join(chosen)))
+    model = fit(sample(docs))
+    assert [predict([text], model)[0][0] for _, text in rows] == [lang for lang, _ in rows]
