@@ -2,17 +2,17 @@
 
 The kernel of two texts is the blended spectrum's presence kernel: the number of
 (hashed) character n-grams of ``LEAST`` to ``MOST`` code points that both have,
-divided by the root of the product of their own numbers.  ``LANDMARKS`` training
-texts span the Nystrom approximation: a text's features are its kernels with the
+divided by the root of the product of their own numbers.  Some training
+texts of each language, the landmarks, span the Nystrom approximation: a text's features are its kernels with the
 landmarks times the inverse root of the landmarks' own kernel matrix.  N-grams are
 told by 2**``BUCKET_BITS`` buckets, which long texts do not fill; only buckets that
 a landmark has are kept for the sums.  A kernel
 ridge regression, one language against the rest, is solved on those features;
 texts are scored by sums over their buckets of the landmarks' coefficients.
 
-It is fitted on at most ``SAMPLE`` texts of each of at most ``LANGUAGES``
-languages (the most frequent ones), drawn by a hash of the id: documented bounds
-on labelled rows.  Scoring covers every row and whole texts.
+It is fitted on at most ``SAMPLE`` texts of each language, drawn by a hash of the
+id: a documented bound on labelled rows.  Every language that occurs is learned and
+has landmarks of its own.  Scoring covers every row and whole texts.
 
 Cases: ``und`` with score 0 where the text is null or has no letter; rows without
 language or id are not learned from; with no training row at all every text is
@@ -25,14 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ngrams import ngram_hashes, points, step_texts
 from .toxicity import held_out
 
 LEAST, MOST, BUCKET_BITS = 2, 4, 20
-SAMPLE, LANGUAGES, LANDMARKS, RIDGE = 300, 200, 192, 1e-3
+SAMPLE, RIDGE = 300, 1e-3
+#: Landmarks, dealt evenly over the languages, of which each has so many at least.
+LANDMARKS, LEAST_EACH = 192, 4
 NO_LETTER = "und"
 
 
@@ -71,14 +73,12 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
              .filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
              .filter(~held_out("doc_id", 4, 2)))
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    out = []
-    for lang, n in sorted((r["lang"], r["count"]) for r in frequent):
-        # a hash range that holds about twice the bound, then the first rows of it: no sort of a whole language
-        share = min(1.0, 2 * SAMPLE / n)
-        near = known.filter((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
-        out += [(r["text"], lang) for r in near.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE).collect()]
-    return out
+    # a hash range that holds about twice the bound, then the first rows of it: no sort of a whole language
+    sizes = known.groupBy("lang").agg((F.least(F.lit(1.0), 2 * SAMPLE / F.count(F.lit(1))) * (1 << 20)).cast("int").alias("most"))
+    near = known.join(F.broadcast(sizes), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("most") + 1)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    rows = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE).select("lang", "place", "text").collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["place"]))]
 
 
 def fit(rows: list[tuple[str, str]]) -> Model:
@@ -86,16 +86,26 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     if not rows:
         return Model([], np.full(1 << BUCKET_BITS, -1, np.int32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
     kinds = np.array([languages.index(lang) for _, lang in rows])
-    # landmarks: spread evenly over the languages, which the rows follow
-    spots = np.unique(np.linspace(0, len(rows) - 1, min(LANDMARKS, len(rows))).astype(np.int64))
+    # landmarks: so many of each language, spread evenly over its rows
+    each = max(LEAST_EACH, LANDMARKS // len(languages))
+    own = (np.flatnonzero(kinds == k) for k in range(len(languages)))
+    spots = np.concatenate([r[np.unique(np.linspace(0, len(r) - 1, min(each, len(r))).astype(np.int64))] for r in own])
     own = [spectra([rows[i][0]])[1] for i in spots]
     known = np.unique(np.concatenate(own))
     number = np.full(1 << BUCKET_BITS, -1, np.int32)
     number[known] = np.arange(len(known))
-    spectrum = np.zeros((len(known), len(spots)), np.float32)
-    for k, buckets in enumerate(own):
-        spectrum[number[buckets], k] = 1 / np.sqrt(max(1, len(buckets)))
-    x = np.concatenate([normed_sums(t, number, spectrum) for _, t in step_texts([t for t, _ in rows])]).astype(np.float64)
+
+    def spectrum(first: int) -> np.ndarray:  # of a block of landmarks, so that many languages do not need one large matrix
+        out = np.zeros((len(known), len(own[first:first + LANDMARKS])), np.float32)
+        for k, buckets in enumerate(own[first:first + LANDMARKS]):
+            out[number[buckets], k] = 1 / np.sqrt(max(1, len(buckets)))
+        return out
+
+    x = np.zeros((len(rows), len(spots)))
+    for first in range(0, len(spots), LANDMARKS):
+        block = spectrum(first)
+        for start, texts in step_texts([t for t, _ in rows]):
+            x[start:start + len(texts), first:first + LANDMARKS] = normed_sums(texts, number, block)
     values, vectors = np.linalg.eigh(x[spots])
     kept = values > 1e-6 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])
@@ -105,7 +115,11 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     weighted = features * share[:, None]
     ridge = RIDGE * np.eye(features.shape[1])
     solved = np.linalg.solve(features.T @ weighted + ridge, weighted.T @ target)
-    return Model(languages, number, spectrum @ (root @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32))
+    coefficients = (root @ solved[:-1]).astype(np.float32)
+    weights = np.zeros((len(known), len(languages)), np.float32)
+    for first in range(0, len(spots), LANDMARKS):
+        weights += spectrum(first) @ coefficients[first:first + LANDMARKS]
+    return Model(languages, number, weights, solved[-1].astype(np.float32))
 
 
 def predict(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:

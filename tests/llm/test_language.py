@@ -53,3 +53,17 @@ def test_long_texts(spark):
             rows.append((lang, "\n".join(chosen)))
     model = fit(sample(docs))
     assert [predict([text], model)[0][0] for _, text in rows] == [lang for lang, _ in rows]
+
+
+def test_many_and_rare_languages(spark):
+    import random
+
+    pick = random.Random(1)
+    pools = {f"l{k:03}": ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for k in range(230)}
+    rows = [(12 * k + i, " ".join(random.Random(f"{k}-{i}").choices(pool, k=40)), lang)
+            for k, (lang, pool) in enumerate(pools.items()) for i in range(6 if k % 5 == 0 else 12)]
+    rows += [(100_000 + i, " ".join(random.Random(f"big-{i}").choices(pools["l001"], k=40)), "l001") for i in range(1500)]
+    got = {r["doc_id"]: r["lang_pred"] for r in identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    learned = {lang for _, _, lang in rows}
+    assert {got[i] for i, _, _ in rows} == learned
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.99 * len(rows)
