@@ -8,6 +8,7 @@ slices of bounded size, so a task's memory does not depend on the partition.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quality_lake.sources import stage
+
 #: ``[^\\x20\\x09-\\x0D]+``: the words of the data model (ASCII white space only).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -143,16 +146,41 @@ ROW = "_row_number_"
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a row number, so that repeated or null ids never mix rows up.
 
-    The number is a function of the file splits, so it is the same in every scan
-    of one table; ``docs`` must therefore be a table read from files (every
-    pipeline stage rereads its input from Parquet).
+    The number depends on the file splits: it holds for one scan, the result of which
+    is written down.  For what is scanned again, see ``placed``.
     """
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def _is_files(docs: DataFrame) -> bool:
+    """Whether ``docs`` is some columns of a table of files and nothing else."""
+    plan = docs._jdf.queryExecution().analyzed().toString().strip().splitlines()
+    return (all(re.match(r"[ :+-]*(Project|Relation) \[", line) for line in plan) and plan[-1].rstrip().endswith(" parquet")
+            and "_metadata" not in docs.columns)
+
+
+def as_files(docs: DataFrame) -> DataFrame:
+    """``docs`` if it is read from files, or else a copy that is, so that it can be scanned twice."""
+    return docs if _is_files(docs) else stage(docs, "rows")
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row number made of the file's number, in order of the paths,
+    and the row's place in the file: the same in every scan, however the files are
+    split over tasks.  ``docs`` must come from ``as_files`` if it is scanned again."""
+    if not _is_files(docs):
+        return numbered(docs)
+    path = F.col("_metadata.file_path")
+    paths = sorted(r["path"] for r in docs.select(path.alias("path")).distinct().collect())  # one row per file
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "_file_number_ bigint, _file_path_ string")
+    held = docs.withColumns({"_own_path_": path, "_own_place_": F.col("_metadata.row_index")})
+    own = held.join(F.broadcast(files), F.col("_own_path_") == F.col("_file_path_"))
+    return own.select(*[F.col(f"`{c}`") for c in docs.columns], (F.shiftleft("_file_number_", 40) + F.col("_own_place_")).alias(ROW))
+
+
 def rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose numbers are in ``chosen`` (a column ``ROW``), with the columns of ``docs``."""
-    return numbered(docs).join(chosen.select(ROW), ROW, "left_semi").drop(ROW)
+    """The rows of ``docs`` (from ``as_files``) whose numbers are in ``chosen`` (a column ``ROW``), with the columns of ``docs``."""
+    return placed(docs).join(chosen.select(ROW), ROW, "left_semi").drop(ROW)
 
 
 def bounds_by_range(df: DataFrame, total: str, part: str = "part") -> dict[int, int]:

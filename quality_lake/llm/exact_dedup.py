@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, numbered, rows_of, seeded, slices, text_or_empty, utf8
+from .common import ROW, as_files, placed, rows_of, seeded, slices, text_or_empty, utf8
 
 #: Chunk sizes in bytes: none shorter (but a text's last), the usual, none longer.
 LEAST, USUAL, MOST = 256, 2048, 16384
@@ -92,7 +92,7 @@ def recipes(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFrame:
                 names=[ROW, "doc_id", "text_sha256", "recipe"])
 
     text = text_or_empty()
-    return (numbered(docs).select(ROW, F.col("doc_id").cast("long"), text.alias("text"), F.sha2(text, 256).alias("text_sha256"))
+    return (placed(docs).select(ROW, F.col("doc_id").cast("long"), text.alias("text"), F.sha2(text, 256).alias("text_sha256"))
             .mapInArrow(run, f"{ROW} long, doc_id long, text_sha256 string, recipe binary"))
 
 
@@ -136,4 +136,5 @@ def dedup_decisions(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay."""
+    docs = as_files(docs)
     return rows_of(docs, dedup_decisions(docs).filter("kept"))

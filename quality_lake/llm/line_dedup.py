@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, mix64, numbered, seeded, slices, text_or_empty
+from .common import ROW, as_files, mix64, placed, seeded, slices, text_or_empty
 
 WINDOW, USUAL, MOST = 3, 4, 32
 ID_BYTES = 16
@@ -85,7 +85,7 @@ def occurrences(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
                                                   pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())], names=[ROW, "doc_id", "number", "id"])
 
-    return numbered(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
+    return placed(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
         run, f"{ROW} bigint, doc_id bigint, number int, id binary")
 
 
@@ -111,6 +111,7 @@ def verified(docs: DataFrame, width: int = ID_BYTES) -> tuple[int, int]:
 def line_dedup(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``n_lines`` and
     ``n_removed_lines`` behind (columns of those names are replaced)."""
+    docs = as_files(docs)
     seed, width = verified(docs, width)
     found = stage(occurrences(docs, seed, width), "line-chunks")
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW, "number")
@@ -119,7 +120,7 @@ def line_dedup(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
             .groupBy(ROW).agg(F.collect_set("number").alias("_gone_")))  # a text's own chunks
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     at = kept.index("text")
-    joined = numbered(docs).join(gone, ROW, "left").select(*[F.col(f"`{c}`") for c in kept], "_gone_")
+    joined = placed(docs).join(gone, ROW, "left").select(*[F.col(f"`{c}`") for c in kept], "_gone_")
 
     def run(batches):
         for batch in batches:

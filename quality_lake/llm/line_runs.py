@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, numbered, slices, text_or_empty
+from .common import ROW, as_files, placed, slices, text_or_empty
 from .ngram_join import bitmap
 
 ID_BYTES = 16
@@ -73,7 +73,7 @@ def occurrences(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFr
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=[ROW, "doc_id", "at", "k1", "k2"])
 
-    return numbered(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
+    return placed(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
         run, f"{ROW} bigint, doc_id bigint, at int, k1 bigint, k2 bigint")
 
 
@@ -122,13 +122,14 @@ def left_over(lines: list[str], later: set[int], first: set[int]) -> list[str]:
 def run_dedup(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
     """``docs`` with later copies of repeated runs taken out of ``text``, and ``n_lines``
     and ``n_removed_lines`` behind (columns of those names are replaced)."""
+    docs = as_files(docs)
     found, repeated = repeats(docs, width)
     here = (F.col(ROW) == F.col(f"first.{ROW}")) & (F.col("at") == F.col("first.at"))
     marks = (found.join(repeated, ["k1", "k2"]).groupBy(ROW)  # a text's own windows
              .agg(F.collect_list(F.when(~here, F.col("at"))).alias("_later_"), F.collect_list(F.when(here, F.col("at"))).alias("_first_")))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     at = kept.index("text")
-    joined = numbered(docs).join(marks, ROW, "left").select(*[F.col(f"`{c}`") for c in kept], "_later_", "_first_")
+    joined = placed(docs).join(marks, ROW, "left").select(*[F.col(f"`{c}`") for c in kept], "_later_", "_first_")
 
     def run(batches):
         for batch in batches:

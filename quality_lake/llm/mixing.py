@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, WORD, numbered, seeded, slices, text_or_empty
+from .common import ROW, WORD, as_files, placed, seeded, slices, text_or_empty
 
 WEIGHTS, CAP = (5, 2, 1), 3
 BLOCK, SHARD, MAX_SOURCES = 64, 1 << 14, 100_000
@@ -86,7 +86,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK)
 
 def sizes(docs: DataFrame) -> DataFrame:
     """``(ROW, doc_id, source, size)``, written down once."""
-    return stage(numbered(docs).select(
+    return stage(placed(docs).select(
         ROW, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
 
@@ -266,9 +266,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents with the columns of ``docs``: one row for each pass that
     took words of a text, its text being those words (the whole text where the pass
     took all of it); ``n_chars``, if there, is the new text's length."""
+    docs = as_files(docs)
     made = mix(docs, **options)
     runs = (made.manifest.groupBy(ROW, "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_runs_")))  # a text's blocks
-    joined = numbered(docs).join(runs.hint("merge"), ROW).drop(ROW, "pass")
+    joined = placed(docs).join(runs.hint("merge"), ROW).drop(ROW, "pass")
     names = docs.columns
     at = names.index("text")
 

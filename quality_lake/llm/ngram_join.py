@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, mix64, numbered, rows_of, slices, text_or_empty, utf8, word_hashes
+from .common import ROW, as_files, mix64, placed, rows_of, slices, text_or_empty, utf8, word_hashes
 from .components import components
 
 WORDS, PERCENT, ORDERS = 5, 80, 3
@@ -118,7 +118,7 @@ def described(docs: DataFrame) -> DataFrame:
                 pa.array([len(s) for s in sets], pa.int64()), pa.array(looks, pa.list_(pa.int64()))],
                 names=[ROW, "doc_id", "k1", "k2", "n", "look"])
 
-    return numbered(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
+    return placed(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
         run, f"{ROW} bigint, doc_id bigint, k1 bigint, k2 bigint, n bigint, look array<bigint>")
 
 
@@ -320,4 +320,5 @@ def join(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataF
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
     """The rows of ``docs`` of which one stands for each component."""
+    docs = as_files(docs)
     return rows_of(docs, join(docs, percent, orders).filter("kept"))

@@ -1,0 +1,22 @@
+from quality_lake.llm.common import ROW, as_files, placed, rows_of
+
+
+def test_row_numbers_do_not_depend_on_the_splits(spark, tmp_dir):
+    path = f"{tmp_dir}/documents.parquet"
+    spark.range(4000).selectExpr("id AS doc_id", "repeat(sha2(string(id), 256), 20) AS text").repartition(12).write.option("parquet.block.size", 1 << 16).parquet(path)
+    narrow = spark.newSession()
+    narrow.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 15))
+    narrow.conf.set("spark.sql.files.openCostInBytes", "0")
+    wide, cut = (s.read.parquet(path) for s in (spark, narrow))
+    assert wide.rdd.getNumPartitions() != cut.rdd.getNumPartitions()
+    a, b = ({r["doc_id"]: r[ROW] for r in placed(d).select("doc_id", ROW).collect()} for d in (wide, cut))
+    assert a == b and len(set(a.values())) == 4000
+    chosen = placed(cut).filter("doc_id % 7 = 0").select(ROW).collect()
+    got = rows_of(wide, spark.createDataFrame(chosen, f"{ROW} bigint"))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(0, 4000, 7)) and got.columns == wide.columns
+
+
+def test_what_is_not_a_table_of_files_is_written_down_first(spark, docs, none):
+    made = docs.filter("doc_id % 2 = 0").selectExpr("doc_id", "text")
+    assert as_files(docs) is docs and as_files(made) is not made
+    assert placed(as_files(made)).select(ROW).distinct().count() == made.count() and placed(none).count() == 0
