@@ -3,10 +3,12 @@
 Most words of a corpus repeat, and byte-pair encoding of a word does not depend
 on its neighbours, so a worker keeps the ids of the words it has met, two
 generations of at most ``MEMO_WORDS`` entries each.  A text is cut where the
-tokenizer's own pre-tokenizer always cuts, at a single white-space character
-between two others that are not; a text with other white space (runs, or at its
-ends) is encoded whole by the library, as are words with anything but plain
-letters and final punctuation.  The ids are the library's, whatever the path.
+tokenizer's own pre-tokenizer always cuts, at a single space or line feed between
+two characters that are no white space; a text with any other white space (runs, at
+its ends, or other characters that Python or Unicode counts as such) is encoded by
+the library, as are words with anything but plain letters and final punctuation.
+A long text is first cut at such spaces into parts of about ``PART_CHARS``, so that
+memory is bounded.  The ids are the library's, whatever the path.
 """
 
 from __future__ import annotations
@@ -14,17 +16,24 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Iterable
+import sys
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 MEMO_WORDS = 250_000
+PART_CHARS = 1 << 20
 
 _MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII marks without the apostrophe, which may begin a pre-token of letters
 _PLAIN = re.compile(rf"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([{_MARKS}]*)")
 _ONLY_MARKS = re.compile(rf" ?[{_MARKS}]+")
 
 
+# White space other than the space and the line feed, as Python sees it, and what some versions of Unicode add.
+_ODD = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n"] + ["\u180e", "\u200b", "\u2060", "\ufeff"]
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level vocabularies write printable bytes as themselves and the others from U+0100 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -83,11 +92,33 @@ class Memo(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        if len(text) <= PART_CHARS:
+            return self.part(text) if text else b""
+        return b"".join(map(self.part, self.parts(text)))
+
+    def parts(self, text: str) -> Iterator[str]:
+        """A long text cut before single spaces between two characters that are no white space."""
+        start, cuttable = 0, "<|" not in text and "\0" not in text
+        while cuttable and len(text) - start > PART_CHARS:
+            cut = _CUT.search(text, start + PART_CHARS)
+            if cut is None:
+                break
+            yield text[start:cut.start()]
+            start = cut.start()
+        yield text[start:]
+
+    def part(self, text: str) -> bytes:
+        """``text`` may begin with the space that it was cut before."""
+        if any(map(text.__contains__, _ODD)) or "<|" in text or "\0" in text:
+            return self.whole(text)
         words = text.split()
-        if not text or len(words) != 1 + text.count(" ") + text.count("\n") or "<|" in text or "\0" in text:
-            return self.whole(text) if text else b""
+        # with no other white space: equal if and only if each space or line feed stands alone between words
+        if len(words) != (text[0] != " ") + text.count(" ") + text.count("\n"):
+            return self.whole(text)
         if not self.lower:
             words = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+            if text[0] == " ":
+                del words[0]
         return b"".join(map(self.__getitem__, words))
 
 

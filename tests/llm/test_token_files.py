@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from quality_lake.llm import tokens
 from quality_lake.llm.token_files import pack, read_token_files, token_files, unpack
 from quality_lake.llm.tokens import encode
 
