@@ -22,7 +22,7 @@ from .contract import Contract, bundled_contract
 from .plans.clean import ingest
 from .plans.integrate import integrate
 from .plans.warehouse import DATASETS, build_warehouse
-from .sources.tables import read_table
+from .sources.versions import read_table
 
 
 def _contract(arg: str) -> Contract:

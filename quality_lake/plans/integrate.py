@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from ..contract import ContractError
 from ..functions.timeops import hour_bucket
 from ..operators.enrich import JoinSpec, enrich, hourly_summary, restrict_to, row_count
-from ..sources.tables import DEFAULT_FORMAT, stage, write_table
+from ..sources.tables import DEFAULT_FORMAT, stage
+from ..sources.versions import save
 
 # Local zone of the trip clocks, context columns and the join chain.
 LOCAL_TIMEZONE = "America/New_York"
@@ -86,16 +87,21 @@ def integrate(tables: dict[str, DataFrame], target: str, joins=TAXI_JOINS, *,
     """Writes the integrated table; returns its rows, and per join the matches and how it was joined.
 
     Counts are taken where the rows are written; ``enrich`` has proved before that
-    they cannot differ from the trips', and the write is held against it.
+    they cannot differ from the trips', and the written rows are held against it
+    before the table is published.
     """
     specs, strategies = _specs(joins), {}
     watched = {j.prefix: F.count(F.col(f"{j.prefix}_{j.match_column}")).alias(j.prefix) for j in specs if j.match_column}
     seen = Observation(f"quality_lake_integrated_{uuid.uuid4().hex[:12]}")
     before = row_count(tables["taxi"])
-    write_table(build_integrated(tables, specs, tz, strategies=strategies).observe(seen, F.count(F.lit(1)).alias("rows"), *watched.values()),
-                target, fmt, "overwrite")
+
+    def same_rows(_: DataFrame) -> None:
+        if seen.get["rows"] != before:
+            raise ContractError(f"{target}: {before} trips became {seen.get['rows']} rows")
+
+    wide = build_integrated(tables, specs, tz, strategies=strategies)
+    save(wide.observe(seen, F.count(F.lit(1)).alias("rows"), *watched.values()), target, fmt, "overwrite",
+         audit=same_rows, rows=lambda _: seen.get["rows"])
     rows = seen.get["rows"]
-    if rows != before:
-        raise ContractError(f"{target}: {before} trips became {rows} rows")
     share = 100.0 / rows if rows else 0.0
     return {"rows": rows, **{p: {"matches": seen.get[p], "percent": share * seen.get[p], "join": strategies[p]} for p in watched}}

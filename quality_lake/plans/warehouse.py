@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..contract import Contract, bundled_contract
-from ..sources.tables import DEFAULT_FORMAT, read_table
+from ..sources.tables import DEFAULT_FORMAT
+from ..sources.versions import read_table
 from .clean import ingest
 from .integrate import TAXI_JOINS, integrate
 

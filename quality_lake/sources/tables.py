@@ -86,10 +86,6 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str =
     writer.save(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    return spark.read.format(fmt).load(path)
-
-
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared scratch folder and
     return a frame over it: cuts the lineage, survives executor loss, and later
