@@ -8,6 +8,7 @@ from .conform import (
     drop_unwanted,
     rename_columns,
 )
+from .dedup import count_copies, drop_copies
 from .derive import (
     BOROUGH_COUNTY,
     BOROUGH_STATE,
@@ -52,7 +53,7 @@ __all__ = [
     "BOROUGH_COUNTY", "BOROUGH_STATE", "JoinSpec", "add_generated_key", "apply_null_policy",
     "apply_rules", "apply_transforms", "assert_primary_key", "assert_unique_context_key",
     "avg_duration_by_day", "avg_finite_by", "broadcast_fits", "check_closed_schema",
-    "compare_results", "conform", "conform_rejects", "count_by", "diff_results", "drop_unwanted",
+    "compare_results", "conform", "conform_rejects", "count_by", "count_copies", "diff_results", "drop_copies", "drop_unwanted",
     "enrich", "explain_rejects", "flag_negative", "get_transform", "hourly_summary",
     "join_context", "key_stats", "key_violations", "label_column", "map_lookup", "match_rates",
     "observed_key_stats", "profile", "register_transform", "rename_columns", "restrict_to",
