@@ -92,10 +92,10 @@ def rename_columns(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*[_c(n).alias(mapping.get(n, n)) for n in df.columns])
 
 
-def apply_null_policy(df: DataFrame, contract: Contract) -> DataFrame:
+def apply_null_policy(df: DataFrame, contract: Contract, drop: bool = True) -> DataFrame:
     """Non-nullable columns: fill the contract default, or drop null rows.
 
-    Works on output names; all drops become one filter.
+    Works on output names; all drops become one filter (left out if not ``drop``).
     """
     fills, required = {}, []
     for spec in contract.columns:
@@ -108,7 +108,7 @@ def apply_null_policy(df: DataFrame, contract: Contract) -> DataFrame:
             required.append(name)
     if fills:
         df = df.select(*[fills[n].alias(n) if n in fills else _c(n) for n in df.columns])
-    if required:
+    if required and drop:
         df = df.filter(reduce(lambda a, b: a & b, [_c(n).isNotNull() for n in required]))
     return df
 

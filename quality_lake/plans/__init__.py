@@ -1,6 +1,17 @@
 """Composed jobs: clean/ingest a source, integrate trips, compare layouts."""
 
-from .clean import STAGES, IngestResult, clean, clean_frame, ingest, stage_rows
+from .clean import (
+    STAGES,
+    IngestResult,
+    clean,
+    clean_frame,
+    ingest,
+    ingest_frame,
+    read_rejects,
+    stage_rows,
+    tagged_frame,
+    written_counts,
+)
 from .integrate import (
     LOCAL_TIMEZONE,
     TAXI_JOINS,
@@ -29,7 +40,7 @@ from .layouts import (
 __all__ = [
     "DATASETS", "IngestResult", "LAYOUTS", "LOCAL_TIMEZONE", "REPORTS", "ReportColumns", "STAGES",
     "TAXI_JOINS", "WEATHER_COLUMNS", "ZONE_COLUMNS", "add_partition_columns", "build_integrated",
-    "build_warehouse", "clean", "clean_frame", "compare_layouts", "ingest", "integrate",
-    "layout_profile", "layout_report", "prepare_air_quality", "prepare_pickup_hour", "reconcile",
-    "reconcile_layouts", "stage_rows", "write_layout", "zone_boroughs",
+    "build_warehouse", "clean", "clean_frame", "compare_layouts", "ingest", "ingest_frame", "integrate",
+    "layout_profile", "layout_report", "prepare_air_quality", "prepare_pickup_hour", "read_rejects",
+    "reconcile", "reconcile_layouts", "stage_rows", "tagged_frame", "write_layout", "written_counts", "zone_boroughs",
 ]

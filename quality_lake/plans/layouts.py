@@ -1,9 +1,8 @@
 """Physical layouts of the cleaned trips and the reports compared across them.
 
-A layout is a list of partition columns.  ``write_layout`` range-partitions rows
-on the partition columns and the pickup time before a Hive-style partitioned
-write, so each task writes a bounded number of directories and a busy month is
-split over many tasks; the month layout lets a query that filters on
+A layout is a list of partition columns.  ``write_layout`` deals rows out to planned
+files before a Hive-style partitioned write: a task writes one file, and a busy month
+has many; the month layout lets a query that filters on
 ``pickup_year``/``pickup_month`` prune whole directories.
 
 ``compare_layouts`` is the whole comparison: prepare the trips once, profile
@@ -23,7 +22,9 @@ from ..contract import ContractError
 from ..functions.values import finite_or_null, normalize_label
 from ..operators.enrich import row_count
 from ..operators.report import avg_duration_by_day, diff_results, profile
-from ..sources.tables import DEFAULT_FORMAT, read_table, stage, write_table
+from ..sources.tables import DEFAULT_FORMAT, stage, write_table
+from ..sources.versions import read_table
+from .sizing import DEFAULT_TARGET_FILE_BYTES, planned_files
 
 # Layout names -> partition columns.
 LAYOUTS = {"unpartitioned": [], "pickup_month": ["pickup_year", "pickup_month"]}
@@ -35,13 +36,19 @@ def add_partition_columns(df: DataFrame, ts: str = "tpep_pickup_datetime",
               .withColumn(f"{prefix}_month", F.month(F.col(ts))))
 
 
-def write_layout(df: DataFrame, path: str, layout: str, *, fmt: str = DEFAULT_FORMAT,
-                 mode: str = "errorifexists", cluster_by=("tpep_pickup_datetime",), **options) -> None:
-    """Write one layout; rows are range-partitioned by (partition columns,
-    pickup time) so files are time-clustered and busy months use many tasks.
-    The number of write tasks follows the session (see ``plans.sizing``)."""
-    write_table(df, path, fmt, mode, partition_by=LAYOUTS[layout],
-                cluster_by=[c for c in cluster_by if c in df.columns], **options)
+def write_layout(df: DataFrame, path: str, layout, *, fmt: str = DEFAULT_FORMAT,
+                 mode: str = "errorifexists", cluster_by=("tpep_pickup_datetime",),
+                 target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES, **options) -> None:
+    """Write one layout (a name of ``LAYOUTS`` or its partition columns) as files of about
+    ``target_file_bytes`` of values, each with a range of the pickup time: a busy month has
+    many, a quiet one has one (``plans.sizing.planned_files``).  With ``repartition`` the
+    rows are range-partitioned into that many tasks instead."""
+    columns = LAYOUTS[layout] if isinstance(layout, str) else list(layout)
+    cluster_by = [c for c in cluster_by if c in df.columns]
+    if options.get("repartition"):
+        write_table(df, path, fmt, mode, partition_by=columns, cluster_by=cluster_by, **options)
+        return
+    write_table(planned_files(df, columns, cluster_by, target_file_bytes), path, fmt, mode, partition_by=columns, **options)
 
 
 def zone_boroughs(zones: DataFrame, key: str = "location_id", out_key: str = "pulocation_id",

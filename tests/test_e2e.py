@@ -18,7 +18,8 @@ from quality_lake.plans import (
     write_layout,
     zone_boroughs,
 )
-from quality_lake.sources import read_source
+from quality_lake.sources import current_version, read_source, read_table
+from quality_lake.sources.files import header_groups
 from tests.conftest import plan_text
 from tests.fixtures import write_air_quality, write_trips, write_weather, write_zones
 
@@ -40,12 +41,12 @@ def built(spark):
     for name, path in sources.items():
         c = bundled_contract(name)
         records[name] = ingest(spark, path, c, f"{root}/cleaned/{c.table_name}", runs_path=runs).record
-    cleaned = {k: spark.read.parquet(f"{root}/cleaned/{bundled_contract(v).table_name}")
+    cleaned = {k: read_table(spark, f"{root}/cleaned/{bundled_contract(v).table_name}")
                for k, v in [("taxi", "taxi_trips"), ("zones", "taxi_zone_lookup"),
                             ("weather", "weather"), ("air_quality", "air_quality")]}
     metrics = integrate(cleaned, f"{root}/integrated")
     return {"root": root, "records": records, "runs": runs, "cleaned": cleaned, "metrics": metrics,
-            "integrated": spark.read.parquet(f"{root}/integrated")}
+            "integrated": read_table(spark, f"{root}/integrated")}
 
 
 def test_run_records(spark, built):
@@ -143,16 +144,21 @@ def test_key_violation_fails_before_write(spark, tmp_dir):
     target = f"{tmp_dir}/weather"
     with pytest.raises(ContractError, match="does not identify rows"):
         ingest(spark, write_weather(f"{tmp_dir}/w.csv", conflict=True), c, target)
-    assert not os.path.exists(target)
+    assert current_version(spark, target) is None  # written, but never published
+    ingest(spark, write_weather(f"{tmp_dir}/w1.csv"), c, target)
+    with pytest.raises(ContractError, match="does not identify rows"):
+        ingest(spark, f"{tmp_dir}/w.csv", c, target)
+    assert current_version(spark, target).version == 1 and read_table(spark, target).count() == 6
 
 
-def test_staged_copy_released_after_publish(spark, tmp_dir):
+def test_the_audited_files_are_the_version(spark, tmp_dir):
     res = ingest(spark, write_weather(f"{tmp_dir}/w.csv"), bundled_contract("weather"), f"{tmp_dir}/t")
-    assert spark.read.parquet(res.staged_path).count() == 0
-    assert spark.read.parquet(f"{tmp_dir}/t").count() == 6
-    kept = ingest(spark, f"{tmp_dir}/w.csv", bundled_contract("weather"), f"{tmp_dir}/t2", keep_staged=True)
-    assert spark.read.parquet(kept.staged_path).count() == 6
-
+    assert res.staged_path.startswith(f"{tmp_dir}/t/data/") and res.version.version == 1
+    back = read_table(spark, f"{tmp_dir}/t")
+    assert back.count() == 6 and {f.rsplit("/", 2)[0].split(":")[-1].replace("///", "/") for f in back.inputFiles()} == {
+        res.staged_path.rsplit("/", 1)[0]}
+    again = ingest(spark, f"{tmp_dir}/w.csv", bundled_contract("weather"), f"{tmp_dir}/t")
+    assert again.version.version == 2 and read_table(spark, f"{tmp_dir}/t").count() == 6
 
 
 def test_ingest_sizes_shuffle_from_the_source_files(spark, tmp_dir):
@@ -178,10 +184,18 @@ def test_source_errors(spark, tmp_dir):
         read_source(spark, f"{tmp_dir}/nothing_*.csv", zones)
     os.makedirs(f"{tmp_dir}/multi")
     write_zones(f"{tmp_dir}/multi/a.csv")
-    with open(f"{tmp_dir}/multi/b.csv", "w") as h:  # same columns, other order
-        h.write('"Borough","LocationID","Zone","service_zone"\r\n"Queens",300,"X","Boro Zone"\r\n')
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        clean(spark, f"{tmp_dir}/multi/*.csv", zones).collect()
+    one = clean(spark, f"{tmp_dir}/multi/*.csv", zones).count()
+    with open(f"{tmp_dir}/multi/b [1].csv", "w") as h:  # same columns, other order, a name with pattern characters
+        h.write('"Borough","LocationID","Zone","service_zone"\r\n"Queens",300,"X, Y","Boro Zone"\r\n')
+    open(f"{tmp_dir}/multi/c.csv", "w").close()  # no line at all
+    mixed = clean(spark, f"{tmp_dir}/multi/*.csv", zones)
+    assert mixed.count() == one + 1
+    assert [(r.location_id, r.zone, r.borough, r.county_code) for r in mixed.filter("location_id = 300").collect()] == [(300, "X, Y", "Queens", "081")]
+    assert {len(files) for files in header_groups(spark, f"{tmp_dir}/multi/*.csv").values()} == {1}
+    with open(f"{tmp_dir}/multi/d.csv", "w") as h:  # another column
+        h.write('"Borough","LocationID","Zone","service"\r\n"Queens",301,"X","Boro Zone"\r\n')
+    with pytest.raises(ContractError, match="different headers"):
+        clean(spark, f"{tmp_dir}/multi/*.csv", zones)
     with open(f"{tmp_dir}/bad.csv", "w") as h:  # too many fields
         h.write('LocationID,Borough,Zone,service_zone\n1,Queens,A,B\n2,Queens,A,B,extra\n')
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
@@ -213,7 +227,7 @@ def test_build_warehouse_runs_everything(spark, tmp_dir):
     out = build_warehouse(spark, src, f"{tmp_dir}/wh")
     assert list(out["runs"]) == ["taxi", "air_quality", "weather", "zones"]
     assert out["integration"]["rows"] == 8
-    assert len(spark.read.parquet(f"{tmp_dir}/wh/integrated/integrated_taxi_trips").columns) == 39
+    assert len(read_table(spark, f"{tmp_dir}/wh/integrated/integrated_taxi_trips").columns) == 39
     # a failing source stops the run before integration
     bad = dict(src, weather=write_weather(f"{tmp_dir}/w2.csv", conflict=True))
     with pytest.raises(ContractError):
