@@ -2,11 +2,17 @@
 
 A context is broadcast only behind a check of its *measured* size: exact rows and
 bytes of the columns that the join uses.  Beyond the limits, or when asked, the
-join is a shuffle join with the same result: only facts whose key is complete
-take part in it, and facts with a null key, which can never match, are appended
-with null context columns, so they neither shuffle nor meet in one task.  AQE's
-skew handling splits a hot key.  Neither form reads a column that is not used
-after it, and nothing here collects data to the driver.
+join is a shuffle join with the same result, in which only those facts move that have to:
+
+* a fact with a null key, or with a key whose hash no context key has (a bounded
+  bitmap, see ``membership``), cannot match and keeps null context columns;
+* a key that holds ``heavy_share`` of the facts or more (a frequent-items sketch of bounded
+  size finds all of those) meets its context row by a broadcast of those rows
+  alone, at most ``1 / heavy_share`` keys;
+* the rest is sorted and merged.
+
+Neither form reads a column that is not used after it, and nothing here collects
+data to the driver but the heavy keys' hashes.
 """
 
 from __future__ import annotations
@@ -21,10 +27,14 @@ from pyspark.sql import types as T
 from ..contract import ContractError
 from ..functions.timeops import local_hour_bucket
 from ..sources.tables import stage
+from .dedup import _comparable
 from .keys import assert_unique_context_key
+from .membership import bitmap_words, with_membership
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+#: A key with this share of the facts is joined by broadcast; the sketch that finds them tracks so many items.
+HEAVY_SHARE, SKETCH_ITEMS = 0.01, 8192
 # A broadcast row costs its values, 8 bytes for each of them and a row header.
 _ROW_BYTES, _VALUE_BYTES = 24, 8
 
@@ -93,7 +103,8 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                  size_ok: bool | None = None, marker: bool = False,
-                 strategies: dict | None = None) -> DataFrame:
+                 strategies: dict | None = None, heavy_share: float | None = HEAVY_SHARE,
+                 member_filter: bool = True) -> DataFrame:
     """Left outer equi-join adding ``{prefix}_{column}`` for each context column.
 
     ``keys`` maps left key -> context key.  Null keys never match.  ``broadcast``
@@ -105,8 +116,10 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
     matched row's own columns are null.  ``strategies``, if given, receives
     ``prefix -> "broadcast"`` or ``"shuffle"``.
 
-    A shuffle join reads ``left`` twice, once for each kind of key; stage a
-    ``left`` that is expensive to make.
+    In a shuffle join, ``heavy_share`` (None: off) and ``member_filter`` keep facts
+    with heavy keys and facts without a match out of the shuffle (see above).  It reads
+    ``left`` twice, and its keys once more for the sketch; stage a ``left`` that is
+    expensive to make.
     """
     mapping = _key_map(keys)
     absent = sorted({*mapping} - {*left.columns}) + sorted({*mapping.values(), *columns} - {*right.columns})
@@ -133,13 +146,63 @@ def join_context(left: DataFrame, right: DataFrame, keys, columns, prefix: str,
     if use_broadcast:
         return left.join(F.broadcast(ctx), cond, "left").select(*shown)
     complete = reduce(lambda a, b: a & b, [_c(lk).isNotNull() for lk in mapping])
-    types = {f.name: f.dataType for f in ctx.schema.fields}
-    unmatched = left.filter(~complete).select(
-        *[_c(c) for c in left.columns], *[F.lit(None).cast(types[o]).alias(o) for o in out_names],
-        *([F.lit(False).alias(marker_name)] if marker else []))
     known = reduce(lambda a, b: a & b, [F.col(t).isNotNull() for t in tmp.values()])
-    matched = left.filter(complete).join(ctx.filter(known).hint("merge"), cond, "left").select(*shown)
-    return matched.unionByName(unmatched)
+    hashes = _key_hashes(left, ctx, tmp)
+    flag, rows, heavy, needs = f"__{prefix}_may_match", ctx.filter(known), [], []
+    mark = lambda df: df
+    if hashes is not None:
+        of_left, of_right = hashes
+        if heavy_share:
+            heavy = heavy_hashes(left.filter(complete), of_left, heavy_share)
+            needs += [~of_left.isin(heavy)] if heavy else []
+        if member_filter:
+            words = bitmap_words(rows.select(of_right.alias(flag)), flag)
+            mark = lambda df: with_membership(df, of_left, words, flag)
+            needs.append(_c(flag))
+    own_heavy = rows.filter(of_right.isin(heavy)) if heavy else None
+    if heavy and not broadcast_fits(own_heavy, max_broadcast_rows, max_broadcast_bytes):  # many rows share a heavy context key
+        return join_context(left, right, keys, columns, prefix, False, marker=marker, heavy_share=None, member_filter=member_filter)
+    needs_shuffle = F.coalesce(reduce(lambda a, b: a & b, needs), F.lit(False)) if needs else F.lit(True)
+    staying = mark(left).filter(~complete | ~needs_shuffle) if needs else left.filter(~complete)
+    moving = mark(left.filter(complete)).filter(needs_shuffle) if needs else left.filter(complete)
+    staying = staying.select(*[_c(c) for c in left.columns])
+    if heavy:
+        staying = staying.join(F.broadcast(own_heavy), cond, "left").select(*shown)
+        rows = rows.filter(~of_right.isin(heavy))
+    else:
+        types = {f.name: f.dataType for f in ctx.schema.fields}
+        staying = staying.select(*[_c(c) for c in left.columns], *[F.lit(None).cast(types[o]).alias(o) for o in out_names],
+                                 *([F.lit(False).alias(marker_name)] if marker else []))
+    return moving.join(rows.hint("merge"), cond, "left").select(*shown).unionByName(staying)
+
+
+def _key_hashes(left: DataFrame, ctx: DataFrame, tmp: dict[str, str]):
+    """Hashes of both sides' keys that are equal where the keys are; None where their
+    types differ in a way that leaves this open (the join itself converts them)."""
+    mine, theirs = ({f.name: f.dataType for f in d.schema.fields} for d in (left, ctx))
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    pairs: list[tuple] = []
+    for lk, name in tmp.items():
+        kinds = mine[lk], theirs[name]
+        if all(isinstance(k, integral) for k in kinds):
+            pairs.append((_c(lk).cast("long"), F.col(name).cast("long")))
+        elif kinds[0] == kinds[1] and kinds[0].simpleString() not in ("variant",) and not isinstance(kinds[0], T.MapType):
+            pairs.append((_comparable(_c(lk), kinds[0]), _comparable(F.col(name), kinds[1])))
+        else:
+            return None
+    return F.xxhash64(*[a for a, _ in pairs]), F.xxhash64(*[b for _, b in pairs])
+
+
+def heavy_hashes(df: DataFrame, hashed, share: float = HEAVY_SHARE, items: int = SKETCH_ITEMS) -> list[int]:
+    """The hashes that hold ``share`` of the rows or more, by one aggregate of bounded size.
+
+    The sketch never counts a frequent hash too low, so all of them are found; one just
+    below the share may be among them.
+    """
+    most = max(1, int(1 / share))
+    got = df.select(hashed.alias("h")).agg(F.expr(f"approx_top_k(h, {most}, {max(items, 4 * most)})").alias("top"),
+                                           F.count(F.lit(1)).alias("n")).first()
+    return sorted(t["item"] for t in got["top"] or [] if t["item"] is not None and t["count"] >= share * got["n"])
 
 
 @dataclass(frozen=True)

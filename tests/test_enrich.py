@@ -13,6 +13,7 @@ from quality_lake.operators import (
     match_rates,
     restrict_to,
 )
+from quality_lake.operators.enrich import heavy_hashes
 from tests.conftest import plan_text
 
 
@@ -41,12 +42,14 @@ def test_broadcast_and_shuffle_fallback_agree(spark, frames):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         s = join_context(facts, zones, {"zone": "location_id"}, ["zone", "borough"], "pickup",
-                         broadcast=False)
+                         broadcast=False, heavy_share=None, member_filter=False)
         plan = plan_text(s)
         assert "SortMergeJoin" in plan
         # facts without a key do not shuffle: they are appended
         assert "Union" in plan and re.search(r"Filter isnotnull\(zone#\d+\)", plan) and re.search(r"Filter isnull\(zone#\d+\)", plan)
         srows = _rows(s)
+        for options in ({}, {"heavy_share": None}, {"member_filter": False}, {"heavy_share": 0.5}, {"max_broadcast_rows": 0}):
+            assert srows == _rows(join_context(facts, zones, {"zone": "location_id"}, ["zone", "borough"], "pickup", broadcast=False, **options))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -184,7 +187,7 @@ def test_shuffle_fallback_splits_a_hot_key(spark, tmp_dir):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        j = join_context(facts, zones, {"zone": "location_id"}, ["zname"], "p", broadcast=False)
+        j = join_context(facts, zones, {"zone": "location_id"}, ["zname"], "p", broadcast=False, heavy_share=None)
         got = j.agg(F.count(F.lit(1)).alias("rows"), F.count("p_zname").alias("matched"),
                     F.count_if(F.col("p_zname") != F.concat(F.lit("Z"), F.col("zone"))).alias("wrong"))
         r = got.collect()[0]  # runs this frame's own plan, so its final form is inspectable
@@ -214,3 +217,63 @@ def test_profiles_of_several_contexts_in_one_job(spark, frames):
     # the empty projection keeps an aggregate's grouping: groups are counted, not input rows
     assert row_count(facts.select("zone").distinct()) == 6
     assert row_count(facts.groupBy("other").count()) == 3
+
+
+def test_a_heavy_key_is_broadcast_and_not_shuffled(spark, tmp_dir):
+    """A third of all facts on one key, AQE off: no task of the join gets over twice the median."""
+    n, i = 40_000, F.col("id")
+    spark.range(n, numPartitions=4).select(i, F.when(i % 3 == 0, F.lit(7)).otherwise((i * 7919) % 900).cast("int").alias("k")).write.parquet(f"{tmp_dir}/f")
+    spark.range(800).select(i.alias("k"), F.concat(F.lit("Z"), i).alias("name")).write.parquet(f"{tmp_dir}/c")  # int joins bigint
+    facts, ctx = spark.read.parquet(f"{tmp_dir}/f"), spark.read.parquet(f"{tmp_dir}/c")
+    assert len(heavy_hashes(facts, F.xxhash64(F.col("k").cast("long")))) == 1
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        def tasks(**options):
+            j = join_context(facts, ctx, {"k": "k"}, ["name"], "p", broadcast=False, **options)
+            per_task = {r["t"]: r["count"] for r in j.groupBy(F.spark_partition_id().alias("t")).count().collect()}
+            rows = j.agg(F.count(F.lit(1)), F.count("p_name"), F.count_if(F.col("p_name") != F.concat(F.lit("Z"), "k"))).first()
+            joined = sorted(per_task.get(t, 0) for t in range(16))  # the merge join's partitions come first in the union
+            return joined, tuple(rows)
+        hot, want = tasks(heavy_share=None)
+        even, got = tasks()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    median = lambda x: x[len(x) // 2]
+    assert got == want == (n, facts.filter("k < 800").count(), 0)
+    assert hot[-1] > 4 * median(hot) and even[-1] <= 2 * median(even) and sum(even) < 0.7 * n
+
+
+def test_facts_that_cannot_match_are_not_shuffled(spark, tmp_dir):
+    n, i = 20_000, F.col("id")
+    spark.range(n, numPartitions=4).select(i, F.when(i % 10 == 0, i % 700).otherwise(i + 10**7).alias("k"), (i % 3).cast("string").alias("s")).write.parquet(f"{tmp_dir}/f")
+    facts = spark.read.parquet(f"{tmp_dir}/f")
+    ctx = spark.range(700).select(i.alias("k"), (i % 3).cast("string").alias("s"), F.lit("x").alias("name"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for keys in ({"k": "k"}, {"k": "k", "s": "s"}):
+            j = join_context(facts, ctx, keys, ["name"], "p", broadcast=False, heavy_share=None, marker=True)
+            merged = [r["count"] for r in j.groupBy(F.spark_partition_id().alias("t")).count().orderBy("t").collect() if r["t"] < 8]
+            assert j.count() == n and sum(merged) <= 0.12 * n  # nine tenths stay where they were read
+            plain = join_context(facts, ctx, keys, ["name"], "p", broadcast=False, heavy_share=None, member_filter=False, marker=True)
+            assert _rows(j) == _rows(plain)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_keys_of_other_types_take_the_plain_way(spark):
+    facts = spark.createDataFrame([("1",), ("x",), (None,)], "k string")
+    ctx = spark.createDataFrame([(1, "one")], "k int, name string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = join_context(facts, ctx, {"k": "k"}, ["name"], "p", broadcast=False)
+        assert sorted(str(tuple(r)) for r in got.collect()) == ["('1', 'one')", "('x', None)", "(None, None)"]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    floats = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (None,)], "k double")
+    names = spark.createDataFrame([(-0.0, "zero"), (float("nan"), "nan")], "k double, name string")
+    for share in (None, 0.01):
+        got = join_context(floats, names, {"k": "k"}, ["name"], "p", broadcast=False, heavy_share=share)
+        assert sorted(str(r["p_name"]) for r in got.collect()) == ["None", "nan", "zero", "zero"]
