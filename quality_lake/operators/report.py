@@ -2,8 +2,9 @@
 
 All aggregates are hash aggregates with partial (map-side) aggregation, so a
 group holding a third of the rows is pre-combined in every task before the
-shuffle.  Result comparison is a distributed full outer join on the group keys;
-no result is collected to compare it.
+shuffle.  Results are compared by fingerprints of key buckets first, which leave
+only the buckets that differ to a distributed full outer join on the keys; no result
+is collected to compare it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions.timeops import duration_seconds
 from ..functions.values import finite_or_null, is_finite, normalize_label
+from .dedup import _comparable, row_digest
+
+#: Buckets of keys that are fingerprinted; so many rows at most come to the driver.
+BUCKETS = 4096
 
 
 def _c(name: str):
@@ -106,7 +111,60 @@ def compare_results(left: DataFrame, right: DataFrame, keys, rel_tol: float = 1e
                     matches.alias("matches"))
 
 
+def _bucket(df: DataFrame, keys, buckets: int):
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.pmod(F.xxhash64(*[_comparable(_c(k), kinds[k]) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def bucket_fingerprints(df: DataFrame, keys, buckets: int = BUCKETS, once: bool = False) -> DataFrame:
+    """Per bucket of keys: rows, and two sums over all rows of 64-bit hashes of the whole row, which
+    do not depend on any order; whether a value is a NaN (which agrees with nothing);
+    with ``once``, whether a key repeats.  One row per bucket, made by partial aggregation."""
+    keys = list(keys)
+    shown = df.select(*[_c(c) for c in sorted(df.columns)])
+    first, second = row_digest(shown.schema)
+    nans = [F.isnan(_c(f.name)) for f in shown.schema.fields if f.dataType.typeName() in ("double", "float") and f.name not in keys]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    own = [_comparable(_c(k), kinds[k]) for k in keys]
+    rows = shown.select(_bucket(df, keys, buckets).alias("bucket"), first.alias("a"), second.alias("b"),
+                        reduce(lambda x, y: x | y, [F.coalesce(n, F.lit(False)) for n in nans], F.lit(False)).alias("nan"),
+                        F.xxhash64(F.lit(1), *own).alias("key"), F.xxhash64(*reversed(own), F.lit(2)).alias("key2"))
+    wide = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    if once:  # a key that stands twice on one side of equal buckets stands twice on both
+        rows = rows.groupBy("bucket", "key", "key2").agg(F.count(F.lit(1)).alias("n"), wide("a").alias("a"), wide("b").alias("b"), F.bool_or("nan").alias("nan"))
+        return rows.groupBy("bucket").agg(F.sum("n").alias("n"), wide("a").alias("a"), wide("b").alias("b"),
+                                          F.bool_or("nan").alias("nan"), (F.max("n") > 1).alias("repeats"))
+    return rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), wide("a").alias("a"), wide("b").alias("b"), F.bool_or("nan").alias("nan"))
+
+
+def unequal_buckets(left: DataFrame, right: DataFrame, keys, buckets: int = BUCKETS) -> list[int]:
+    """The buckets whose rows are not proved to agree: ``buckets`` numbers at most.
+
+    Equal fingerprints mean equal rows, but for a chance of 2**-128 a bucket.  Floats
+    take part with their exact values, so a bucket that only differs within a
+    tolerance is listed too, as is one with a NaN or a repeated key.
+    """
+    a, b = bucket_fingerprints(left, keys, buckets, once=True).alias("a"), bucket_fingerprints(right, keys, buckets).alias("b")
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("n", "a", "b")]) & ~F.col("a.nan") & ~F.col("a.repeats")
+    differ = a.join(b, F.col("a.bucket") == F.col("b.bucket"), "full_outer").filter(~F.coalesce(same, F.lit(False)))
+    return sorted(r[0] for r in differ.select(F.coalesce("a.bucket", "b.bucket")).collect())
+
+
 def diff_results(left: DataFrame, right: DataFrame, keys, rel_tol: float = 1e-9,
-                 abs_tol: float = 1e-7) -> DataFrame:
-    """Keys on which two results differ (none when they agree)."""
-    return compare_results(left, right, keys, rel_tol, abs_tol).filter(~F.col("matches"))
+                 abs_tol: float = 1e-7, buckets: int = BUCKETS) -> DataFrame:
+    """Keys on which two results differ (none when they agree; see ``compare_results``).
+
+    Only rows of ``unequal_buckets`` meet in a join; results that are equal are
+    never joined.  Both sides are read twice.
+    """
+    keys = list(keys)
+    compared = compare_results(left, right, keys, rel_tol, abs_tol)
+    if [f.dataType for f in left.select(*sorted(left.columns)).schema] != [f.dataType for f in right.select(*sorted(right.columns)).schema]:
+        return compared.filter(~F.col("matches"))  # other types hash differently where values agree
+    differing = unequal_buckets(left, right, keys, buckets)
+    if not differing:
+        return compared.limit(0)
+    if len(differing) < buckets:
+        inside = [d.filter(_bucket(d, keys, buckets).isin(differing)) for d in (left, right)]
+        compared = compare_results(*inside, keys, rel_tol, abs_tol)
+    return compared.filter(~F.col("matches"))
