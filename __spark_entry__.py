@@ -11,9 +11,11 @@ Float means are rounded to 6 digits on both sides.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quality_lake.contract import Contract  # noqa: E402
+from quality_lake.contract import Contract, ContractError  # noqa: E402
 from quality_lake.functions import hour_bucket, local_hour_bucket  # noqa: E402
 from quality_lake.operators import (  # noqa: E402
     JoinSpec,
@@ -31,6 +33,7 @@ from quality_lake.operators import (  # noqa: E402
     assert_primary_key,
     avg_duration_by_day,
     conform,
+    drop_copies,
     enrich,
     explain_rejects,
     flag_negative,
@@ -47,44 +50,39 @@ from quality_lake.operators import (  # noqa: E402
     timestamp_from_parts,
     timestamps_from_pairs,
 )
-from quality_lake.operators.report import compare_results, count_by, sorted_result  # noqa: E402
+from quality_lake.operators.report import compare_results, count_by, diff_results, sorted_result  # noqa: E402
 from quality_lake.plans import (  # noqa: E402
     add_partition_columns,
     ReportColumns,
     clean_frame,
     ingest,
+    ingest_frame,
     layout_report,
+    read_rejects,
     reconcile,
     stage_rows,
+    write_layout,
     zone_boroughs,
 )
 from quality_lake.sources import (  # noqa: E402
     file_stats,
     files_under,
     literal_frame,
+    publish,
     read_source,
     read_table,
     scratch_path,
     stage,
+    storage_stats,
+    table_versions,
     write_table,
 )
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
-_SCANS: dict[str, DataFrame] = {}
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a scan, defined once per session and path and then
-    reused the way a catalog table is: Parquet schema inference is a Spark job
-    of its own, which a query should not pay on every run.  Only the scan's
-    definition (schema, file listing) is kept; no data is cached."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = _SCANS.get(path)
-    if df is None or df.sparkSession is not spark:
-        df = _SCANS[path] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _k(col: str, m: int):
@@ -93,6 +91,7 @@ def _k(col: str, m: int):
 
 
 NAN, INF = float("nan"), float("inf")
+STAGE_COUNTS = T.StructType([T.StructField("stage", T.StringType()), T.StructField("rows", T.LongType())])
 
 
 # ------------------------------------------------------------------ contracts
@@ -120,6 +119,15 @@ ORDERS_STATUS_CONTRACT = Contract.from_dict({
         {"name": "o_orderpriority", "type": "string"},
     ]})
 
+QUARANTINE_CONTRACT = Contract.from_dict({
+    "table_name": "orders", "format": "csv", "primary_key": ["o_orderkey"], "columns": [
+        {"name": "o_orderkey", "type": "long", "nullable": False},
+        {"name": "o_custkey", "type": "long"},
+        {"name": "o_totalprice", "type": "double"},
+        {"name": "o_orderpriority", "type": "string", "nullable": False},
+    ],
+    "quality_rules": [{"rule": "not_null", "column": "o_totalprice"}, {"rule": "minimum", "column": "o_totalprice", "value": 0}]})
+
 SUPPLIER_DEFAULT_CONTRACT = Contract.from_dict({
     "table_name": "supplier", "format": "parquet", "columns": [
         {"name": "s_suppkey", "type": "long", "nullable": False},
@@ -281,7 +289,7 @@ def q_dedup_exact(spark, d):
     li = _t(spark, d, "lineitem")
     copies = li.filter(_k("l_orderkey", 10))
     near = li.filter(_k("l_orderkey", 15)).withColumn("l_quantity", F.col("l_quantity") + 1)
-    return li.unionByName(copies).unionByName(near).dropDuplicates()
+    return drop_copies(li.unionByName(copies).unionByName(near))
 
 
 def q_generated_key(spark, d):
@@ -463,11 +471,13 @@ def q_profile(spark, d):
     return profile(df, "order_o_orderdate", "l_shipdate", "l_extendedprice")
 
 
+ORDER_LAYOUTS = {"unpartitioned": [], "order_month": ["order_year", "order_month"]}
+
+
 def _orders_layout(spark, d, layout):
     o = add_partition_columns(_t(spark, d, "orders"), "o_orderdate", "order")
     path = scratch_path(spark, f"orders-{layout}")
-    layouts = {"unpartitioned": [], "order_month": ["order_year", "order_month"]}
-    write_table(o, path, "parquet", "errorifexists", partition_by=layouts[layout], cluster_by=["o_orderdate"])
+    write_layout(o, path, ORDER_LAYOUTS[layout], cluster_by=["o_orderdate"])
     return path
 
 
@@ -486,8 +496,135 @@ def q_file_stats(spark, d):
     # one row per month directory, from a listing
     files = files_under(spark, _orders_layout(spark, d, "order_month"))
     part = lambda name: F.regexp_extract("file_path", rf"/{name}=(\d+)/", 1).cast("int").alias(name)
+    # a month far below the target size is one planned file, whatever the session's partitions
     return file_stats(files, [part("order_year"), part("order_month")]).select(
-        "order_year", "order_month", (F.col("data_files") > 0).alias("has_files"), (F.col("data_bytes") > 0).alias("has_bytes"))
+        "order_year", "order_month", "data_files", (F.col("data_bytes") > 0).alias("has_bytes"))
+
+
+def _published_orders(spark, d):
+    """Four versions and a write that its audit refuses: an overwrite, another, an append, another overwrite."""
+    path = scratch_path(spark, "orders-published")
+    o = _t(spark, d, "orders")
+
+    def refuse(rows):
+        raise ContractError(f"{rows.count()} rows refused")
+
+    publish(o.filter(_k("o_orderkey", 2)), path, repartition=4)
+    publish(o, path, repartition=3)
+    publish(o.filter(_k("o_orderkey", 5)), path, "append", repartition=2)
+    with contextlib.suppress(ContractError):
+        publish(o.filter(_k("o_orderkey", 7)), path, repartition=5, audit=refuse)
+    return path
+
+
+def q_publish_versions(spark, d):
+    # every version read back beside what the manifest says of it
+    path = _published_orders(spark, d)
+    read = reduce(DataFrame.unionByName, [
+        read_table(spark, path, version=v).agg(F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("rows_read"),
+                                              F.sum("o_orderkey").alias("key_sum")) for v in (1, 2, 3)])
+    return table_versions(spark, path).join(read, "version").select(
+        "version", "mode", "rows", "rows_read", "key_sum", "data_files", "active")
+
+
+def q_storage_stats(spark, d):
+    # superseded and refused writes are in the total only
+    s = storage_stats(spark, _published_orders(spark, d))
+    return s.select("version", "active_files", "total_files", "missing_files",
+                    ((F.col("active_bytes") > 0) & (F.col("active_bytes") < F.col("total_bytes"))).alias("active_bytes_below_total"))
+
+
+def _orders_quarantined(spark, d):
+    """Orders as text with values that cannot be cast, lack a required value or break a rule, and copies, ingested."""
+    o = _as_text(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"))
+    o = o.unionByName(o.filter(_k("o_orderkey", 10)))
+    key = F.col("o_orderkey").cast("long")
+    price = (F.when(key % 7 == 0, F.lit("n/a")).when(key % 11 == 0, F.concat(F.lit("-"), F.col("o_totalprice")))
+             .when(key % 13 == 0, F.lit(" ")).otherwise(F.col("o_totalprice")))
+    faulty = o.select("o_orderkey", "o_custkey", price.alias("o_totalprice"),
+                      F.when(key % 17 == 0, F.lit("  ")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+    path = scratch_path(spark, "orders-quarantined")
+    return path, ingest_frame(faulty, QUARANTINE_CONTRACT, path, stage_counts=True)
+
+
+def q_quarantine_orders(spark, d):
+    path, _ = _orders_quarantined(spark, d)
+    return read_rejects(spark, path).select(F.get_json_object("raw", "$.o_orderkey").cast("long").alias("o_orderkey"), "rejected_at",
+                                            F.array_join("causes", ",").alias("causes"), "copies")
+
+
+def q_quarantine_accepted(spark, d):
+    path, _ = _orders_quarantined(spark, d)
+    return read_table(spark, path)
+
+
+def q_exact_stage_counts(spark, d):
+    _, res = _orders_quarantined(spark, d)
+    return literal_frame(spark, list(res.stage_rows.items()), STAGE_COUNTS)
+
+
+def q_context_join_hot(spark, d):
+    # a third of all facts on one key: its context row is broadcast, the other keys shuffle
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(_k("l_orderkey", 3), F.lit(1)).otherwise(F.col("l_suppkey")).alias("l_suppkey"))
+    return join_context(li, _t(spark, d, "supplier"), {"l_suppkey": "s_suppkey"}, ["s_name", "s_nationkey"], "by", broadcast=False)
+
+
+def q_context_join_sparse(spark, d):
+    # nine tenths of the facts have no context row: they stay where they were read
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(
+        ~_k("l_orderkey", 10), F.col("l_partkey") + 100_000_000).otherwise(F.col("l_partkey")).alias("l_partkey"))
+    return join_context(li, _t(spark, d, "part"), {"l_partkey": "p_partkey"}, ["p_name", "p_brand"], "of", broadcast=False, marker=True)
+
+
+def q_csv_mixed_headers(spark, d):
+    # three CSV files with their columns in different orders, read by one path
+    path = scratch_path(spark, "customer-mixed")
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    c = _t(spark, d, "customer").select(columns)
+    for k, order in enumerate((columns, columns[::-1], columns[2:] + columns[:2])):
+        write_table(c.filter(F.col("c_custkey") % 3 == k).select(order), f"{path}/{k}", "csv", "errorifexists", options={"header": "true"})
+    return conform(read_source(spark, f"{path}/*", CUSTOMER_TEXT_CONTRACT), CUSTOMER_TEXT_CONTRACT)
+
+
+def _error_row(call):
+    """What a call that must fail says, as a row."""
+    try:
+        call()
+    except (ContractError, FileNotFoundError) as e:
+        return type(e).__name__, str(e)
+    return "none", ""
+
+
+ERROR = T.StructType([T.StructField(n, T.StringType()) for n in ("what", "error", "said")])
+
+
+def q_contract_errors(spark, d):
+    # a source format that is not supported, a key without columns, a key that is no column, a path without files
+    raw = {"table_name": "nation", "format": "parquet", "columns": [{"name": "n_nationkey", "type": "int"}, {"name": "n_name", "type": "string"},
+                                                                   {"name": "n_regionkey", "type": "int"}]}
+    n = _t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    cases = {
+        "format": lambda: Contract.from_dict({**raw, "format": "orc"}),
+        "empty key": lambda: ingest_frame(n, Contract.from_dict({**raw, "primary_key": []}), scratch_path(spark, "n1")),
+        "absent key": lambda: ingest_frame(n, Contract.from_dict({**raw, "primary_key": ["n_nothing"]}), scratch_path(spark, "n2")),
+        "no files": lambda: read_source(spark, f"{d}/absent_*.parquet", "parquet"),
+    }
+    return literal_frame(spark, [(k, _error_row(f)[0], "") for k, f in cases.items()], ERROR).drop("said")
+
+
+def q_violation_examples(spark, d):
+    # the message of a failed key audit shows examples of the violating groups: here all of them
+    n = _t(spark, d, "nation").select("n_regionkey", "n_name")
+    error, said = _error_row(lambda: assert_primary_key(n, ["n_regionkey"], "nation", examples=100))
+    shown = F.explode(F.split(F.lit(said), "\n"))
+    return (spark.range(1).select(shown.alias("line")).filter(F.col("line").contains("for example"))
+            .select(F.regexp_extract("line", r"'n_regionkey': (\d+)", 1).cast("int").alias("n_regionkey"),
+                    F.regexp_extract("line", r"'key_count': (\d+)", 1).cast("long").alias("key_count"), F.lit(error).alias("error")))
+
+
+def q_result_diff_buckets(spark, d):
+    left, right = _float_sides(spark, d)
+    return diff_results(left, right, ["p_partkey"]).select("p_partkey")
 
 
 def q_result_diff(spark, d):
@@ -497,7 +634,7 @@ def q_result_diff(spark, d):
     return compare_results(a, b, ["nation"])
 
 
-def q_result_diff_float(spark, d):
+def _float_sides(spark, d):
     # the sides really differ: within and beyond the tolerance, NaN, infinities, nulls, missing and repeated keys
     p = _t(spark, d, "part").select("p_partkey", "p_retailprice")
     price = F.col("p_retailprice")
@@ -505,7 +642,11 @@ def q_result_diff_float(spark, d):
                                                      .when(_k("p_partkey", 17), F.lit(None)).otherwise(price))
     right = p.withColumn("p_retailprice", F.when(_k("p_partkey", 22), F.lit(NAN)).when(_k("p_partkey", 26), F.lit(-INF)).when(_k("p_partkey", 13), F.lit(INF))
                          .when(_k("p_partkey", 34), F.lit(None)).when(_k("p_partkey", 7), price + 1e-8).when(_k("p_partkey", 5), price + 0.01).otherwise(price))
-    right = right.unionByName(right.filter(_k("p_partkey", 31)))
+    return left, right.unionByName(right.filter(_k("p_partkey", 31)))
+
+
+def q_result_diff_float(spark, d):
+    left, right = _float_sides(spark, d)
     return compare_results(left, right, ["p_partkey"]).select("p_partkey", "matches")
 
 
@@ -578,9 +719,7 @@ def q_stage_counts(spark, d):
     stages: dict = {}
     clean_frame(_orders_faults(spark, d), ORDERS_CONTRACT, stage_counts=stages) \
         .write.format("noop").mode("overwrite").save()
-    return literal_frame(spark, [(k, int(v)) for k, v in stage_rows(stages).items()],
-                         T.StructType([T.StructField("stage", T.StringType()),
-                                       T.StructField("rows", T.LongType())]))
+    return literal_frame(spark, [(k, int(v)) for k, v in stage_rows(stages).items()], STAGE_COUNTS)
 
 
 def q_run_records(spark, d):
@@ -645,6 +784,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_orders": q_ingest_orders,
     "stage_counts": q_stage_counts,
     "run_records": q_run_records,
+    "publish_versions": q_publish_versions,
+    "storage_stats": q_storage_stats,
+    "quarantine_orders": q_quarantine_orders,
+    "quarantine_accepted": q_quarantine_accepted,
+    "exact_stage_counts": q_exact_stage_counts,
+    "context_join_hot": q_context_join_hot,
+    "context_join_sparse": q_context_join_sparse,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "contract_errors": q_contract_errors,
+    "violation_examples": q_violation_examples,
+    "result_diff_buckets": q_result_diff_buckets,
 }
 
 
@@ -737,6 +887,22 @@ def _json_ts(c: str) -> str:
     return _JSON_TS.format(c=c)
 
 
+_FLOAT_DIFF = """
+WITH v AS (
+  SELECT p_partkey AS k, p_retailprice AS p FROM part),
+s AS (
+  SELECT k,
+    CASE WHEN k % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 13 = 0 THEN CAST('inf' AS DOUBLE) WHEN k % 17 = 0 THEN NULL ELSE p END AS l,
+    CASE WHEN k % 22 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 26 = 0 THEN CAST('-inf' AS DOUBLE) WHEN k % 13 = 0 THEN CAST('inf' AS DOUBLE)
+         WHEN k % 34 = 0 THEN NULL WHEN k % 7 = 0 THEN p + 1e-8 WHEN k % 5 = 0 THEN p + 0.01 ELSE p END AS r
+  FROM v)
+SELECT k AS p_partkey, CASE WHEN k % 29 = 0 OR k % 31 = 0 THEN FALSE
+    WHEN l IS NULL OR r IS NULL THEN l IS NULL AND r IS NULL
+    WHEN isnan(l) OR isnan(r) THEN FALSE
+    WHEN isinf(l) OR isinf(r) THEN l = r
+    ELSE abs(l - r) <= greatest(1e-9 * greatest(abs(l), abs(r)), 1e-7) END AS matches
+FROM s"""
+
 _SQL: dict[str, str] = {
     "conform_customer": """
 SELECT c_custkey AS customer_key, c_name AS customer_name, CAST(c_nationkey AS BIGINT) AS nation_key,
@@ -929,27 +1095,14 @@ WITH r AS (
   SELECT {_LABEL} AS nation, count(*) AS order_count
   FROM orders o LEFT JOIN ({_NATION_LABELS}) l USING (o_custkey) GROUP BY 1)
 SELECT nation, order_count AS left_order_count, order_count AS right_order_count, TRUE AS matches FROM r""",
-    "result_diff_float": """
-WITH v AS (
-  SELECT p_partkey AS k, p_retailprice AS p FROM part),
-s AS (
-  SELECT k,
-    CASE WHEN k % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 13 = 0 THEN CAST('inf' AS DOUBLE) WHEN k % 17 = 0 THEN NULL ELSE p END AS l,
-    CASE WHEN k % 22 = 0 THEN CAST('NaN' AS DOUBLE) WHEN k % 26 = 0 THEN CAST('-inf' AS DOUBLE) WHEN k % 13 = 0 THEN CAST('inf' AS DOUBLE)
-         WHEN k % 34 = 0 THEN NULL WHEN k % 7 = 0 THEN p + 1e-8 WHEN k % 5 = 0 THEN p + 0.01 ELSE p END AS r
-  FROM v)
-SELECT k AS p_partkey, CASE WHEN k % 29 = 0 OR k % 31 = 0 THEN FALSE
-    WHEN l IS NULL OR r IS NULL THEN l IS NULL AND r IS NULL
-    WHEN isnan(l) OR isnan(r) THEN FALSE
-    WHEN isinf(l) OR isinf(r) THEN l = r
-    ELSE abs(l - r) <= greatest(1e-9 * greatest(abs(l), abs(r)), 1e-7) END AS matches
-FROM s""",
+    "result_diff_float": _FLOAT_DIFF,
+    "result_diff_buckets": f"SELECT p_partkey FROM ({_FLOAT_DIFF}) d WHERE NOT matches",
     "layout_reconcile": """
 SELECT 'unpartitioned' AS layout, count(*) AS row_count FROM orders
 UNION ALL SELECT 'order_month', count(*) FROM orders""",
     "file_stats": """
 SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(month(o_orderdate) AS INTEGER) AS order_month,
-  TRUE AS has_files, TRUE AS has_bytes
+  1 AS data_files, TRUE AS has_bytes
 FROM orders""",
     "context_join_shuffle": """
 SELECT o.o_orderkey, o.o_custkey, c.c_name AS buyer_c_name, c.c_nationkey AS buyer_c_nationkey, c.c_custkey IS NOT NULL AS buyer_matched
@@ -974,6 +1127,57 @@ SELECT event_id, date_trunc('hour', ts) AS hour,
   date_trunc('hour', ts - CASE WHEN ts >= TIMESTAMP '2024-03-10 07:00:00' AND ts < TIMESTAMP '2024-11-03 06:00:00'
                                THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END) AS local_hour
 FROM m""",
+    "publish_versions": """
+WITH v(version, mode, files) AS (VALUES (1, 'overwrite', 4), (2, 'overwrite', 3), (3, 'append', 5)),
+r AS (
+  SELECT 1 AS version, o_orderkey FROM orders WHERE o_orderkey % 2 = 0
+  UNION ALL SELECT 2, o_orderkey FROM orders
+  UNION ALL SELECT 3, o_orderkey FROM orders
+  UNION ALL SELECT 3, o_orderkey FROM orders WHERE o_orderkey % 5 = 0)
+SELECT version, mode, count(*) AS rows, count(*) AS rows_read, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+       files AS data_files, version = 3 AS active
+FROM r JOIN v USING (version) GROUP BY version, mode, files""",
+    "storage_stats": """
+SELECT 3 AS version, 5 AS active_files, 14 AS total_files, 0 AS missing_files, count(*) > 0 AS active_bytes_below_total FROM orders""",
+    "quarantine_orders": """
+WITH f AS (
+  SELECT o_orderkey AS k, o_orderkey % 10 = 0 AS twice,
+    CASE WHEN o_orderkey % 7 = 0 THEN 'conformed' WHEN o_orderkey % 17 = 0 THEN 'null_policy'
+         WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN 'rules' END AS st
+  FROM orders)
+SELECT k AS o_orderkey, st AS rejected_at,
+  CASE st WHEN 'conformed' THEN 'o_totalprice' WHEN 'null_policy' THEN 'o_orderpriority'
+       ELSE CASE WHEN k % 11 = 0 THEN 'minimum:o_totalprice' ELSE 'not_null:o_totalprice' END END AS causes,
+  CASE WHEN twice THEN 2 ELSE 1 END AS copies
+FROM f WHERE st IS NOT NULL""",
+    "quarantine_accepted": """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+WHERE o_orderkey % 7 <> 0 AND o_orderkey % 17 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""",
+    "exact_stage_counts": """
+WITH f AS (
+  SELECT o_orderkey % 7 = 0 AS bad, o_orderkey % 17 = 0 AS lacks, o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 AS broken,
+         CASE WHEN o_orderkey % 10 = 0 THEN 2 ELSE 1 END AS n FROM orders)
+SELECT 'input' AS stage, CAST(sum(n) AS BIGINT) AS rows FROM f
+UNION ALL SELECT 'conformed', CAST(sum(n) AS BIGINT) FROM f WHERE NOT bad
+UNION ALL SELECT 'null_policy', CAST(sum(n) AS BIGINT) FROM f WHERE NOT bad AND NOT lacks
+UNION ALL SELECT 'transforms', CAST(sum(n) AS BIGINT) FROM f WHERE NOT bad AND NOT lacks
+UNION ALL SELECT 'rules', CAST(sum(n) AS BIGINT) FROM f WHERE NOT bad AND NOT lacks AND NOT broken
+UNION ALL SELECT 'deduplicated', count(*) FROM f WHERE NOT bad AND NOT lacks AND NOT broken""",
+    "context_join_hot": """
+SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, s.s_name AS by_s_name, s.s_nationkey AS by_s_nationkey
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS l_suppkey FROM lineitem) l
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
+    "context_join_sparse": """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name AS of_p_name, p.p_brand AS of_p_brand, p.p_partkey IS NOT NULL AS of_matched
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 <> 0 THEN l_partkey + 100000000 ELSE l_partkey END AS l_partkey FROM lineitem) l
+LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
+    "csv_mixed_headers": """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer""",
+    "contract_errors": """
+SELECT * FROM (VALUES ('format', 'ContractError'), ('empty key', 'ContractError'), ('absent key', 'ContractError'),
+                      ('no files', 'FileNotFoundError')) t(what, error)""",
+    "violation_examples": """
+SELECT n_regionkey, count(*) AS key_count, 'ContractError' AS error FROM nation GROUP BY 1 HAVING count(*) > 1""",
     "stage_counts": f"""
 WITH f AS ({_ORDERS_FAULTS}),
 r AS (SELECT * FROM f WHERE o_orderdate IS NOT NULL AND NOT COALESCE(isnan(o_totalprice) OR isinf(o_totalprice), FALSE))
