@@ -37,6 +37,8 @@ from quality_lake.sources import scratch_path
 from .common import bounds_by_range, offset_column, slices, text_or_empty
 from .tokens import encode
 
+#: Ids below this are counted by place, others by sorting.
+MOST_COUNTED = 1 << 20
 #: Ids in a block, beyond which the next document begins another one.
 BLOCK_IDS = 1 << 20
 FILE_SCHEMA = ("part int, block int, ahead bigint, doc_ids array<bigint>, lengths array<bigint>, "
@@ -50,10 +52,18 @@ _LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """``(ranked, control, data)`` of a block's ids."""
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < MOST_COUNTED:
+        every = np.bincount(ids)
+        values = np.flatnonzero(every)
+        counts, inverse = every[values], ids
+        rank_of = np.empty(len(every), np.uint32)
+        names = values
+    else:
+        values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        rank_of = np.empty(len(values), np.uint32)
+        names = np.arange(len(values))
     order = np.argsort(-counts, kind="stable")  # ties: the smaller id first
-    rank_of = np.empty(len(values), np.uint32)
-    rank_of[order] = np.arange(len(values), dtype=np.uint32)
+    rank_of[names[order]] = np.arange(len(values), dtype=np.uint32)
     ranks = rank_of[inverse]
     lengths = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
