@@ -12,6 +12,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -135,12 +136,27 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tu
     return words, counts
 
 
-def bloat_free(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that extra columns with clashing names never meet an operator's own."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
-
-
 ROW = "_row_number_"
+# The columns that operators add to the documents' own on their way, in lower case.
+OWN_NAMES = frozenset({ROW, "_file_number_", "_file_path_", "_own_path_", "_own_place_", "_runs_", "_later_", "_chunks_", "_first_", "pass"})
+
+
+def free_names(operator):
+    """Lets an operator of documents work whatever their other columns are called: a column
+    with one of ``OWN_NAMES`` has another name meanwhile."""
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options):
+        taken = [c for c in docs.columns if c.lower() in OWN_NAMES]
+        if not taken:
+            return operator(docs, *args, **options)
+        names, free = {}, {c.lower() for c in docs.columns}
+        for c in taken:
+            names[c] = next(n for n in (f"documents_{c}_{k}" for k in range(len(free) + 1)) if n.lower() not in free)
+            free.add(names[c].lower())
+        out = operator(docs.withColumnsRenamed(names), *args, **options)
+        return out.withColumnsRenamed({n: c for c, n in names.items() if n in out.columns})
+    return run
+
 
 
 def numbered(docs: DataFrame) -> DataFrame:

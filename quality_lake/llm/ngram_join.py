@@ -7,7 +7,7 @@ any one way; linked sets then share a shingle among the first
 ``n - ceil(0.8 n) + 1`` of each.  Here this must hold under several orders at once.
 
 1. *Classes.*  Texts of equal sets (128-bit digest) are one class from here on.
-2. *First filter.*  From every class the 30 % of shingles with the smallest hash go
+2. *First filter.*  The texts are read again, and from every class the 30 % of shingles with the smallest hash go
    to an aggregation that finds those no other class has.  A set in which more than
    ``n - ceil(0.8 n)`` shingles are its own cannot link to anything: it is done.
    That is the prefix filter under the order "rarest first", on a part of the
@@ -44,12 +44,14 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, as_files, mix64, placed, rows_of, slices, text_or_empty, utf8, word_hashes
+from .common import ROW, as_files, free_names, mix64, placed, rows_of, slices, text_or_empty, utf8, word_hashes
 from .components import components
 
 WORDS, PERCENT, ORDERS = 5, 80, 3
 #: Share of the hash range that the first filter looks at.
 LOOK = 0.3
+#: Digests that a task remembers, to describe a copy without its shingles.
+SEEN = 1 << 16
 #: Shingles in a block of a group, and in a task.
 BLOCK_SHINGLES = 1 << 20
 BITMAP_BITS = (1 << 16, 1 << 27)
@@ -101,37 +103,57 @@ def _sets_of(batches):
             yield piece, shingle_sets(*utf8(piece.column("text")))
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """``(ROW, doc_id, k1, k2, n, look)``: every row's set by digest and size, and the part the first filter looks at."""
-    limit = np.uint64(int(LOOK * 2**64))
+def _seen_before(key: tuple[int, int], seen: set[tuple[int, int]]) -> bool:
+    """Whether a set was met in this task; of bounded memory, so a copy may be taken for new and move once more."""
+    if key in seen:
+        return True
+    if len(seen) >= SEEN:
+        seen.clear()
+    seen.add(key)
+    return False
+
 
+def described(docs: DataFrame) -> DataFrame:
+    """``(ROW, doc_id, k1, k2, n)``: every row's set by digest and size."""
     def run(batches):
-        seen: set[tuple[int, int]] = set()  # a copy within the task describes its set without the shingles
         for piece, sets in _sets_of(batches):
             keys = [digest(s) for s in sets]
-            looks = []
-            for key, s in zip(keys, sets):
-                looks.append(None if key in seen else s[:np.searchsorted(s, limit)].view(np.int64))
-                seen.add(key)
             yield pa.RecordBatch.from_arrays([
                 piece.column(ROW), piece.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()), pa.array(looks, pa.list_(pa.int64()))],
-                names=[ROW, "doc_id", "k1", "k2", "n", "look"])
+                pa.array([len(s) for s in sets], pa.int64())], names=[ROW, "doc_id", "k1", "k2", "n"])
 
     return placed(docs).select(ROW, F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(
-        run, f"{ROW} bigint, doc_id bigint, k1 bigint, k2 bigint, n bigint, look array<bigint>")
+        run, f"{ROW} bigint, doc_id bigint, k1 bigint, k2 bigint, n bigint")
+
+
+def looked_at(docs: DataFrame) -> DataFrame:
+    """``(k1, tokens)``: of every class, the part of its set that the first filter looks at.
+    Made anew from the texts and shuffled once: written down, it would take more disk than the texts' scan takes time."""
+    limit = np.uint64(int(LOOK * 2**64))
+
+    def run(batches):
+        seen: set[tuple[int, int]] = set()
+        for _, sets in _sets_of(batches):
+            k1s, tokens = [], []
+            for s in sets:
+                key = digest(s)
+                if len(s) and not _seen_before(key, seen):
+                    k1s.append(key[0])
+                    tokens.append(s[:np.searchsorted(s, limit)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(k1s, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["k1", "tokens"])
+
+    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "k1 bigint, tokens array<bigint>")
 
 
-def possible(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+def possible(docs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(cid, k1, k2, n)`` of the classes that the first filter leaves, numbered."""
-    looked = rows.filter("look IS NOT NULL AND n > 0")
-    owners = looked.select("k1", F.explode("look").alias("token")).groupBy("token").agg(F.min("k1").alias("k1"), F.max("k1").alias("last"))
+    owners = looked_at(docs).select("k1", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("k1").alias("k1"), F.max("k1").alias("last"))
     # a class's shingles lie in every partition: fewer, larger tasks add up more of them before the shuffle
     context = rows.sparkSession
     tasks = max(context.sparkContext.defaultParallelism, int(context.conf.get("spark.sql.shuffle.partitions")) // 8)
     own = owners.filter("k1 = last").select("k1").coalesce(tasks).groupBy("k1").agg(F.count(F.lit(1)).alias("own"))
     spare = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100))
-    left = looked.select("k1", "k2", "n").distinct().join(own, "k1", "left").filter(F.coalesce("own", F.lit(0)) <= spare)
+    left = rows.filter("n > 0").select("k1", "k2", "n").distinct().join(own, "k1", "left").filter(F.coalesce("own", F.lit(0)) <= spare)
     return stage(left.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "n"), "possible-classes")
 
 
@@ -161,8 +183,7 @@ def sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
             for s in sets:
                 k1, k2 = digest(s)
                 hit = all(int(on[k % bits // 64]) >> (k % bits % 64) & 1 for k in (k1, k2))
-                if hit and (k1, k2) not in seen:
-                    seen.add((k1, k2))
+                if hit and not _seen_before((k1, k2), seen):
                     k1s.append(k1)
                     k2s.append(k2)
                     tokens.append(s.view(np.int64))
@@ -298,11 +319,12 @@ def verified_links(sets: DataFrame, grouped: DataFrame, percent: int = PERCENT,
     return dealt.groupBy("bin").applyInPandas(run, "a bigint, b bigint")
 
 
+@free_names
 def join(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
     """``(ROW, doc_id, n_shingles, component_id, kept)`` of every row of ``docs``; ``kept``
     marks one row of each component: its smallest id, and of that the first row."""
     rows = stage(described(docs), "shingle-sets")
-    classes = possible(rows, percent)
+    classes = possible(docs, rows, percent)
     sets = sets_of(docs, classes)
     links = stage(verified_links(sets, groups(prefixes(sets, percent, orders), orders), percent, orders), "links")
     labels = components(links)
@@ -312,12 +334,13 @@ def join(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataF
     known = stage(ids.join(linked, ["k1", "k2"], "left").filter("copies > 1 OR label IS NOT NULL"), "linked-classes")
     over = known.filter("label IS NOT NULL").groupBy("label").agg(F.min("first").alias("over"))
     named = stage(known.join(over, "label", "left").select("k1", "k2", F.coalesce("over", "first").alias("first")), "named-classes")
-    made = rows.drop("look").withColumn("own", F.when(F.col("n") > 0, F.lit(True))).join(named.withColumn("own", F.lit(True)), ["own", "k1", "k2"], "left")
+    made = rows.withColumn("own", F.when(F.col("n") > 0, F.lit(True))).join(named.withColumn("own", F.lit(True)), ["own", "k1", "k2"], "left")
     alone = F.col("first").isNull()
     return made.select(ROW, "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
                        (alone | (F.col(f"first.{ROW}") == F.col(ROW))).alias("kept"))
 
 
+@free_names
 def one_of_each(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
     """The rows of ``docs`` of which one stands for each component."""
     docs = as_files(docs)
