@@ -10,7 +10,7 @@ from .clustering import cluster
 from .common import ROW, table
 from .exact_dedup import dedup_decisions
 from .language import identify
-from .line_runs import run_dedup
+from .line_dedup import line_dedup
 from .mixing import taken
 from .ngram_join import join
 from .open_bins import pack_open
@@ -44,7 +44,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = run_dedup(table(spark, sf_dir, "documents"))
+    cleaned = line_dedup(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.length("text").cast("long").alias("n_chars_left"),
                           F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
@@ -61,11 +61,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def with_quotes(conversations: DataFrame) -> DataFrame:
+    """The conversations with quotations put in, of which the given ones have none: a third of the
+    messages, by their keys, quote the message before them, every other one of those wrapped anew."""
+    before = conversations.groupBy("conv_id", (F.col("turn") + 1).alias("turn")).agg(F.min("text").alias("_before_"))
+    key = F.col("conv_id") + F.col("turn")
+    quoted = F.regexp_replace(F.when(key % 2 == 0, F.col("_before_")).otherwise(F.regexp_replace("_before_", r"\s+", " ")), r"(?m)^", "> ")
+    text = F.when((key % 3 == 0) & F.col("_before_").isNotNull(), F.concat(quoted, F.lit("\n"), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    return conversations.join(before, ["conv_id", "turn"], "left").select("conv_id", "turn", "role", text.alias("text"))
+
+
 def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = link_quotes(table(spark, sf_dir, "conversations"))
-    return linked.select("conv_id", "turn", "role", "reply_to", F.size("thread").cast("long").alias("depth"),
-                         F.concat_ws(".", F.col("thread").cast("array<string>")).alias("thread"),
-                         "n_quoted", "n_linked", F.sha2("formatted", 256).alias("formatted_sha256"))
+    linked = link_quotes(with_quotes(table(spark, sf_dir, "conversations")))
+    return linked.select("conv_id", "turn", "role", "reply_to", "parent", "depth", "position", "n_quoted", "n_linked",
+                         F.sha2("formatted", 256).alias("formatted_sha256"))
 
 
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:

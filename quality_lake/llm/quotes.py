@@ -1,25 +1,30 @@
 """Quotation linking (operator 10, DataFrame functions only).
 
-A message's lines are parsed into quote levels (the number of ``>`` before them).
-Quoted lines and own lines are normalised (lower case, white space collapsed) and
-hashed; a quoted passage of level 1 links to the latest earlier message of its
-conversation that has the line as its own, and the message replies to the one that
-most of its quoted characters come from (ties: the later one).  Deeper levels are
-quotations that the quoted message had itself; they count only if no line of
-level 1 is found.  A message that quotes nothing (that is found) continues its
-predecessor's branch.
-
-``thread`` is the path to a message in the reply tree, as turns; sorting a
-conversation by it puts every reply behind what it replies to (depth first).
-
-A conversation may hold a third of all rows and one line of it as many: "latest
-earlier" is therefore found within runs of ``SPAN`` turns, and then between runs,
-of which there is one row per key; paths are built by doubling, with the table
-cut after each step.
+A message's lines are parsed into quote levels (the number of ``>`` before them).  A
+*passage* is a run of lines of one level, blank lines left out; its words (lower-cased, between
+white space) are what is compared, so a passage that a mail client wrapped anew is still the
+same.  A passage is looked up by units, longest first: every run of ``RUN`` words, or, where
+there are fewer, all its words, and each line of fewer words.  A unit is hashed.
+
+A quoted unit of level 1 links to the latest earlier message of its conversation that has the
+unit as its own, and the message replies to the one that most of its quoted words come
+from (ties: the later one).  Deeper levels are quotations that the quoted message had
+itself; they count only if no unit of level 1 is found.  A message that quotes nothing
+(that is found) continues its predecessor's branch: both have one parent.
+
+The reply tree is walked depth first, earlier replies first: ``position`` is a message's place
+in that order, ``depth`` the number of messages from the root to it.  Both come from one list:
+each turn is entered and left once, every such step knows the next one, and doubling the steps
+sums up all that lies behind each of them in as many rounds as the logarithm of the longest
+conversation.  No row holds a path, so the output grows with the messages.
+
+A conversation may hold a third of all rows and one unit of it as many: "latest
+earlier" and "next sibling" are therefore found within runs of ``SPAN`` turns, and then
+between runs, of which there is one row per key.
 
 Cases: a null text counts as empty, a null turn as -1; rows without conversation
 are conversations of their own; rows with one turn see the same earlier messages
-and share a branch; equal rows give equal results; blank lines link nothing;
+and share parent and position; equal rows give equal results; blank lines link nothing;
 other columns are ignored.
 """
 
@@ -34,6 +39,8 @@ from quality_lake.sources import stage
 from .common import ROW, numbered, text_or_empty
 
 SPAN = 4096
+#: Words of a unit.
+RUN = 8
 QUOTE = r"^(?:[ \t]*>)+"
 
 
@@ -51,50 +58,93 @@ def latest(rows: DataFrame, keys: list[str], at: str, known: Column, inclusive:
 def messages(conversations: DataFrame) -> DataFrame:
     """``(ROW, conv, at, conv_id, turn, role, text)``, written down once."""
     text = text_or_empty()
-    return stage(numbered(conversations).select(
+    return stage(numbered(conversations.select("conv_id", "turn", "role", "text")).select(
         ROW, F.coalesce(F.col("conv_id").cast("string"), F.concat(F.lit("\0"), F.col(ROW).cast("string"))).alias("conv"),
         F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long")).alias("at"), "conv_id", "turn", "role", text.alias("text")), "messages")
 
 
-def lines(said: DataFrame) -> DataFrame:
-    """``(ROW, conv, at, level, key, size)`` of every line that is not blank."""
-    split = said.select(ROW, "conv", "at", F.explode(F.split("text", "\n")).alias("line"))
-    marks = F.regexp_extract("line", QUOTE, 0)
-    normal = F.trim(F.regexp_replace(F.lower(F.regexp_replace("line", QUOTE, "")), r"\s+", " "))
-    return (split.select(ROW, "conv", "at", (F.length(marks) - F.length(F.translate(marks, ">", ""))).alias("level"), normal.alias("normal"))
-            .filter("normal <> ''")
-            .select(ROW, "conv", "at", "level", F.md5(F.col("normal").cast("binary")).alias("key"), F.length("normal").alias("size")))
+def _line(line: Column) -> Column:
+    marks = F.regexp_extract(line, QUOTE, 0)
+    words = F.filter(F.split(F.lower(F.regexp_replace(line, QUOTE, "")), r"\s+"), lambda w: w != "")
+    return F.struct((F.length(marks) - F.length(F.translate(marks, ">", ""))).alias("level"), words.alias("words"))
+
+
+def passages(said: DataFrame) -> DataFrame:
+    """``(ROW, conv, at, level, lines)``: every run of a message's lines of one level, as their words."""
+    full = F.filter(F.transform(F.split("text", "\n"), _line), lambda s: F.size(s["words"]) > 0)
+    cut = said.select(ROW, "conv", "at", full.alias("lines")).filter(F.size("lines") > 0)
+    level = lambda i: F.element_at(F.col("lines"), i.cast("int"))["level"]
+    starts = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.when(i == 1, F.lit(True)).otherwise(level(i) != level(F.greatest(i - 1, F.lit(1)))))
+    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("lines") + 1))
+    own = F.transform("starts", lambda s, k: F.struct(s.alias("first"), (F.element_at("ends", k + 1) - s).alias("n")))
+    runs = (cut.withColumn("starts", starts).withColumn("ends", ends).select(ROW, "conv", "at", "lines", F.explode(own).alias("run"))
+            .select(ROW, "conv", "at", F.slice("lines", F.col("run.first"), F.col("run.n")).alias("lines")))
+    return runs.select(ROW, "conv", "at", F.element_at("lines", 1)["level"].alias("level"), F.transform("lines", lambda s: s["words"]).alias("lines"))
+
+
+def units(said: DataFrame, run: int = RUN) -> DataFrame:
+    """``(ROW, conv, at, level, key, size)`` of every unit of every passage; ``size``: the words it counts for."""
+    key = lambda words: F.md5(F.array_join(words, " ").cast("binary")).alias("key")
+    whole = passages(said).withColumn("words", F.flatten("lines"))
+    names = [ROW, "conv", "at", "level"]
+    long = (whole.filter(F.size("words") >= run).select(*names, F.explode(F.sequence(F.lit(1), F.size("words") - run + 1)).alias("i"), "words")
+            .select(*names, key(F.slice("words", F.col("i"), run)), F.lit(1).alias("size")))
+    some = F.filter("lines", lambda s: F.size(s) < run)
+    short = F.when((F.size("words") < run) & (F.size("lines") > 1), F.concat(some, F.array("words"))).otherwise(some)
+    rest = whole.select(*names, F.explode(short).alias("unit")).select(*names, key(F.col("unit")), F.size("unit").alias("size"))
+    return long.unionByName(rest)
 
 
 def replies(said: DataFrame) -> DataFrame:
-    """``(ROW, conv, at, reply_to, n_quoted, n_linked)`` of the messages that quote."""
-    parsed = lines(said)
+    """``(ROW, conv, at, reply_to, n_quoted, n_linked)`` of the messages that quote; units are counted."""
+    parsed = stage(units(said), "quote-units")
     quoting = parsed.filter("level > 0")
-    # only lines that are quoted somewhere in the conversation matter as originals
+    # only units that are quoted somewhere in the conversation matter as originals
     own = parsed.filter("level = 0").join(quoting.select("conv", "key").distinct(), ["conv", "key"], "left_semi")
     both = quoting.unionByName(own.select(F.lit(None).cast("long").alias(ROW), "conv", "at", "level", "key", "size").distinct())
     found = latest(both, ["conv", "key"], "at", F.col("level") == 0, False, "origin").filter("level > 0")
     level = F.when(F.col("origin").isNotNull(), F.col("level"))
-    sums = found.groupBy(ROW, "conv", "at", "level", "origin").agg(F.sum("size").alias("chars"), F.count(F.lit(1)).alias("n"), F.max(level).alias("hit"))
+    sums = found.groupBy(ROW, "conv", "at", "level", "origin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), F.max(level).alias("hit"))
     return (sums.groupBy(ROW, "conv", "at").agg(
-        F.max(F.when(F.col("hit").isNotNull(), F.struct((-F.col("level")).alias("near"), "chars", "origin"))).alias("best"),
+        F.max(F.when(F.col("hit").isNotNull(), F.struct((-F.col("level")).alias("near"), "words", "origin"))).alias("best"),
         F.sum("n").alias("n_quoted"), F.sum(F.when(F.col("hit").isNotNull(), F.col("n")).otherwise(0)).alias("n_linked"))
         .select(ROW, "conv", "at", F.col("best.origin").alias("reply_to"), "n_quoted", "n_linked"))
 
 
-def branches(linked: DataFrame, said: DataFrame) -> DataFrame:
-    """``(conv, start, path)``: for each turn that begins a branch, the turns from the root to the message it replies to."""
-    starts = linked.filter("reply_to IS NOT NULL").groupBy("conv", "at").agg(F.max("reply_to").alias("reply_to"))
-    # the branch of the message replied to: the latest start up to it
-    asked = (starts.select("conv", F.col("at").alias("start"), F.col("at").alias("t"), "reply_to", F.lit(True).alias("begins"))
-             .unionByName(starts.select("conv", F.col("at").alias("start"), F.col("reply_to").alias("t"), "reply_to", F.lit(False).alias("begins"))))
-    up = latest(asked, ["conv"], "t", F.col("begins"), True, "up").filter("NOT begins")
-    state = stage(up.select("conv", "start", "up", F.array("reply_to").alias("path")), "branches")
-    while not state.filter("up IS NOT NULL").isEmpty():
-        above = state.select("conv", F.col("start").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"))
-        state = stage(state.join(above, ["conv", "up"], "left").select(
-            "conv", "start", F.col("next").alias("up"), F.when(F.col("head").isNull(), F.col("path")).otherwise(F.concat("head", "path")).alias("path")), "branches")
-    return state.select("conv", "start", "path")
+def parents(linked: DataFrame, said: DataFrame) -> DataFrame:
+    """``(conv, at, parent)`` of every turn: the message that its branch replies to."""
+    starts = stage(linked.filter("reply_to IS NOT NULL").groupBy("conv", "at").agg(F.max("reply_to").alias("reply_to")), "branches")
+    turns = said.groupBy("conv", "at").agg(F.lit(False).alias("begins"))
+    asked = turns.unionByName(starts.select("conv", "at", F.lit(True).alias("begins")))
+    placed = latest(asked, ["conv"], "at", F.col("begins"), True, "start").filter("NOT begins").select("conv", "at", "start")
+    return placed.join(starts.select("conv", F.col("at").alias("start"), F.col("reply_to").alias("parent")), ["conv", "start"], "left").select("conv", "at", "parent")
+
+
+def walked(tree: DataFrame) -> DataFrame:
+    """``(conv, at, parent, depth, position)`` of every turn of ``(conv, at, parent)``, depth first."""
+    none = F.lit(None).cast("long")
+    tree = stage(tree, "reply-tree")
+    known = tree.select("conv", "at", F.coalesce("parent", F.lit(-2).cast("long")).alias("up"), (-F.col("at")).alias("back"))
+    # the next sibling is the nearest turn behind with the same parent
+    nexts = latest(known, ["conv", "up"], "back", F.lit(True), False, "next").select("conv", "at", (-F.col("next")).alias("sibling"))
+    firsts = tree.filter("parent IS NOT NULL").groupBy("conv", F.col("parent").alias("at")).agg(F.min("at").alias("child"))
+    turns = stage(tree.join(nexts, ["conv", "at"]).join(firsts, ["conv", "at"], "left"), "reply-turns")
+    enters = turns.select("conv", "at", F.lit(True).alias("entering"), F.coalesce("child", "at").alias("to"), F.col("child").isNotNull().alias("to_entering"),
+                          F.lit(1).cast("long").alias("turns"), F.lit(1).cast("long").alias("balance"))
+    leaves = turns.select("conv", "at", F.lit(False).alias("entering"), F.coalesce("sibling", "parent", none).alias("to"), F.col("sibling").isNotNull().alias("to_entering"),
+                          F.lit(0).cast("long").alias("turns"), F.lit(-1).cast("long").alias("balance"))
+    state = stage(enters.unionByName(leaves), "reply-steps")
+    while not state.filter("to IS NOT NULL").isEmpty():
+        ahead = state.select("conv", F.col("at").alias("to"), F.col("entering").alias("to_entering"), F.col("to").alias("then"),
+                             F.col("to_entering").alias("then_entering"), F.col("turns").alias("more"), F.col("balance").alias("more_balance"))
+        state = stage(state.join(ahead, ["conv", "to", "to_entering"], "left").select(
+            "conv", "at", "entering", F.col("then").alias("to"), F.coalesce("then_entering", F.lit(False)).alias("to_entering"),
+            (F.col("turns") + F.coalesce("more", F.lit(0))).alias("turns"),
+            (F.col("balance") + F.coalesce("more_balance", F.lit(0))).alias("balance")), "reply-steps")
+    steps = state.filter("entering")  # turns: those from here on; balance: what is left open behind, so its negative before
+    sizes = steps.groupBy("conv").agg(F.max("turns").alias("all"))
+    placed = steps.join(sizes, "conv").select("conv", "at", (1 - F.col("balance")).alias("depth"), (F.col("all") - F.col("turns")).alias("position"))
+    return tree.join(placed, ["conv", "at"])
 
 
 def unquoted(text: Column) -> Column:
@@ -104,17 +154,13 @@ def unquoted(text: Column) -> Column:
 
 
 def link_quotes(conversations: DataFrame) -> DataFrame:
-    """``(ROW, conv_id, turn, role, reply_to, thread, n_quoted, n_linked, text, formatted)`` of every message."""
+    """``(ROW, conv_id, turn, role, reply_to, parent, depth, position, n_quoted, n_linked, text, formatted)`` of
+    every message; a conversation by ``position`` is in the order of its replies."""
     said = messages(conversations)
     linked = stage(replies(said), "replies")
-    paths = branches(linked, said)
-    begun = said.select(ROW, "conv", "at", F.lit(False).alias("begins")).unionByName(
-        paths.select(F.lit(None).cast("long").alias(ROW), "conv", F.col("start").alias("at"), F.lit(True).alias("begins")))
-    placed = latest(begun, ["conv"], "at", F.col("begins"), True, "start").filter("NOT begins").select(ROW, "conv", "start")
-    tree = placed.join(paths, ["conv", "start"], "left").select(ROW, "path")
+    tree = walked(parents(linked, said))
     text = unquoted(F.col("text"))
-    return (said.join(tree, ROW, "left").join(linked.select(ROW, "reply_to", "n_quoted", "n_linked"), ROW, "left")
-            .select(ROW, "conv_id", "turn", "role", "reply_to",
-                    F.concat(F.coalesce("path", F.array().cast("array<bigint>")), F.array("at")).alias("thread"),
+    return (said.join(tree, ["conv", "at"]).join(linked.select(ROW, "reply_to", "n_quoted", "n_linked"), ROW, "left")
+            .select(ROW, "conv_id", "turn", "role", "reply_to", "parent", "depth", "position",
                     F.coalesce("n_quoted", F.lit(0)).cast("long").alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
                     text.alias("text"), F.concat(F.lit("<|"), F.coalesce(F.col("role").cast("string"), F.lit("user")), F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("formatted")))
