@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, as_files, placed, rows_of, seeded, slices, text_or_empty, utf8
+from .common import ROW, as_files, free_names, placed, rows_of, seeded, slices, text_or_empty, utf8
 
 #: Chunk sizes in bytes: none shorter (but a text's last), the usual, none longer.
 LEAST, USUAL, MOST = 256, 2048, 16384
@@ -70,26 +70,27 @@ def chunk_id(chunk: bytes, seed: int, width: int) -> bytes:
     return xxhash.xxh3_128_digest(chunk, seed)[:width]
 
 
-def _chunked(batch: pa.RecordBatch, seed: int, width: int):
-    for part in slices(batch, "text"):
-        raw, offsets = utf8(part.column("text"))
-        data = raw.tobytes()
-        for i, ends in enumerate(chunk_ends(raw, offsets)):
-            chunks, start = [], int(offsets[i])
-            for end in ends:
-                chunks.append(data[start:end])
-                start = end
-            yield [chunk_id(c, seed, width) for c in chunks], chunks
+def _chunked(part: pa.RecordBatch, seed: int, width: int):
+    """The identifiers and chunks of each text of a run of bounded bytes."""
+    raw, offsets = utf8(part.column("text"))
+    data = raw.tobytes()
+    for i, ends in enumerate(chunk_ends(raw, offsets)):
+        chunks, start = [], int(offsets[i])
+        for end in ends:
+            chunks.append(data[start:end])
+            start = end
+        yield [chunk_id(c, seed, width) for c in chunks], chunks
 
 
 def recipes(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFrame:
     """``(ROW, doc_id, text_sha256, recipe)``; the recipe is the identifiers in order, end to end."""
     def run(batches):
         for batch in batches:
-            made = [b"".join(ids) for ids, _ in _chunked(batch, seed, width)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(ROW), batch.column("doc_id"), batch.column("text_sha256"), pa.array(made, pa.binary())],
-                names=[ROW, "doc_id", "text_sha256", "recipe"])
+            for part in slices(batch, "text"):
+                made = [b"".join(ids) for ids, _ in _chunked(part, seed, width)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(ROW), part.column("doc_id"), part.column("text_sha256"), pa.array(made, pa.binary())],
+                    names=[ROW, "doc_id", "text_sha256", "recipe"])
 
     text = text_or_empty()
     return (placed(docs).select(ROW, F.col("doc_id").cast("long"), text.alias("text"), F.sha2(text, 256).alias("text_sha256"))
@@ -97,13 +98,14 @@ def recipes(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFrame:
 
 
 def distinct_chunks(docs: DataFrame, seed: int = 0, width: int = ID_BYTES) -> DataFrame:
-    """Every distinct ``(id, chunk)`` of the corpus; copies within a batch and a task fall away before the shuffle."""
+    """Every distinct ``(id, chunk)`` of the corpus; copies within a run of texts and a task fall away before the shuffle."""
     def run(batches):
         for batch in batches:
-            seen = {}
-            for ids, chunks in _chunked(batch, seed, width):
-                seen.update(zip(chunks, ids))
-            yield pa.RecordBatch.from_arrays([pa.array(seen.values(), pa.binary()), pa.array(seen.keys(), pa.binary())], names=["id", "chunk"])
+            for part in slices(batch, "text"):
+                seen = {}
+                for ids, chunks in _chunked(part, seed, width):
+                    seen.update(zip(chunks, ids))
+                yield pa.RecordBatch.from_arrays([pa.array(seen.values(), pa.binary()), pa.array(seen.keys(), pa.binary())], names=["id", "chunk"])
 
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, "id binary, chunk binary").distinct()
 
@@ -117,6 +119,7 @@ def verified(docs: DataFrame, width: int = ID_BYTES) -> tuple[int, int]:
     raise RuntimeError("chunk identifiers collide under every seed")
 
 
+@free_names
 def dedup_decisions(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
     """``(ROW, doc_id, keep_id, group_size, kept, text_sha256)`` of every row.
 
@@ -134,6 +137,7 @@ def dedup_decisions(docs: DataFrame, width: int = ID_BYTES) -> DataFrame:
         (F.col("n").isNull() | (F.col(f"keep.{ROW}") == F.col(ROW))).alias("kept"), "text_sha256")
 
 
+@free_names
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay."""
     docs = as_files(docs)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quality_lake.sources import stage
 
-from .common import ROW, WORD, as_files, placed, seeded, slices, text_or_empty
+from .common import ROW, WORD, as_files, free_names, placed, seeded, slices, text_or_empty
 
 WEIGHTS, CAP = (5, 2, 1), 3
 BLOCK, SHARD, MAX_SOURCES = 64, 1 << 14, 100_000
@@ -235,6 +235,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK, sh
     return Mix(slots.hint("merge").join(pieces(places(sized, rows), block), ["rank", "block"]), sized, rows)
 
 
+@free_names
 def taken(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, size, source, source_size, target, taken)`` of every row."""
     made = mix(docs, **options)
@@ -262,6 +263,7 @@ def cut_words(text: str, runs: list[tuple[int, int]]) -> str:
     return "\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in joined)
 
 
+@free_names
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents with the columns of ``docs``: one row for each pass that
     took words of a text, its text being those words (the whole text where the pass

@@ -23,6 +23,7 @@ sample's end go to the smaller id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, seeded, text_or_empty, word_hashes
+from .common import mix64, seeded, slices, text_or_empty, word_hashes
 from .ngrams import ngram_hashes, points, step_texts
 
 LEAST, MOST, BUCKET_BITS = 3, 6, 22
@@ -45,6 +46,10 @@ RIDGE = 1.0
 PER_CHARS, FEW_CHARS = 1000, 200
 #: Characters between the beginnings of windows, which are twice as long.
 STEP = 2048
+#: Cells of a text that are hashed at once.
+PART_CELLS = 128
+#: Bits of the buckets that tell which n-grams too few texts have.
+COUNT_BITS = 26
 #: Pairs of texts and n-grams that are counted at once.
 MERGE = 1 << 21
 THRESHOLD = 0.7
@@ -107,13 +112,36 @@ def _unit(size: np.ndarray) -> np.ndarray:
     return PER_CHARS / (size + FEW_CHARS)
 
 
+def _parts(texts: list[str]) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """The texts, lower-cased, in runs of parts of whole cells, each with what its last n-grams reach
+    beyond it: the numbers of the texts, the characters before the parts, the parts."""
+    owners, starts, parts, size = [], [], [], 0
+    for i, t in enumerate(t.lower() for t in texts):
+        for start in range(0, max(1, len(t)), PART_CELLS * STEP):
+            owners.append(i)
+            starts.append(start)
+            parts.append(t[start:start + PART_CELLS * STEP + MOST - 1])
+            size += len(parts[-1])
+            if size >= PART_CELLS * STEP:
+                yield owners, starts, parts
+                owners, starts, parts, size = [], [], [], 0
+    if parts:
+        yield owners, starts, parts
+
+
 def scores(texts: list[str], model: Model) -> np.ndarray:
     """The score of each text's most toxic window."""
-    rows, found, place, size = _hits(texts, model.grams, model.coarse)
+    size = np.array([len(t.lower()) for t in texts], np.int64)
     cells = np.maximum(1, -(-size // STEP))
     first = np.cumsum(cells) - cells
     last = np.cumsum(cells) - 1
-    total = np.bincount(first[rows] + np.minimum(place // STEP, cells[rows] - 1), model.weight[found], int(cells.sum()))
+    total = np.zeros(int(cells.sum()))
+    for owners, starts, parts in _parts(texts):
+        rows, found, place, _ = _hits(parts, model.grams, model.coarse)
+        own = place < PART_CELLS * STEP  # the others begin in the next part
+        at = np.array(owners)[rows[own]]
+        cell = (np.array(starts)[rows[own]] + place[own]) // STEP
+        np.add.at(total, first[at] + np.minimum(cell, cells[at] - 1), model.weight[found[own]])
     chars = np.full(len(total), STEP)
     chars[last] = size - (cells - 1) * STEP
     # a window is two cells; a text's last cell is one only if it is the first too
@@ -155,26 +183,30 @@ def _unlike(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
 def _own_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """``(text, n-gram hash)``, each pair once."""
     raw, owner = points(texts, MOST - 1, lower=True)
-    h = np.concatenate([h for _, h in ngram_hashes(raw, LEAST, MOST)])
-    rows = np.concatenate([owner[:len(raw) - n + 1] for n in range(LEAST, MOST + 1)])
-    order = np.lexsort((h, rows))
-    h, rows = h[order], rows[order]
-    first = np.concatenate(([True], (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])))
-    return rows[first], h[first]
+    ends = np.searchsorted(owner, np.arange(len(texts)), side="right")
+    grams = [h for _, h in ngram_hashes(raw, LEAST, MOST)]
+    rows, own, start = [], [], 0
+    for text, end in enumerate(ends.tolist()):  # sorted text by text: short sorts
+        h = np.sort(np.concatenate([g[start:end] for g in grams]))
+        own.append(h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h)
+        rows.append(np.full(len(own[-1]), text, np.int32))
+        start = end
+    return np.concatenate(rows), np.concatenate(own)
 
 
 def _shares(rows: list[tuple[str, int]], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams that at least ``LEAST_TEXTS`` texts have, and the number of texts of each class that have them."""
     steps = list(step_texts([t for t, _ in rows]))
-    many = np.zeros(1 << BUCKET_BITS, np.int32)
+    many = np.zeros(1 << COUNT_BITS, np.uint8)
     for _, texts in steps:
-        many += np.bincount((_own_grams(texts)[1] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(many)).astype(np.int32)
+        bucket, n = np.unique((_own_grams(texts)[1] >> np.uint64(64 - COUNT_BITS)).astype(np.int32), return_counts=True)
+        many[bucket] = np.minimum(many[bucket] + n, LEAST_TEXTS)
     enough = many >= LEAST_TEXTS  # a bucket without so many texts has no such n-gram
     grams, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)
     held, size = [], 0
     for k, (start, texts) in enumerate(steps):
         owner, h = _own_grams(texts)
-        near = enough[h >> np.uint64(64 - BUCKET_BITS)]
+        near = enough[h >> np.uint64(64 - COUNT_BITS)]
         kinds = labels[start + owner[near]]
         held.append((h[near], np.stack([kinds == 0, kinds == 1], axis=1)))
         size += len(held[-1][0])
@@ -258,20 +290,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` behind its columns (a column of that name is replaced)."""
     kept = [c for c in docs.columns if c != "score"]
     own = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.select(*[F.col(f"`{c}`") for c in kept], text_or_empty().alias("_whole_text_"))
 
     def run(batches):
         m = own.value
         for batch in batches:
-            all_texts = batch.column(batch.num_columns - 1).to_pylist()
-            out = []
-            for _, part in step_texts(all_texts):
-                out.append(scores(part, m))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out) if out else [], pa.float64())],
-                                             names=[*kept, "score"])
-
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("score", F.lit(0.0)).schema
-    return texts.mapInArrow(run, schema)
+            for piece in slices(batch, "text"):  # of bounded bytes; each text goes in and out once
+                made = scores([t or "" for t in piece.column("text").to_pylist()], m)
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(made, pa.float64())], names=[*kept, "score"])
+
+    shown = docs.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == "text" else F.col(f"`{c}`") for c in kept])
+    return shown.mapInArrow(run, shown.withColumn("score", F.lit(0.0)).schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

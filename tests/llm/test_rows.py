@@ -1,4 +1,10 @@
-from quality_lake.llm.common import ROW, as_files, placed, rows_of
+from pyspark.sql import functions as F
+
+from quality_lake.llm.common import OWN_NAMES, ROW, as_files, placed, rows_of
+from quality_lake.llm.exact_dedup import dedup_decisions, exact_dedup
+from quality_lake.llm.line_dedup import line_dedup
+from quality_lake.llm.mixing import mixed_documents, taken
+from quality_lake.llm.ngram_join import join, one_of_each
 
 
 def test_row_numbers_do_not_depend_on_the_splits(spark, tmp_dir):
@@ -20,3 +26,20 @@ def test_what_is_not_a_table_of_files_is_written_down_first(spark, docs, none):
     made = docs.filter("doc_id % 2 = 0").selectExpr("doc_id", "text")
     assert as_files(docs) is docs and as_files(made) is not made
     assert placed(as_files(made)).select(ROW).distinct().count() == made.count() and placed(none).count() == 0
+
+
+def test_columns_called_like_the_operators_own(spark, docs):
+    """Every internal name as a column of the documents, in capitals too: rows come back with them, and nothing else changes."""
+    operators = {"exact_dedup": exact_dedup, "one_of_each": one_of_each, "mixed_documents": mixed_documents, "line_dedup": line_dedup}
+    small = docs.filter("doc_id < 60")
+    names = sorted(OWN_NAMES)
+    clashing = small.select("*", *[F.lit(n).alias(n.upper() if k % 2 else n) for k, n in enumerate(names)])
+    for name, operator in operators.items():
+        want, got = operator(small), operator(clashing)
+        added = [c for c in got.columns if c.lower() in OWN_NAMES]
+        assert got.columns[:len(clashing.columns)] == clashing.columns, name
+        assert {c: {r[0] for r in got.select(f"`{c}`").distinct().collect()} for c in added} == {c: {c.lower()} for c in added}, name
+        assert sorted(map(str, want.select("doc_id", "text").collect())) == sorted(map(str, got.select("doc_id", "text").collect())), name
+    for operator in (dedup_decisions, taken, join):
+        a, b = (operator(d).drop(ROW) for d in (small, clashing))
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
