@@ -36,6 +36,8 @@ their sets link to; a null id is never a component's id unless no row of it has
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -55,6 +57,9 @@ SEEN = 1 << 16
 #: Shingles in a block of a group, and in a task.
 BLOCK_SHINGLES = 1 << 20
 BITMAP_BITS = (1 << 16, 1 << 27)
+#: When every link is asked for: sets that meet all others of a piece at once, common shingles that are counted at
+#: once, and how many sets make a shingle common.
+LINK_ROWS, COLUMNS, OFTEN = 512, 1024, 24
 
 _STEP = np.uint64(0x100000001B3)
 
@@ -292,8 +297,55 @@ def forest(cids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT, ord
     return [(least[find(i)], c) for i, c in enumerate(cids.tolist()) if least[find(i)] != c]
 
 
-def verified_links(sets: DataFrame, grouped: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """``(a, b)``: pairs that connect exactly what all links connect."""
+def group_links(cids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int, int]]:
+    """Every link among some sets, as ``(smaller cid, larger cid, shingles in common)``.
+
+    Shingles that many sets have are counted by matrix products, the others pair by
+    pair from their lists; ``LINK_ROWS`` sets at a time meet all others.
+    """
+    n = np.array([len(s) for s in sets])
+    tokens, dense, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    common, rare = df > OFTEN, (df > 1) & (df <= OFTEN)
+    column = np.cumsum(common) - 1
+    held = common[dense]
+    order = np.argsort(column[dense[held]], kind="stable")
+    row_of, column_of = owner[held][order], column[dense[held]][order]
+
+    @lru_cache(maxsize=1)
+    def matrix(chunk: int) -> np.ndarray:
+        """Which sets have each of a number of common shingles."""
+        a, b = np.searchsorted(column_of, (chunk * COLUMNS, (chunk + 1) * COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row_of[a:b], column_of[a:b] - chunk * COLUMNS] = 1
+        return has
+
+    held = rare[dense]
+    order = np.argsort(dense[held], kind="stable")
+    posted = owner[held][order]
+    bounds = np.concatenate([[0], np.cumsum(df[rare])])
+    pairs = [(posted[a:b][:, None].repeat(b - a, 1), posted[a:b][None].repeat(b - a, 0)) for a, b in zip(bounds, bounds[1:])]
+    left = np.concatenate([x.ravel() for x, _ in pairs]) if pairs else np.zeros(0, np.int64)
+    right = np.concatenate([y.ravel() for _, y in pairs]) if pairs else np.zeros(0, np.int64)
+    by_left = np.argsort(left, kind="stable")
+    left, right = left[by_left], right[by_left]
+    out = []
+    for start in range(0, len(sets), LINK_ROWS):
+        stop = min(start + LINK_ROWS, len(sets))
+        both = np.zeros((stop - start, len(sets)), np.int64)
+        for chunk in range(-(-int(common.sum()) // COLUMNS)):
+            has = matrix(chunk)
+            both += np.rint(has[start:stop] @ has.T).astype(np.int64)
+        a, b = np.searchsorted(left, (start, stop))
+        np.add.at(both, (left[a:b] - start, right[a:b]), 1)
+        i, j = np.nonzero(100 * both >= percent * (n[start:stop, None] + n[None] - both))
+        smaller = cids[i + start] < cids[j]
+        out += zip(cids[i + start][smaller].tolist(), cids[j][smaller].tolist(), both[i, j][smaller].tolist())
+    return out
+
+
+def _dealt(sets: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``(bin, piece, cid, tokens)``: what is to be compared together, in bins of about a task's work."""
     sizes = (sets.select("cid", "n").join(grouped, "cid").groupBy("g1", "g2")
              .agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("classes")).filter("classes > 1"))
     members = sets.join(grouped, "cid").join(sizes, ["g1", "g2"])
@@ -303,20 +355,62 @@ def verified_links(sets: DataFrame, grouped: DataFrame, percent: int = PERCENT,
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("x"), F.greatest(k, F.col("block")).alias("y")))
     # small groups share a task by hash; each pair of a large group's blocks is a task's work of its own
-    dealt = (members.withColumn("blocks", blocks).withColumn("block", block).withColumn("p", F.explode(pair))
-             .filter("blocks = 1 OR p.x < p.y")
-             .withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("g1", F.lit(bins)))
-                         .otherwise(F.xxhash64("g1", "g2", "p.x", "p.y").bitwiseOR(F.lit(1 << 62))))
-             .select("bin", F.hash("g1", "g2", "p.x", "p.y").alias("piece"), "cid", "tokens"))
+    return (members.withColumn("blocks", blocks).withColumn("block", block).withColumn("p", F.explode(pair))
+            .filter("blocks = 1 OR p.x < p.y")
+            .withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("g1", F.lit(bins)))
+                        .otherwise(F.xxhash64("g1", "g2", "p.x", "p.y").bitwiseOR(F.lit(1 << 62))))
+            .select("bin", F.hash("g1", "g2", "p.x", "p.y").alias("piece"), "cid", "tokens"))
 
+
+def _by_piece(made, columns: list[str]):
+    """What ``made(cids, sets)`` finds in each piece of a bin."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, piece in frame.groupby("piece"):
             if len(piece) > 1:
-                out += forest(piece["cid"].to_numpy(), [np.asarray(t, np.int64).view(np.uint64) for t in piece["tokens"]], percent, orders)
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                out += made(piece["cid"].to_numpy(), [np.asarray(t, np.int64).view(np.uint64) for t in piece["tokens"]])
+        return pd.DataFrame(out, columns=columns, dtype="int64")
+    return run
+
 
-    return dealt.groupBy("bin").applyInPandas(run, "a bigint, b bigint")
+def verified_links(sets: DataFrame, grouped: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+    """``(a, b)``: pairs that connect exactly what all links connect."""
+    return _dealt(sets, grouped).groupBy("bin").applyInPandas(
+        _by_piece(lambda cids, own: forest(cids, own, percent, orders), ["a", "b"]), "a bigint, b bigint")
+
+
+def all_links(sets: DataFrame, grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(a, b, overlap)``: every link between two classes, once."""
+    return _dealt(sets, grouped).groupBy("bin").applyInPandas(  # pairs of one block meet in several tasks
+        _by_piece(lambda cids, own: group_links(cids, own, percent), ["a", "b", "overlap"]), "a bigint, b bigint, overlap bigint").distinct()
+
+
+@free_names
+def links(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS) -> tuple[DataFrame, DataFrame]:
+    """Every link, as ``(a_id, b_id, a_size, b_size, overlap)`` between representatives of different
+    sets, and the membership ``(ROW, doc_id, rep_id, n_shingles, n_links)`` of every row with words.
+
+    A set's representative is its smallest id; rows of one set are linked to each other.
+    ``n_links`` counts the other rows that a row is linked with, copies included, so it is
+    the row's degree without a pair per copy.  Rows grow with the links between
+    different sets, which is why ``join`` does not go through them.
+    """
+    rows = stage(described(docs), "shingle-sets")
+    classes = possible(docs, rows, percent)
+    sets = sets_of(docs, classes)
+    found = stage(all_links(sets, groups(prefixes(sets, percent, orders), orders), percent), "all-links")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id")).alias("first")
+    named = stage(rows.filter("n > 0").groupBy("k1", "k2", "n").agg(first, F.count(F.lit(1)).alias("copies")).join(classes.select("cid", "k1", "k2"), ["k1", "k2"], "left"),
+                  "classes")
+    known = named.filter("cid IS NOT NULL").select("cid", F.col("first.doc_id").alias("id"), "n", "copies")
+    side = lambda c, as_: known.select(F.col("cid").alias(c), F.col("id").alias(f"{as_}_id"), F.col("n").alias(f"{as_}_size"))
+    pairs = found.join(side("a", "a"), "a").join(side("b", "b"), "b").select("a_id", "b_id", "a_size", "b_size", "overlap")
+    ways = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degree = ways.join(known.select(F.col("cid").alias("b"), "copies"), "b").groupBy(F.col("a").alias("cid")).agg(F.sum("copies").alias("others"))
+    counted = named.join(degree, "cid", "left").select("k1", "k2", F.col("first.doc_id").alias("rep_id"),
+                                                       (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"))
+    members = rows.filter("n > 0").join(counted.hint("merge"), ["k1", "k2"]).select(ROW, "doc_id", "rep_id", F.col("n").alias("n_shingles"), "n_links")
+    return pairs, members
 
 
 @free_names

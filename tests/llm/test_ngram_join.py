@@ -8,7 +8,7 @@ import pytest
 from quality_lake.llm import ngram_join
 from quality_lake.llm.common import WORD
 from quality_lake.llm.components import components
-from quality_lake.llm.ngram_join import forest, join, one_of_each
+from quality_lake.llm.ngram_join import forest, group_links, join, links, one_of_each
 
 from .conftest import words
 
@@ -122,6 +122,60 @@ def test_forest_by_pairs():
     assert joined(got) == joined(want) and len(got) < 40
 
 
+def brute_links(rows):
+    """Links between different sets as (ids of the representatives, sizes, overlap), and each row's number of links."""
+    sets = [frozenset(shingles(t)) for _, t in rows]
+    classes = defaultdict(list)
+    for (d, _), own in zip(rows, sets):
+        if own:
+            classes[own].append(d)
+    rep = {own: min(ids, key=lambda d: (d is None, d or 0)) for own, ids in classes.items()}
+    different, out, degree = list(classes), [], {own: len(ids) - 1 for own, ids in classes.items()}
+    for i, a in enumerate(different):
+        for b in different[:i]:
+            k = len(a & b)
+            if k and 100 * k >= 80 * len(a | b):
+                out.append((*sorted([(str(rep[a]), len(a)), (str(rep[b]), len(b))]), k))
+                degree[a] += len(classes[b])
+                degree[b] += len(classes[a])
+    members = sorted(((d, rep[own], len(own), degree[own]) for (d, _), own in zip(rows, sets) if own), key=str)
+    return sorted(out), members
+
+
+def check_links(docs):
+    pairs, members = links(docs)
+    want, degrees = brute_links([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
+    got = sorted((*sorted([(str(r["a_id"]), r["a_size"]), (str(r["b_id"]), r["b_size"])]), r["overlap"]) for r in pairs.collect())
+    assert got == want
+    assert sorted(((r["doc_id"], r["rep_id"], r["n_shingles"], r["n_links"]) for r in members.collect()), key=str) == degrees
+    return want
+
+
+def test_every_link_between_different_texts(spark, docs, odd, none, monkeypatch):
+    for d in (docs, odd):
+        check_links(d)
+    pairs, members = links(none)
+    assert pairs.count() == 0 and members.count() == 0
+    family_ = spark.createDataFrame(family(120, 90, 1), "doc_id bigint, text string")
+    assert len(check_links(family_)) > 1000  # many more than connect the family
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1500)
+    check_links(family_)
+
+
+def test_links_by_products_and_by_lists(monkeypatch):
+    r = random.Random(6)
+    pool = [r.randrange(10**12) for _ in range(80)]
+    sets = [np.array(sorted({*r.sample(pool, 74), *(r.randrange(10**12) for _ in range(r.randrange(5)))}), np.uint64) for _ in range(130)]
+    sets += [np.array(sorted(r.sample(range(10**6), 9)), np.uint64) for _ in range(5)] + [np.array([3], np.uint64), np.array([3, 4], np.uint64)]
+    cids = np.array(r.sample(range(10**6), len(sets)))
+    want = sorted((*sorted((int(cids[i]), int(cids[j]))), k) for i in range(len(sets)) for j in range(i)
+                  if 100 * (k := len(np.intersect1d(sets[i], sets[j]))) >= 80 * len(np.union1d(sets[i], sets[j])))
+    assert sorted(group_links(cids, sets)) == want and len(want) > 500
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    monkeypatch.setattr(ngram_join, "LINK_ROWS", 10)
+    assert sorted(group_links(cids, sets)) == want
+
+
 def test_components(spark):
     r = random.Random(1)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + (37 * i) % 211, 1000 + (37 * (i + 1)) % 211) for i in range(200)]
