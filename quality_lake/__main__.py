@@ -22,6 +22,7 @@ from .contract import Contract, bundled_contract
 from .plans.clean import ingest
 from .plans.integrate import integrate
 from .plans.warehouse import DATASETS, build_warehouse
+from .plans.sizing import sized_session
 from .sources.versions import read_table
 
 
@@ -62,8 +63,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         out = ingest(spark, args.path, c, f"{args.root}/cleaned/{c.table_name}", fmt=args.format,
                      runs_path=f"{args.root}/metadata/ingestion_runs").record
     else:
-        tables = {role: read_table(spark, f"{args.root}/cleaned/{bundled_contract(name).table_name}",
-                                   args.format) for role, name in DATASETS.items()}
+        paths = {role: f"{args.root}/cleaned/{bundled_contract(name).table_name}" for role, name in DATASETS.items()}
+        own = sized_session(spark, *paths.values()) if args.format == "parquet" else spark
+        tables = {role: read_table(own, path, args.format) for role, path in paths.items()}
         out = integrate(tables, f"{args.root}/integrated/integrated_taxi_trips", fmt=args.format)
     print(json.dumps(out, default=str))
     return out

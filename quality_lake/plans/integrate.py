@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..contract import ContractError
 from ..functions.timeops import hour_bucket
 from ..operators.enrich import JoinSpec, enrich, hourly_summary, restrict_to, row_count
-from ..sources.tables import DEFAULT_FORMAT, stage
+from ..sources.tables import DEFAULT_FORMAT, stage, staging
 from ..sources.versions import save
 
 # Local zone of the trip clocks, context columns and the join chain.
@@ -73,11 +73,11 @@ def _specs(joins) -> list[JoinSpec]:
 
 
 def build_integrated(tables: dict[str, DataFrame], joins=TAXI_JOINS, tz: str = LOCAL_TIMEZONE,
-                     *, stage_derived: bool = True, check_keys: bool = True, **options) -> DataFrame:
+                     *, stage_derived: bool = True, check_keys: bool = True, keep=stage, **options) -> DataFrame:
     """Trips with their pickup hour joined through the chain; the trips' columns and
-    each join's outputs remain."""
+    each join's outputs remain.  ``keep`` writes derived contexts down."""
     specs = _specs(joins)
-    contexts = context_tables(tables, (j.dataset for j in specs), tz, keep=stage if stage_derived else lambda df, _: df)
+    contexts = context_tables(tables, (j.dataset for j in specs), tz, keep=keep if stage_derived else lambda df, _: df)
     wide = enrich(prepare_pickup_hour(tables["taxi"]), contexts, specs, check_keys=check_keys, **options)
     return wide.drop("pickup_hour") if "pickup_hour" not in tables["taxi"].columns else wide
 
@@ -99,9 +99,10 @@ def integrate(tables: dict[str, DataFrame], target: str, joins=TAXI_JOINS, *,
         if seen.get["rows"] != before:
             raise ContractError(f"{target}: {before} trips became {seen.get['rows']} rows")
 
-    wide = build_integrated(tables, specs, tz, strategies=strategies)
-    save(wide.observe(seen, F.count(F.lit(1)).alias("rows"), *watched.values()), target, fmt, "overwrite",
-         audit=same_rows, rows=lambda _: seen.get["rows"])
+    with staging(tables["taxi"].sparkSession) as keep:
+        wide = build_integrated(tables, specs, tz, strategies=strategies, keep=keep)
+        save(wide.observe(seen, F.count(F.lit(1)).alias("rows"), *watched.values()), target, fmt, "overwrite",
+             audit=same_rows, rows=lambda _: seen.get["rows"])
     rows = seen.get["rows"]
     share = 100.0 / rows if rows else 0.0
     return {"rows": rows, **{p: {"matches": seen.get[p], "percent": share * seen.get[p], "join": strategies[p]} for p in watched}}

@@ -22,7 +22,7 @@ from ..contract import ContractError
 from ..functions.values import finite_or_null, normalize_label
 from ..operators.enrich import row_count
 from ..operators.report import avg_duration_by_day, diff_results, profile
-from ..sources.tables import DEFAULT_FORMAT, stage, write_table
+from ..sources.tables import DEFAULT_FORMAT, staging, write_table
 from ..sources.versions import read_table
 from .sizing import DEFAULT_TARGET_FILE_BYTES, planned_files
 
@@ -132,17 +132,18 @@ def reconcile(tables: dict[str, DataFrame], labels: DataFrame, expected_rows: in
     found = [f"{name} has {n} rows, not {expected}" for name, n in counts.items() if n != expected]
     compared = {}
     for report in reports:
-        made = {name: stage(layout_report(report, t, labels, columns), f"report-{report}") for name, t in tables.items()}
-        keys = [columns.label if k == "borough" else k for k in REPORTS[report].keys]
-        compared[report] = row_count(made[first])
-        for name in made:
-            differing = row_count(diff_results(made[first], made[name], keys)) if name != first else 0
-            if differing:
-                found.append(f"{report}: {differing} keys of {name} differ from {first}")
-        if report == "trips_per_borough":
-            total = made[first].agg(F.coalesce(F.sum(columns.count), F.lit(0))).first()[0]
-            if total != expected:
-                found.append(f"{report}: {first} counts {total} rows of {expected}")
+        with staging(tables[first].sparkSession) as keep:
+            made = {name: keep(layout_report(report, t, labels, columns), f"report-{report}") for name, t in tables.items()}
+            keys = [columns.label if k == "borough" else k for k in REPORTS[report].keys]
+            compared[report] = row_count(made[first])
+            for name in made:
+                differing = row_count(diff_results(made[first], made[name], keys)) if name != first else 0
+                if differing:
+                    found.append(f"{report}: {differing} keys of {name} differ from {first}")
+            if report == "trips_per_borough":
+                total = made[first].agg(F.coalesce(F.sum(columns.count), F.lit(0))).first()[0]
+                if total != expected:
+                    found.append(f"{report}: {first} counts {total} rows of {expected}")
     if found:
         raise ContractError("Layouts differ: " + "; ".join(found))
     return {"rows": counts, "keys": compared}
@@ -158,9 +159,10 @@ def compare_layouts(spark: SparkSession, trips: DataFrame, zones: DataFrame, roo
                     fmt: str = DEFAULT_FORMAT, layouts=tuple(LAYOUTS)) -> dict:
     """Prepare the trips once, profile them, write each layout under ``root`` and
     reconcile; ``zones`` as ``zone_boroughs`` makes them.  Raises if layouts differ."""
-    prepared = stage(add_partition_columns(trips), "layout-source")
-    summary = layout_profile(prepared).first().asDict()
-    paths = {layout: f"{root}/{layout}" for layout in layouts}
-    for layout, path in paths.items():
-        write_layout(prepared, path, layout, fmt=fmt)
+    with staging(spark) as keep:
+        prepared = keep(add_partition_columns(trips), "layout-source")
+        summary = layout_profile(prepared).first().asDict()
+        paths = {layout: f"{root}/{layout}" for layout in layouts}
+        for layout, path in paths.items():
+            write_layout(prepared, path, layout, fmt=fmt)
     return {"profile": summary, "paths": paths, **reconcile_layouts(spark, paths, zones, summary["input_rows"], fmt)}

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..operators.enrich import value_bytes
 from ..sources.tables import file_stats, files_under, stage
+from ..sources.versions import current_version
 
 DEFAULT_TARGET_PARTITION_BYTES = 1 << 30
 #: Bytes of values in a file (Parquet stores them in a half to a tenth).
@@ -60,11 +61,18 @@ def sized_shuffle(spark: SparkSession, path: str | None, target_bytes: int = DEF
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def sized_session(spark: SparkSession, path: str, target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES) -> SparkSession:
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a table: as its manifest says, or those of the files behind the path."""
+    version = current_version(spark, path)
+    return source_bytes(spark, path) if version is None else version.data_bytes
+
+
+def sized_session(spark: SparkSession, *paths: str, target_bytes: int = DEFAULT_TARGET_PARTITION_BYTES) -> SparkSession:
     """A session of the same application with the same settings, but for AQE's initial
-    shuffle partitions, which fit jobs over the files behind ``path``.  The caller's session, and
-    whoever else uses it, sees no change."""
-    n = shuffle_partitions_for(source_bytes(spark, path), spark.sparkContext.defaultParallelism, target_bytes)
+    shuffle partitions, which fit jobs over the tables or files behind ``paths`` together.  The
+    caller's session, and whoever else uses it, sees no change."""
+    size = sum(table_bytes(spark, p) for p in paths)
+    n = shuffle_partitions_for(size, spark.sparkContext.defaultParallelism, target_bytes)
     own = spark.newSession()
     for k, v in {**spark.conf.getAll, **dict(zip(_CONFS, ("true", "true", str(n))))}.items():
         if own.conf.isModifiable(k):

@@ -1,7 +1,8 @@
 """The whole run: ingest every source by its contract, then integrate.
 
 An error while ingesting any source stops the run before integration, and each
-cleaned table is only published after its key audit (see ``ingest``).
+cleaned table is only published after its key audit (see ``ingest``).  Each source, and the
+integration of all tables, runs in a session sized from its own bytes.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from ..sources.tables import DEFAULT_FORMAT
 from ..sources.versions import read_table
 from .clean import ingest
 from .integrate import TAXI_JOINS, integrate
+from .sizing import sized_session
 
 # Integration role -> shipped contract, in ingestion order.
 DATASETS = {
@@ -42,7 +44,8 @@ def build_warehouse(spark: SparkSession, sources: dict[str, str], root: str, *,
         records[role] = ingest(spark, sources[role], c, paths[role], fmt=fmt, runs_path=runs).record
     result = {"runs": records}
     if integrate_output:
-        tables = {role: read_table(spark, p, fmt) for role, p in paths.items()}
+        own = sized_session(spark, *paths.values()) if fmt == "parquet" else spark
+        tables = {role: read_table(own, p, fmt) for role, p in paths.items()}
         result["integration"] = integrate(tables, f"{root}/integrated/integrated_taxi_trips",
                                           joins, fmt=fmt)
     return result

@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,10 +109,30 @@ def release(spark: SparkSession, path: str) -> None:
     """Free a staged table's storage: overwrite it with an empty frame of the
     same schema, which makes Spark's writer delete the old files on any file
     system (no file-system API needed)."""
-    schema = spark.read.parquet(path).schema
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException:  # nothing was written there
+        return
     empty_frame(spark, schema).write.mode("overwrite").parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """A block's own ``stage``: what it has staged is released behind the block, also after an error."""
+    paths: list[str] = []
+
+    def own(df: DataFrame, name: str = "stage") -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        write_table(df, paths[-1], "parquet", "errorifexists")
+        return read_staged(spark, paths[-1], df.schema)
+
+    try:
+        yield own
+    finally:
+        for path in paths:
+            release(spark, path)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A frame with ``schema`` and no rows, built JVM-side (a frame made from a
     Python list would start Python workers on the executors just to produce it)."""

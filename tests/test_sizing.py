@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quality_lake.plans.layouts import write_layout
-from quality_lake.plans.sizing import planned_files
-from quality_lake.sources import read_table
+from quality_lake.plans.sizing import planned_files, sized_session, table_bytes
+from quality_lake.sources import publish, read_table
 from tests.conftest import plan_text
 
 
@@ -61,3 +61,14 @@ def test_layouts_without_partitions_null_keys_and_no_rows(spark, busy, tmp_dir):
     many = planned_files(busy.select("id", "m"), ["m"], ["id"], target_bytes=50)  # more files than quantiles
     assert many.rdd.getNumPartitions() > 1000 and many.count() == 20_000
     assert "repartitionbyid" in plan_text(many).lower() or "Exchange" in plan_text(many)
+
+
+def test_a_session_sized_from_tables_and_files(spark, tmp_dir):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for n in (3, 2):
+        v = publish(spark.range(1000).repartition(n), f"{tmp_dir}/t")
+    spark.range(1000).write.parquet(f"{tmp_dir}/plain")
+    assert table_bytes(spark, f"{tmp_dir}/t") == v.data_bytes  # the current version alone
+    size = v.data_bytes + table_bytes(spark, f"{tmp_dir}/plain")
+    own = sized_session(spark, f"{tmp_dir}/t", f"{tmp_dir}/plain", target_bytes=100)
+    assert own.conf.get(key) == str(-(-size // 100)) and spark.conf.get(key, None) != own.conf.get(key)

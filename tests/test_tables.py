@@ -12,6 +12,7 @@ from quality_lake.sources import (
     run_record,
     scratch_root,
     stage,
+    staging,
     write_table,
 )
 
@@ -71,6 +72,16 @@ def test_run_records_append_and_stage(spark, tmp_dir):
     assert staged.inputFiles()[0].startswith(scratch_root(spark).replace("file:", "file://")[:12])
 
 
+def test_a_blocks_staged_tables_are_released(spark):
+    with pytest.raises(ZeroDivisionError), staging(spark) as keep:
+        held = keep(spark.range(1000), "block")
+        assert held.count() == 1000
+        path = held.inputFiles()[0].rsplit("/", 1)[0]
+        1 / 0
+    left = files_under(spark, path).agg(F.sum("file_size"), F.count(F.lit(1))).first()
+    assert spark.read.parquet(path).count() == 0 and left[1] == 1 and left[0] < 1000
+
+
 def test_shuffle_sizing(spark, tmp_dir):
     from quality_lake.plans.sizing import shuffle_partitions_for, sized_shuffle, source_bytes
     assert shuffle_partitions_for(100 * 2**40, 8000) == 102_400  # 100 TiB -> 1 GiB partitions
