@@ -816,7 +816,7 @@ try:  # the training-data operators are an add-on: without their folders the res
     _LLM["pipeline"] = _pipeline.run
     if _pipeline.ORACLE_SQL is not None:
         _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
-except ModuleNotFoundError as e:
+except ImportError as e:  # a folder that is left empty is a package without modules
     if e.name not in ("corpus_pipeline", "quality_lake.llm", "quality_lake.llm.queries"):
         raise
 
