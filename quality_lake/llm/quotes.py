@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quality_lake.operators.membership import bitmap_words, with_membership
 from quality_lake.sources import stage
 
 from .common import ROW, numbered, text_or_empty
@@ -82,25 +83,34 @@ def passages(said: DataFrame) -> DataFrame:
     return runs.select(ROW, "conv", "at", F.element_at("lines", 1)["level"].alias("level"), F.transform("lines", lambda s: s["words"]).alias("lines"))
 
 
-def units(said: DataFrame, run: int = RUN) -> DataFrame:
-    """``(ROW, conv, at, level, key, size)`` of every unit of every passage; ``size``: the words it counts for."""
-    key = lambda words: F.md5(F.array_join(words, " ").cast("binary")).alias("key")
-    whole = passages(said).withColumn("words", F.flatten("lines"))
-    names = [ROW, "conv", "at", "level"]
-    long = (whole.filter(F.size("words") >= run).select(*names, F.explode(F.sequence(F.lit(1), F.size("words") - run + 1)).alias("i"), "words")
-            .select(*names, key(F.slice("words", F.col("i"), run)), F.lit(1).alias("size")))
+def units(said: DataFrame, quoted: bool, run: int = RUN) -> DataFrame:
+    """``(ROW, conv, at, level, key, size)`` of the units of the quoted or of the own passages;
+    ``size``: the words that a unit adds.  Quoted runs stand end to end (the last one ends with its
+    passage), own ones begin at every word, so that they meet wherever a quotation begins."""
+    key = lambda words: F.unhex(F.md5(F.array_join(words, " ").cast("binary"))).alias("key")
+    whole = passages(said).filter(F.col("level") > 0 if quoted else F.col("level") == 0).withColumn("words", F.flatten("lines"))
+    names, n = [ROW, "conv", "at", "level"], F.size("words")
+    last = n - run + 1
+    places = F.sequence(F.lit(1), last)
+    if quoted:
+        places = F.concat(F.sequence(F.lit(1), last, F.lit(run)), F.when((last - 1) % run > 0, F.array(last)).otherwise(F.array().cast("array<int>")))
+    adds = F.when((F.col("i") - 1) % run == 0, F.lit(run)).otherwise(n % run)
+    long = (whole.filter(n >= run).select(*names, F.explode(places).alias("i"), "words")
+            .select(*names, key(F.slice("words", F.col("i"), run)), adds.alias("size")))
     some = F.filter("lines", lambda s: F.size(s) < run)
-    short = F.when((F.size("words") < run) & (F.size("lines") > 1), F.concat(some, F.array("words"))).otherwise(some)
+    short = F.when((n < run) & (F.size("lines") > 1), F.concat(some, F.array("words"))).otherwise(some)
     rest = whole.select(*names, F.explode(short).alias("unit")).select(*names, key(F.col("unit")), F.size("unit").alias("size"))
     return long.unionByName(rest)
 
 
 def replies(said: DataFrame) -> DataFrame:
     """``(ROW, conv, at, reply_to, n_quoted, n_linked)`` of the messages that quote; units are counted."""
-    parsed = stage(units(said), "quote-units")
-    quoting = parsed.filter("level > 0")
-    # only units that are quoted somewhere in the conversation matter as originals
-    own = parsed.filter("level = 0").join(quoting.select("conv", "key").distinct(), ["conv", "key"], "left_semi")
+    quoting = stage(units(said, True), "quote-units")
+    # only units that are quoted somewhere in the conversation matter as originals: a bitmap of those keeps the
+    # others from the shuffle, and lets too many through at most
+    hashed = F.xxhash64("conv", "key")
+    asked = bitmap_words(quoting.select(hashed.alias("asked")), "asked")
+    own = with_membership(units(said, False), hashed, asked, "asked").filter("asked").drop("asked")
     both = quoting.unionByName(own.select(F.lit(None).cast("long").alias(ROW), "conv", "at", "level", "key", "size").distinct())
     found = latest(both, ["conv", "key"], "at", F.col("level") == 0, False, "origin").filter("level > 0")
     level = F.when(F.col("origin").isNotNull(), F.col("level"))
@@ -137,10 +147,12 @@ def walked(tree: DataFrame) -> DataFrame:
     while not state.filter("to IS NOT NULL").isEmpty():
         ahead = state.select("conv", F.col("at").alias("to"), F.col("entering").alias("to_entering"), F.col("to").alias("then"),
                              F.col("to_entering").alias("then_entering"), F.col("turns").alias("more"), F.col("balance").alias("more_balance"))
-        state = stage(state.join(ahead, ["conv", "to", "to_entering"], "left").select(
+        moved = state.filter("to IS NOT NULL").join(ahead, ["conv", "to", "to_entering"], "left").select(
             "conv", "at", "entering", F.col("then").alias("to"), F.coalesce("then_entering", F.lit(False)).alias("to_entering"),
             (F.col("turns") + F.coalesce("more", F.lit(0))).alias("turns"),
-            (F.col("balance") + F.coalesce("more_balance", F.lit(0))).alias("balance")), "reply-steps")
+            (F.col("balance") + F.coalesce("more_balance", F.lit(0))).alias("balance"))
+        # steps that have reached the end, as most have after the rounds of a short conversation, take no further part
+        state = stage(moved.unionByName(state.filter("to IS NULL")), "reply-steps")
     steps = state.filter("entering")  # turns: those from here on; balance: what is left open behind, so its negative before
     sizes = steps.groupBy("conv").agg(F.max("turns").alias("all"))
     placed = steps.join(sizes, "conv").select("conv", "at", (1 - F.col("balance")).alias("depth"), (F.col("all") - F.col("turns")).alias("position"))

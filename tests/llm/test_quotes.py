@@ -35,7 +35,10 @@ def units_of(text):
             j += 1
         lines = [w for _, w in full[i:j]]
         flat = [x for w in lines for x in w]
-        out += [(full[i][0], " ".join(flat[k:k + RUN]), 1) for k in range(len(flat) - RUN + 1)]
+        at = range(0, len(flat) - RUN + 1, RUN if full[i][0] else 1)
+        out += [(full[i][0], " ".join(flat[k:k + RUN]), RUN) for k in at]
+        if full[i][0] and len(flat) > RUN and len(flat) % RUN:
+            out.append((full[i][0], " ".join(flat[-RUN:]), len(flat) % RUN))
         out += [(full[i][0], " ".join(w), len(w)) for w in lines if len(w) < RUN]
         if len(flat) < RUN and len(lines) > 1:
             out.append((full[i][0], " ".join(flat), len(flat)))
