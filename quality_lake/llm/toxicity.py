@@ -49,7 +49,7 @@ STEP = 2048
 #: Cells of a text that are hashed at once.
 PART_CELLS = 128
 #: Bits of the buckets that tell which n-grams too few texts have.
-COUNT_BITS = 26
+COUNT_BITS = 25
 #: Pairs of texts and n-grams that are counted at once.
 MERGE = 1 << 21
 THRESHOLD = 0.7
@@ -201,7 +201,7 @@ def _shares(rows: list[tuple[str, int]], labels: np.ndarray) -> tuple[np.ndarray
     for _, texts in steps:
         bucket, n = np.unique((_own_grams(texts)[1] >> np.uint64(64 - COUNT_BITS)).astype(np.int32), return_counts=True)
         many[bucket] = np.minimum(many[bucket] + n, LEAST_TEXTS)
-    enough = many >= LEAST_TEXTS  # a bucket without so many texts has no such n-gram
+    enough = np.greater_equal(many, LEAST_TEXTS, out=many.view(bool))  # a bucket without so many texts has no such n-gram
     grams, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)
     held, size = [], 0
     for k, (start, texts) in enumerate(steps):
@@ -240,43 +240,85 @@ def fit(rows: list[tuple[str, int]], weights: tuple[float, float] = (1.0, 1.0))
         at, found, _, size = _hits(texts, grams, coarse)
         cells.append(np.unique((start + at.astype(np.int64)) * max(1, len(grams)) + found, return_counts=True))
         unit.append(_unit(size))
-    cell, times = np.concatenate([c for c, _ in cells]), np.concatenate([n for _, n in cells])
-    at, found = np.divmod(cell, max(1, len(grams)))
-    value = times * np.concatenate(unit)[at] * ratio[found]
+    at, found = (np.concatenate([part(c).astype(np.int32) for c, _ in cells]) for part in (
+        lambda c: c // max(1, len(grams)), lambda c: c % max(1, len(grams))))
+    value = np.concatenate([n for _, n in cells]) * np.concatenate(unit)[at]
+    value *= ratio[found]
+    del cells, unit
     w = _logistic(at, found, value, labels, np.where(labels == 1, weights[1], weights[0]), len(grams))
     return Model(grams, coarse, w[:-1] * ratio, float(w[-1]))
 
 
+class _Sparse:
+    """Products of a sparse matrix (``value`` in row ``at``, column ``found``) and its transpose with
+    vectors: entries stand in order of their sums, which are then taken run by run."""
+
+    def __init__(self, at: np.ndarray, found: np.ndarray, value: np.ndarray, height: int, width: int):
+        self.shape = height, width
+        order = np.argsort(at, kind="stable")
+        self.by_row = self._runs(at[order]), found[order], value[order]
+        order = np.argsort(found, kind="stable")
+        self.by_column = self._runs(found[order]), at[order], value[order]
+
+    @staticmethod
+    def _runs(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        heads = np.flatnonzero(np.concatenate(([True], sums[1:] != sums[:-1]))) if len(sums) else np.zeros(0, np.int64)
+        return sums[heads], heads
+
+    @staticmethod
+    def _times(side: tuple, v: np.ndarray, size: int) -> np.ndarray:
+        (sums, heads), other, value = side
+        out = np.zeros(size)
+        if len(heads):
+            out[sums] = np.add.reduceat(value * v[other], heads)
+        return out
+
+    def forth(self, v: np.ndarray) -> np.ndarray:
+        return self._times(self.by_row, v, self.shape[0])
+
+    def back(self, v: np.ndarray) -> np.ndarray:
+        return self._times(self.by_column, v, self.shape[1])
+
+    def squares(self, v: np.ndarray) -> np.ndarray:
+        """The transpose of the squared entries times a vector."""
+        (sums, heads), other, value = self.by_column
+        return self._times(((sums, heads), other, value * value), v, self.shape[1])
+
+
 def _logistic(at: np.ndarray, found: np.ndarray, value: np.ndarray, y: np.ndarray, share: np.ndarray, width: int, ridge: float = RIDGE) -> np.ndarray:
     """Coefficients of a ridge logistic regression over sparse rows (``value`` in row
     ``at``, column ``found``) by Newton's method, each step solved by conjugate
-    gradients; the last coefficient is the constant."""
-    at, found, value = (np.concatenate(pair) for pair in ((at, np.arange(len(y))), (found, np.full(len(y), width)), (value, np.ones(len(y)))))
+    gradients as exactly as the slope is small; the last coefficient is the constant."""
+    x = _Sparse(at, found, value, len(y), width)
     penalty = np.full(width + 1, ridge)
     penalty[-1] = 1e-6
-    forth = lambda v: np.bincount(at, value * v[found], len(y))
-    back = lambda v: np.bincount(found, value * v[at], width + 1)
+    forth = lambda v: x.forth(v[:-1]) + v[-1]
+    back = lambda v: np.append(x.back(v), v.sum())
     w = np.zeros(width + 1)
     loss = lambda z, w: share @ np.logaddexp(0, np.where(y == 1, -z, z)) + penalty @ w**2 / 2
-    for _ in range(50):
+    first = None
+    for _ in range(100):
         z = forth(w)
         p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
         slope = back(share * (p - y)) + penalty * w
         bend = share * np.maximum(p * (1 - p), 1e-9)
-        scale = np.bincount(found, value**2 * bend[at], width + 1) + penalty
+        scale = np.append(x.squares(bend), bend.sum()) + penalty
         step, rest = np.zeros(width + 1), slope.copy()
         near = rest / scale
         way, size = near.copy(), rest @ near
-        enough = 1e-12 * size
-        for _ in range(200):
-            if size <= enough or size == 0:
-                break
+        first = first or size
+        if size <= 1e-16 * first or size == 0:
+            break
+        enough = min(1e-2, (size / first) ** 0.5) * size
+        for _ in range(500):
             bent = back(bend * forth(way)) + penalty * way
             far = size / (way @ bent)
             step += far * way
             rest -= far * bent
             near = rest / scale
             way, size = near + (rest @ near) / size * way, rest @ near
+            if size <= enough or size == 0:
+                break
         now, length = loss(z, w), 1.0
         while length > 1e-6 and loss(forth(w - length * step), w - length * step) > now:
             length /= 2
