@@ -24,7 +24,7 @@ from ..operators.enrich import row_count
 from ..operators.report import avg_duration_by_day, diff_results, profile
 from ..sources.tables import DEFAULT_FORMAT, staging, write_table
 from ..sources.versions import read_table
-from .sizing import DEFAULT_TARGET_FILE_BYTES, planned_files
+from .sizing import DEFAULT_SORT_BYTES, DEFAULT_TARGET_FILE_BYTES, planned_files
 
 # Layout names -> partition columns.
 LAYOUTS = {"unpartitioned": [], "pickup_month": ["pickup_year", "pickup_month"]}
@@ -38,17 +38,18 @@ def add_partition_columns(df: DataFrame, ts: str = "tpep_pickup_datetime",
 
 def write_layout(df: DataFrame, path: str, layout, *, fmt: str = DEFAULT_FORMAT,
                  mode: str = "errorifexists", cluster_by=("tpep_pickup_datetime",),
-                 target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES, **options) -> None:
+                 target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES, sort_bytes: int = DEFAULT_SORT_BYTES, **options) -> None:
     """Write one layout (a name of ``LAYOUTS`` or its partition columns) as files of about
-    ``target_file_bytes`` of values, each with a range of the pickup time: a busy month has
-    many, a quiet one has one (``plans.sizing.planned_files``).  With ``repartition`` the
-    rows are range-partitioned into that many tasks instead."""
+    ``target_file_bytes`` of values, or fewer if a task needs more than ``sort_bytes`` to sort
+    them, each with a range of the pickup time: a busy month has many, a quiet one has one
+    (``plans.sizing.planned_files``).  With ``repartition`` the rows are range-partitioned
+    into that many tasks instead."""
     columns = LAYOUTS[layout] if isinstance(layout, str) else list(layout)
     cluster_by = [c for c in cluster_by if c in df.columns]
     if options.get("repartition"):
         write_table(df, path, fmt, mode, partition_by=columns, cluster_by=cluster_by, **options)
         return
-    write_table(planned_files(df, columns, cluster_by, target_file_bytes), path, fmt, mode, partition_by=columns, **options)
+    write_table(planned_files(df, columns, cluster_by, target_file_bytes, sort_bytes), path, fmt, mode, partition_by=columns, **options)
 
 
 def zone_boroughs(zones: DataFrame, key: str = "location_id", out_key: str = "pulocation_id",

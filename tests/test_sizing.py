@@ -63,6 +63,20 @@ def test_layouts_without_partitions_null_keys_and_no_rows(spark, busy, tmp_dir):
     assert "repartitionbyid" in plan_text(many).lower() or "Exchange" in plan_text(many)
 
 
+def test_a_task_sorts_no_more_than_its_memory_holds(spark, busy, tmp_dir):
+    """Files far below the target, whose rows take more than a task should sort: short rows, then a busy month."""
+    short = spark.range(0, 6_000_000, 1, 4).select((F.col("id") * 7919 % 6_000_011).alias("id"))
+    parts = planned_files(short, [], ["id"]).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    parts = parts.orderBy("a").collect()
+    assert len(parts) == 3 and sum(r.n for r in parts) == 6_000_000 and max(r.n for r in parts) < 2_500_000
+    assert all(x.b <= y.a for x, y in zip(parts, parts[1:]))
+    write_layout(busy, f"{tmp_dir}/t", ["y", "m"], cluster_by=["ts"], sort_bytes=400_000)
+    per_month = {m: len(_sizes(f"{tmp_dir}/t", f"y=2024/m={m}")) for m in range(1, 13)}
+    assert 8 <= per_month.pop(3) <= 16 and set(per_month.values()) == {1}
+    back = read_table(spark, f"{tmp_dir}/t")
+    assert sorted(back.select("id").toPandas().id) == list(range(20_000))
+
+
 def test_a_session_sized_from_tables_and_files(spark, tmp_dir):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     for n in (3, 2):
