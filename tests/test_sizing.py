@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from quality_lake.plans.layouts import write_layout
+from quality_lake.plans.layouts import ReportColumns, reconcile, write_layout
 from quality_lake.plans.sizing import planned_files, sized_session, table_bytes
 from quality_lake.sources import publish, read_table
 from tests.conftest import plan_text
@@ -77,6 +77,20 @@ def test_a_task_sorts_no_more_than_its_memory_holds(spark, busy, tmp_dir):
     assert sorted(back.select("id").toPandas().id) == list(range(20_000))
 
 
+def test_layouts_of_more_than_a_task_sorts_reconcile(spark, tmp_dir):
+    i = F.col("id")
+    facts = spark.range(0, 2_400_000, 1, 4).select(
+        i, F.when(i % 50 > 0, i % 97).alias("zone"), (i % 1000 / 4).alias("fare"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + i * 7919 % 5_000_000).alias("at"), (i % 12).cast("int").alias("m"))
+    labels = spark.range(0, 90).select(i.alias("zone"), F.concat(F.lit("b"), i % 5).alias("borough"))
+    for name, columns in (("flat", []), ("month", ["m"])):
+        write_layout(facts, f"{tmp_dir}/{name}", columns, cluster_by=["at"])
+    assert len(_sizes(f"{tmp_dir}/flat")) == 2 and len(_sizes(f"{tmp_dir}/month", "m=0")) == 1
+    tables = {name: read_table(spark, f"{tmp_dir}/{name}") for name in ("flat", "month")}
+    got = reconcile(tables, labels, columns=ReportColumns("at", "at", "fare", "zone"))
+    assert got["rows"] == {"flat": 2_400_000, "month": 2_400_000} and got["keys"]["trips_per_borough"] == 6
+
+
 def test_a_session_sized_from_tables_and_files(spark, tmp_dir):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     for n in (3, 2):
