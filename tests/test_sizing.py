@@ -77,6 +77,19 @@ def test_a_task_sorts_no_more_than_its_memory_holds(spark, busy, tmp_dir):
     assert sorted(back.select("id").toPandas().id) == list(range(20_000))
 
 
+def test_rows_without_a_time_are_spread_too(spark, tmp_dir):
+    """Most rows have no cluster value: they are not all sorted by one task, nor mixed with those that have one."""
+    i = F.col("id")
+    ts = F.when(i % 4 == 0, F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), (i * 7919 % 86400).cast("int")))
+    parts = planned_files(spark.range(0, 20_000, 1, 4).select(i, ts.alias("ts")), [], ["ts"], sort_bytes=200_000)
+    rows = F.count(F.lit(1))
+    files = parts.groupBy(F.spark_partition_id()).agg(rows.alias("n"), F.count("ts").alias("timed"), F.min("ts").alias("a"), F.max("ts").alias("b")).collect()
+    assert len(files) >= 8 and sum(r.n for r in files) == 20_000 and sum(r.timed for r in files) == 5_000
+    assert max(r.n for r in files) < 2 * 20_000 / len(files) and sum(0 < r.timed < r.n for r in files) <= 1
+    timed = sorted((r for r in files if r.timed), key=lambda r: r.a)
+    assert all(x.b <= y.a for x, y in zip(timed, timed[1:]))
+
+
 def test_layouts_of_more_than_a_task_sorts_reconcile(spark, tmp_dir):
     i = F.col("id")
     facts = spark.range(0, 2_400_000, 1, 4).select(
